@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["text_jobs", "tables"]
+MODULES = ["text_jobs", "tables", "vectors", "mapping"]
 
 
 def load_all() -> None:
