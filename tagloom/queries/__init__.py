@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["text_jobs", "tables", "vectors", "mapping"]
+MODULES = ["text_jobs", "tables", "vectors", "mapping", "weekly"]
 
 
 def load_all() -> None:
