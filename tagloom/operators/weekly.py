@@ -574,7 +574,7 @@ def upsert_anomaly_clusters(plan: DataFrame, state: State, start, end, version:
     centers = mean_vectors(vectors, key, "v").select(*key, V.l2_normalize(F.col("mean")).alias("center"))
     sim = F.round(V.cosine(F.col("v"), F.col("center")), 9)
     medoids = vectors.join(centers, key).groupBy(*key).agg(
-        F.first("center").alias("center"), F.min(F.struct((-sim).alias("s"), "label")).alias("m")
+        F.first("center").alias("mean_v"), F.min(F.struct((-sim).alias("s"), "label")).alias("m")
     )
     counts = (
         existing.select(*key, "raw_label", F.col("value_count").alias("c"))
@@ -608,7 +608,7 @@ def upsert_anomaly_clusters(plan: DataFrame, state: State, start, end, version:
         .select(
             "field_name", F.col("target_cluster_id").alias("cluster_id"),
             F.lit(version).alias("run_id"), F.lit(version).alias("cluster_version"),
-            F.lit("true_anomaly").alias("cluster_source"), F.col("center").alias("centroid_embedding"),
+            F.lit("true_anomaly").alias("cluster_source"), F.col("mean_v").alias("centroid_embedding"),
             F.coalesce("m.label", "representative").alias("medoid_label"),
             (-F.col("m.s")).alias("medoid_similarity_to_centroid"), "representative_labels",
             "cluster_size", "total_occurrences", F.lit(True).alias("is_true_anomaly_cluster"),

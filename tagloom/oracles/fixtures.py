@@ -140,7 +140,7 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
           'deterministic' AS naming_method, idx % 7 = 3 AS is_anomaly, true AS active,
           {days_after('idx')} AS created_at, {days_after('idx')} AS updated_at
         FROM (SELECT DISTINCT field_name, cluster_id, idx FROM fx_label_vectors WHERE w >= 0.8)
-        WHERE idx % 9 <> 8""",
+        WHERE idx % 9 <> 7""",
     ),
     "fx_label_map": (
         ("fx_label_vectors",),

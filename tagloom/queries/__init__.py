@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["text_jobs", "tables", "vectors", "mapping", "weekly"]
+MODULES = ["text_jobs", "tables", "vectors", "mapping", "weekly", "backfill"]
 
 
 def load_all() -> None:

@@ -279,8 +279,8 @@ def _(t):
         FROM fx_clusters c LEFT JOIN latest l USING (field_name)""",
         "fx_clusters",
         latest=f"""SELECT field_name, v FROM (SELECT field_name, coalesce(cluster_version, run_id, 'v1') AS v,
-            max(updated_at) AS at FROM fx_clusters WHERE NOT {ANOMALY} AND centroid_embedding IS NOT NULL GROUP BY ALL)
-          QUALIFY row_number() OVER (PARTITION BY field_name ORDER BY at DESC, v) = 1""",
+            max(updated_at) AS latest_at FROM fx_clusters WHERE NOT {ANOMALY} AND centroid_embedding IS NOT NULL GROUP BY ALL)
+          QUALIFY row_number() OVER (PARTITION BY field_name ORDER BY latest_at DESC, v) = 1""",
     ),
 )
 def _(t):
@@ -310,9 +310,9 @@ PLAN_STEPS = SAFE_STEPS | {
         max(mapping_status = 'TRUE_ANOMALY') AS is_true, round(sum(similarity_score::DOUBLE) / count(*), 6) AS avg_similarity
       FROM fx_outputs WHERE mapping_status IN ('TRUE_ANOMALY', 'NEW_CLUSTER_CANDIDATE') AND normalized_label <> ''
         AND {in_window('classified_at')} GROUP BY ALL""",
-    "near": f"""SELECT g.field_name, g.normalized_label, c.cluster_id, {SHOWN} AS shown,
-        round(list_cosine_similarity(e.embedding::DOUBLE[], c.centroid_embedding), 9) AS sim
-      FROM grp g JOIN embeddings e ON e.vec_id = g.k JOIN named c ON c.field_name = g.field_name
+    "near": f"""SELECT g.field_name, g.normalized_label, c.cluster_id, {SHOWN.replace('cluster_id', 'c.cluster_id').replace('name,', 'c.name,', 1).replace('nullif(display_name', 'nullif(c.display_name')} AS shown,
+        round(list_cosine_similarity(e.v, c.centroid_embedding), 9) AS sim
+      FROM grp g JOIN fx_label_vectors e ON e.vec_id = g.k JOIN named c ON c.field_name = g.field_name
       WHERE NOT is_true AND {ACTIVE} AND {ANOMALY} AND centroid_embedding IS NOT NULL
       QUALIFY row_number() OVER (PARTITION BY g.field_name, g.normalized_label ORDER BY sim DESC, c.cluster_id) = 1""",
     "plan": f"""SELECT g.field_name, g.normalized_label,
@@ -336,7 +336,7 @@ PLAN_STEPS = SAFE_STEPS | {
       FROM fx_outputs WHERE mapping_status = 'KNOWN_TRUE_ANOMALY' AND normalized_label <> '' AND {in_window('classified_at')}
       GROUP BY field_name, mapped_cluster_id, normalized_label""",
 }
-_PLAN_TABLES = ("fx_candidates", "fx_clusters", "fx_names")
+_PLAN_TABLES = ("fx_candidates", "fx_clusters", "fx_names", "fx_label_map")
 
 
 def plan_of(t):
@@ -386,3 +386,101 @@ def _(t):
 def _(t):
     out = W.mark_anomaly_outputs(plan_of(t), t.outputs())
     return out.select("event_id", "mapped_cluster_id", "mapping_status", "mapping_method")
+
+
+ANOMALY_STEPS = PLAN_STEPS | {
+    "p": """SELECT * FROM plan WHERE action <> 'MAP_TO_EXISTING_CLUSTER'""",
+    "tgt": "SELECT DISTINCT field_name, target_cluster_id FROM p",
+    "old_labels": """SELECT m.field_name, m.final_cluster_id AS target_cluster_id, m.raw_label, m.value_count AS c
+      FROM fx_label_map m SEMI JOIN tgt ON tgt.field_name = m.field_name AND tgt.target_cluster_id = m.final_cluster_id""",
+    "label_counts": """SELECT field_name, target_cluster_id, raw_label, sum(c) AS c FROM (
+        SELECT * FROM old_labels UNION ALL
+        SELECT field_name, target_cluster_id, 'Label_' || split_part(normalized_label, ' ', 2), row_count * row_count FROM p) GROUP BY ALL""",
+    "sizes": """SELECT field_name, target_cluster_id, cast(count(*) AS INT) AS cluster_size, cast(sum(c) AS BIGINT) AS total_occurrences,
+        array_to_string(list(raw_label ORDER BY c DESC, raw_label)[1:10], ',') AS reps FROM label_counts GROUP BY ALL""",
+    "one": """SELECT * FROM p QUALIFY row_number() OVER (PARTITION BY field_name, normalized_label
+        ORDER BY original_status = 'KNOWN_TRUE_ANOMALY', target_cluster_id) = 1""",
+    "new_map": """SELECT m.field_name, m.normalized_label, coalesce(o.target_cluster_id, m.final_cluster_id) AS cluster_id,
+          coalesce(o.row_count, m.value_count) AS value_count FROM fx_label_map m LEFT JOIN one o USING (field_name, normalized_label)
+        UNION ALL SELECT field_name, normalized_label, target_cluster_id, row_count FROM one
+          ANTI JOIN fx_label_map m USING (field_name, normalized_label)""",
+    "new_counters": """SELECT o.field_name, l.cluster_id, count(*) AS row_count, count(DISTINCT source_record_id) AS calls,
+        count(DISTINCT date_trunc('week', classified_at)) AS weeks, max(s) AS label_sum
+      FROM fx_outputs o JOIN (SELECT field_name, normalized_label, cluster_id, sum(value_count) AS s FROM new_map GROUP BY ALL) l
+        USING (field_name, normalized_label) GROUP BY ALL""",
+    "heads": """SELECT * FROM p QUALIFY row_number() OVER (PARTITION BY field_name, target_cluster_id
+        ORDER BY row_count DESC, normalized_label) = 1""",
+}
+
+
+@query(
+    "upsert_anomaly_clusters", "G14",
+    with_tables(
+        """SELECT h.field_name, h.target_cluster_id AS cluster_id, h.target_name AS display_name, s.cluster_size,
+          s.total_occurrences, s.reps,
+          CASE WHEN n.calls >= 10 OR greatest(n.row_count, n.label_sum) >= 25 OR n.weeks >= 2
+            THEN 'STANDARD_CLUSTER_PROMOTION_CANDIDATE' ELSE 'ACTIVE_TRUE_ANOMALY' END AS promotion_status
+        FROM heads h JOIN sizes s USING (field_name, target_cluster_id)
+        LEFT JOIN new_counters n ON n.field_name = h.field_name AND n.cluster_id = h.target_cluster_id""",
+        *_PLAN_TABLES, **ANOMALY_STEPS,
+    ),
+)
+def _(t):
+    plan = plan_of(t)
+    clusters = t.clusters().withColumn("representative_labels", F.lit(None).cast("array<string>"))
+    state = W.State(clusters, t.names(), t.label_map(), t.outputs_with_candidates(), t.label_embeddings())
+    new = W.upsert_anomaly_clusters(plan, state, START, END)
+    touched = plan.filter("action <> 'MAP_TO_EXISTING_CLUSTER'").select(
+        "field_name", F.col("target_cluster_id").alias("cluster_id")).distinct()
+    return new.clusters.join(touched, ["field_name", "cluster_id"], "left_semi").select(
+        "field_name", "cluster_id", "display_name", "cluster_size", "total_occurrences",
+        F.array_join("representative_labels", ",").alias("reps"), "promotion_status",
+    )
+
+
+PROMOTE_STEPS = {
+    "named": NAMED, "sn": STANDARD_NAMES,
+    "cand": f"""SELECT field_name, cluster_id, resolved, {X.name_key('resolved')} AS k FROM (
+      SELECT field_name, cluster_id, {X.sanitize(SHOWN, ACRONYMS_WEEKLY)} AS resolved FROM named
+      WHERE coalesce(is_true_anomaly_cluster, false))""",
+    "won": f"""SELECT field_name, cluster_id, CASE WHEN NOT blocked AND row_number() OVER (PARTITION BY field_name, k
+        ORDER BY cluster_id) = 1 THEN resolved END AS standard_name FROM (
+      SELECT *, EXISTS (SELECT 1 FROM sn WHERE sn.field_name = p.field_name AND sn.cluster_id <> p.cluster_id
+        AND {X.name_key('sn.display_name')} = k) AS blocked FROM cand p)""",
+}
+
+
+def promoted(t):
+    c = M.with_names(t.clusters(), t.names()).filter("is_true_anomaly_cluster").select(
+        "field_name", "cluster_id", M.shown_name().alias("proposed"), F.col("medoid_label").alias("representative")
+    )
+    return W.promote(W.State(t.clusters(), t.names(), t.label_map(), t.outputs()), c)[0]
+
+
+@query(
+    "promote_clusters", "G15",
+    with_tables(
+        """SELECT c.id, CASE WHEN w.standard_name IS NOT NULL THEN false ELSE c.is_true_anomaly_cluster END AS is_true_anomaly_cluster,
+          coalesce(w.standard_name, c.display_name) AS display_name,
+          CASE WHEN w.standard_name IS NOT NULL THEN 'PROMOTED_TO_STANDARD'
+            WHEN w.cluster_id IS NOT NULL THEN 'STANDARD_CLUSTER_PROMOTION_BLOCKED_DUPLICATE_NAME' ELSE promotion_status END AS promotion_status
+        FROM fx_clusters c LEFT JOIN won w ON w.field_name = c.field_name AND w.cluster_id = c.cluster_id""",
+        "fx_clusters", "fx_names", **PROMOTE_STEPS,
+    ),
+)
+def _(t):
+    return promoted(t).clusters.select("id", "is_true_anomaly_cluster", "display_name", "promotion_status")
+
+
+@query(
+    "promote_outputs", "G15",
+    with_tables(
+        """SELECT o.event_id, CASE WHEN w.standard_name IS NOT NULL THEN 'EXISTING_CLUSTER' ELSE o.mapping_status END AS mapping_status,
+          coalesce(w.standard_name, o.mapped_display_name) AS mapped_display_name
+        FROM fx_outputs o LEFT JOIN won w ON w.field_name = o.field_name AND w.cluster_id = o.mapped_cluster_id
+          AND o.mapping_status = 'KNOWN_TRUE_ANOMALY'""",
+        "fx_outputs", "fx_clusters", "fx_names", **PROMOTE_STEPS,
+    ),
+)
+def _(t):
+    return promoted(t).outputs.select("event_id", "mapping_status", "mapped_display_name")
