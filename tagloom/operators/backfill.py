@@ -326,7 +326,7 @@ def queue_rows(decisions: DataFrame, applied: bool) -> DataFrame:
         return F.when(F.col("semantic_reason") == reason, F.lit("blocked"))
 
     evidence = F.to_json(F.struct(
-        F.lit(applied).alias("materialized_in_taxonomy"), "action", "cluster_id", "source"))
+        F.lit(applied).alias("materialized"), "action", "cluster_id", "source"))
     return decisions.select(
         "field_name", "raw_label", "normalized_label",
         F.greatest(F.lit(1), F.col("occurrence_count")).alias("occurrence_count"),

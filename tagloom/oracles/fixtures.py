@@ -57,8 +57,8 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
         ("fx_outputs",),
         """
         SELECT * EXCLUDE (k),
-          CASE k % 4 WHEN 0 THEN 'PENDING' WHEN 1 THEN 'CREATED_TRUE_ANOMALY'
-            WHEN 2 THEN 'PROMOTED_TO_STANDARD' END AS resolver_status,
+          CASE k % 4 WHEN 0 THEN 'MAP_TO_EXISTING' WHEN 1 THEN 'ANOMALY'
+            WHEN 2 THEN 'PROMOTE' END AS resolver_status,
           CASE WHEN k % 4 <> 3 THEN k % 3 = 0 END AS materialized
         FROM (
           SELECT field_name, normalized_label, k, count(*) AS occurrence_count,

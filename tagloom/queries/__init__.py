@@ -2,7 +2,9 @@
 
 from importlib import import_module
 
-MODULES = ["text_jobs", "tables", "vectors", "mapping", "weekly", "backfill"]
+MODULES = [
+    "text_jobs", "tables", "vectors", "mapping", "weekly", "backfill", "reports", "operations",
+]
 
 
 def load_all() -> None:

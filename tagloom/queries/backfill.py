@@ -170,7 +170,7 @@ def _(t):
         """SELECT field_name, normalized_label, occurrence_count,
           CASE action WHEN 'CREATE_TRUE_ANOMALY_NEW_LABEL' THEN 'ANOMALY' WHEN 'PROMOTE_EXISTING_ANOMALY_TO_STANDARD' THEN 'PROMOTE'
             ELSE 'MAP_TO_EXISTING' END AS resolver_status, cluster_id AS target_cluster_id, display_name AS target_display_name,
-          '{"materialized_in_taxonomy":true,"action":"' || action || '","cluster_id":"' || cluster_id || '","source":"' || source || '"}' AS evidence_json
+          '{"materialized":true,"action":"' || action || '","cluster_id":"' || cluster_id || '","source":"' || source || '"}' AS evidence_json
         FROM decisions""",
         *DECIDE_TABLES, **DECIDE_STEPS,
     ),

@@ -100,14 +100,17 @@ class Tables:
     def cluster_runs(self) -> DataFrame:
         df = self._sql(fx.CLUSTER_RUNS, "orders")
         q = F.floor(F.col("n_quarter")).cast("bigint")
+        best = F.struct(
+            (q / F.col("n_total")).alias("label_recovery_rate"), F.lit(0.82).alias("similarity_threshold"),
+            F.lit(15).alias("k_neighbors"), q.alias("graph_communities_found"),
+        )
+        strict = F.struct(
+            (F.col("n_total") - q).alias("recovered_labels"), q.alias("true_anomaly_labels"), best.alias("best_config")
+        )
         report = F.to_json(
             F.struct(
-                F.col("n_total").alias("labels"),
-                (F.col("n_total") * 10).alias("occurrences"),
-                F.lit("hash-384").alias("model"),
-                F.col("n_total").alias("initial_noise_labels"),
-                (F.col("n_total") - q).alias("strict_graph_recovered_labels"),
-                q.alias("final_true_anomaly_labels"),
+                F.col("n_total").alias("total_labels"), F.lit("hash-384").alias("model"),
+                strict.alias("strict_graph_recovery"),
             )
         )
         return df.withColumn("run_report", report).drop("n_total", "n_quarter")
@@ -140,16 +143,16 @@ class Tables:
             )
             .withColumn(
                 "resolver_status",
-                F.when(k % 4 == 0, F.lit("PENDING"))
-                .when(k % 4 == 1, F.lit("CREATED_TRUE_ANOMALY"))
-                .when(k % 4 == 2, F.lit("PROMOTED_TO_STANDARD")),
+                F.when(k % 4 == 0, F.lit("MAP_TO_EXISTING"))
+                .when(k % 4 == 1, F.lit("ANOMALY"))
+                .when(k % 4 == 2, F.lit("PROMOTE")),
             )
             .withColumn(
                 "evidence_json",
                 F.when(
                     k % 4 != 3,
                     F.concat(
-                        F.lit('{"materialized_in_taxonomy": '),
+                        F.lit('{"materialized": '),
                         F.when(k % 3 == 0, F.lit("true")).otherwise(F.lit("false")),
                         F.lit("}"),
                     ),
