@@ -262,3 +262,16 @@ def knn(
     return merge_topk(found, [*on, "q_id"], k).filter(F.col("rank") <= k).select(
         *on, "q_id", "t_id", "sim", "rank"
     )
+
+
+def nearest_points(df: DataFrame, row_id: str, vec: str, k: int, on: list[str] = []) -> DataFrame:
+    """Exact ``k`` nearest rows by Euclidean distance, for short vectors such as positions."""
+    rows = df.select(*on, F.col(row_id).cast("string").alias("rid"), V.as_double(F.col(vec)).alias("v"))
+    blocks = cut(pack(rows, on, "rid", "v"))
+    ids = blocks.select(*on, "dim", F.col("block").alias("q_block"))
+    pairs = ids.join(ids.withColumnRenamed("q_block", "t_block"), [*on, "dim"]).select("q_block", "t_block")
+    joined = pairs.join(_side(blocks, "q"), "q_block").join(_side(blocks, "t").drop("dim", *on), "t_block")
+    found = pair_products(joined, on, k, -float("inf"), True, metric="euclid")
+    return merge_topk(found, [*on, "q_id"], k).filter(F.col("rank") <= k).select(
+        *on, "q_id", "t_id", (-F.col("sim")).alias("squared_distance"), "rank"
+    )

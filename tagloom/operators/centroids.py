@@ -166,3 +166,25 @@ def apply_rebuild(clusters: DataFrame, review: DataFrame, issues: DataFrame) ->
             for c in clusters.columns
         ]
     )
+
+
+def registry(mapping: DataFrame, vec: str = "v") -> DataFrame:
+    """One row per final cluster without anomalies: counts, sources, unit mean of the label
+    vectors (not weighted) and the most frequent label as medoid."""
+    keys = ["field_name", "final_cluster_id"]
+    m = mapping.filter(~F.coalesce("final_is_true_anomaly", F.lit(False)))
+    label = strip(F.col("raw_label"))
+    stats = m.groupBy(*keys).agg(
+        F.countDistinct("raw_label").alias("label_count"), F.sum("value_count").alias("total_occurrences"),
+        F.array_join(F.array_sort(F.collect_set("final_cluster_source")), " | ").alias("final_cluster_source"),
+    )
+    counts = m.filter(label != "").groupBy(*keys, label.alias("_label")).agg(F.sum("value_count").alias("_c"))
+    medoid = counts.groupBy(*keys).agg(
+        F.min(F.struct((-F.col("_c")).alias("c"), "_label")).getField("_label").alias("medoid_label")
+    )
+    means = mean_vectors(m.filter(F.col(vec).isNotNull()), keys, vec).select(
+        *keys, V.l2_normalize(F.col("mean")).alias("centroid_embedding")
+    )
+    return stats.join(medoid, keys, "left").join(means, keys, "left").withColumn(
+        "is_true_anomaly_cluster", F.lit(False)
+    )

@@ -35,7 +35,8 @@ STATE = ("fx_clusters", "fx_names", "fx_label_map")
 
 
 def reg(name, covers, sql, *tables, **steps):
-    return query(name, covers, with_tables(sql, *tables, **steps))
+    """Register with a SQL check; an empty text means a rows-only check."""
+    return query(name, covers, with_tables(sql, *tables, **steps) if sql else None)
 
 
 @reg("label_counts", "B5", "SELECT * FROM labels_per", "fx_label_map", labels_per=LABELS)
