@@ -6,15 +6,13 @@ arithmetic: no pair of texts is ever parsed together.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .lists import (
     ACTION_WORDS, AGENT_WORDS, CUSTOMER_PHRASES, CUSTOMER_WORDS, OPPOSITES, STOPWORDS,
 )
-from .text import let, normalize_label, pin
+from .text import normalize_label, pin
 
 _N_OPP = len(OPPOSITES)
 _N_ACT = len(ACTION_WORDS)
@@ -28,14 +26,8 @@ def token_set(c: Column) -> Column:
     )
 
 
-def opposite_mask(norm: Column) -> Column:
-    """Bit i: text contains the left word of pair i; bit 10+i: the right one."""
-    bits = [
-        F.when(norm.contains(word), F.lit(1 << (side * _N_OPP + i))).otherwise(F.lit(0))
-        for i, pair in enumerate(OPPOSITES)
-        for side, word in enumerate(pair)
-    ]
-    return F.coalesce(reduce(lambda a, b: a + b, bits), F.lit(0))
+def _words(words: list[str]) -> str:
+    return ", ".join(f"'{w}'" for w in words)
 
 
 def _half_swap_hit(a: Column, b: Column, n: int) -> Column:
@@ -54,72 +46,52 @@ def masks_contradict(a: Column, b: Column) -> Column:
 def with_masks(df: DataFrame, norm: str, opposite: str, actor: str) -> DataFrame:
     """Add both masks of a normalized text column.
 
+    The opposite mask has bit i when the text contains the left word of pair i, and bit
+    10 + i for the right word.
+
     The actor mask tells who acts on whom. Bits 0-2: the agent acts on the customer (rude,
     hangs up, refuses); bits 3-5: the customer acts on the agent. Two actors of different
     kind within ten tokens form a relation; its classes come from the words between them,
     else from up to three words after; the earlier actor acts on the later one, reversed
     when ``by`` lies between.
     """
-    t, k, a, p = F.col("_tokens"), F.col("_kinds"), F.col("_acts"), F.col("_places")
-
-    def kind_at(word: Column, i: Column) -> Column:
-        following = F.get(t, i + 1)
-        phrase = reduce(
-            lambda x, y: x | y,
-            [(word == first) & (following == second) for first, second in CUSTOMER_PHRASES],
-        )
-        return (
-            F.when(word.isin(AGENT_WORDS), F.lit(1))
-            .when(word.isin(CUSTOMER_WORDS) | F.coalesce(phrase, F.lit(False)), F.lit(2))
-            .otherwise(F.lit(0))
-        )
-
-    def class_of(word: Column) -> Column:
-        return reduce(
-            lambda acc, item: F.when(word.isin(item[1]), F.lit(1 << item[0])).otherwise(acc),
-            enumerate(ACTION_WORDS.values()),
-            F.lit(0),
-        )
-
-    def any_bits(values: Column) -> Column:
-        return F.aggregate(values, F.lit(0), lambda acc, x: acc.bitwiseOR(x))
-
-    def relation(i: Column, j: Column) -> Column:
-        classes = let(
-            any_bits(F.slice(a, i + 1, j - i + 1)),
-            lambda between: F.when(between != 0, between).otherwise(
-                any_bits(F.slice(a, i + 1, j - i + 4))
-            ),
-        )
-        passive = F.array_contains(F.slice(t, i + 1, j - i + 1), "by")
-        doer = F.when(passive, F.get(k, j)).otherwise(F.get(k, i))
-        return let(
-            classes, lambda c: F.when(doer == 1, c).otherwise(F.shiftleft(c, _N_ACT))
-        )
-
+    phrases = " OR ".join(
+        f"(w = '{first}' AND get(_tokens, i + 1) = '{second}')" for first, second in CUSTOMER_PHRASES
+    )
+    kinds = (
+        f"transform(_tokens, (w, i) -> CASE WHEN w IN ({_words(AGENT_WORDS)}) THEN 1 "
+        f"WHEN w IN ({_words(CUSTOMER_WORDS)}) OR coalesce({phrases}, false) THEN 2 ELSE 0 END)"
+    )
+    classes = " ".join(
+        f"WHEN w IN ({_words(words)}) THEN {1 << n}" for n, words in enumerate(ACTION_WORDS.values())
+    )
     # Actors follow each other in place order, so partners are the next ones in the list.
-    relations = F.transform(
-        p,
-        lambda i, n: F.aggregate(
-            F.filter(
-                F.slice(p, n + 2, 10),
-                lambda j: (j - i <= 10) & (F.get(k, j) != F.get(k, i)),
-            ),
-            F.lit(0),
-            lambda acc, j: acc.bitwiseOR(relation(i, j)),
-        ),
+    relation = f"""
+        transform(array(aggregate(slice(_acts, i + 1, j - i + 1), 0, (x, y) -> x | y)), between ->
+          transform(array(CASE WHEN between <> 0 THEN between
+              ELSE aggregate(slice(_acts, i + 1, j - i + 4), 0, (x, y) -> x | y) END), c ->
+            CASE WHEN (CASE WHEN array_contains(slice(_tokens, i + 1, j - i + 1), 'by')
+                THEN get(_kinds, j) ELSE get(_kinds, i) END) = 1
+              THEN c ELSE shiftleft(c, {_N_ACT}) END)[0])[0]"""
+    relations = f"""
+        aggregate(transform(_places, (i, n) -> aggregate(
+          filter(slice(_places, n + 2, 10), j -> j - i <= 10 AND get(_kinds, j) <> get(_kinds, i)),
+          0, (acc, j) -> acc | {relation})), 0, (x, y) -> x | y)"""
+    opposites = " + ".join(
+        f"CASE WHEN contains(_text, '{word}') THEN {1 << (side * _N_OPP + n)} ELSE 0 END"
+        for n, pair in enumerate(OPPOSITES)
+        for side, word in enumerate(pair)
     )
-    both = F.array_contains(k, 1) & F.array_contains(k, 2)
-    text = F.coalesce(F.col(norm), F.lit(""))
-    df = pin(df, {"_tokens": F.split(text, " ")})
-    df = pin(df, {"_kinds": F.transform(t, kind_at), "_acts": F.transform(t, class_of)})
-    every = F.sequence(F.lit(0), F.size(t) - 1)
-    df = pin(df, {"_places": F.filter(every, lambda i: F.get(k, i) > 0)})
-    masks = {
-        actor: F.when(both, any_bits(relations)).otherwise(F.lit(0)),
-        opposite: opposite_mask(text),
-    }
-    return pin(df, masks).drop("_tokens", "_kinds", "_acts", "_places")
+    df = pin(df, {"_text": F.coalesce(F.col(norm), F.lit(""))})
+    df = pin(df, {"_tokens": F.split("_text", " ")})
+    df = pin(df, {
+        "_kinds": F.expr(kinds),
+        "_acts": F.expr(f"transform(_tokens, w -> CASE {classes} ELSE 0 END)"),
+    })
+    df = pin(df, {"_places": F.expr("filter(sequence(0, size(_tokens) - 1), i -> get(_kinds, i) > 0)")})
+    both = "array_contains(_kinds, 1) AND array_contains(_kinds, 2)"
+    masks = {actor: F.expr(f"CASE WHEN {both} THEN {relations} ELSE 0 END"), opposite: F.expr(opposites)}
+    return pin(df, masks).drop("_text", "_tokens", "_kinds", "_acts", "_places")
 
 
 def masks_conflict(a: Column, b: Column) -> Column:

@@ -85,6 +85,7 @@ _PARTIAL = "q_id string, t_id string, sim double, conflict boolean, ok_first boo
 def _partial_topk(on: list[str], k: int, min_sim: float, no_self: bool, metric: str):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pairs in batches:
+            found = []
             for p in pairs.itertuples(index=False):
                 q = np.asarray(p.q_vecs, dtype=np.float64).reshape(-1, p.dim)
                 t = np.asarray(p.t_vecs, dtype=np.float64).reshape(-1, p.dim)
@@ -113,7 +114,7 @@ def _partial_topk(on: list[str], k: int, min_sim: float, no_self: bool, metric:
                     continue
                 ti = order[qi, pi]
                 out = {c: getattr(p, c) for c in on}
-                yield pd.DataFrame(
+                found.append(pd.DataFrame(
                     out
                     | {
                         "q_id": q_ids[qi],
@@ -122,7 +123,9 @@ def _partial_topk(on: list[str], k: int, min_sim: float, no_self: bool, metric:
                         "conflict": clash[qi, ti],
                         "ok_first": is_first[qi, pi],
                     }
-                )
+                ))
+            if found:
+                yield pd.concat(found, ignore_index=True)
 
     return run
 
@@ -205,11 +208,22 @@ def knn(
     still beat the worst k-th similarity that the query block found inside itself (or
     ``min_sim``). The bound is exact: no neighbour is lost.
     """
-    rows = df.select(
+    rows = cut(df.select(
         *on, F.col(row_id).cast("string").alias("rid"), V.as_double(F.col(vec)).alias("v")
-    ).filter(F.col("v").isNotNull())
+    ).filter(F.col("v").isNotNull()))
+    wanted_cells = rows.groupBy(*on).agg(F.ceil(F.count("*") / F.lit(block_rows)).alias("cells"))
+    if wanted_cells.filter("cells > 1").isEmpty():
+        # Every group is one block: a single product per group.
+        only = pack(rows, on, "rid", "v", block_rows=1 << 30)
+        pairs = _side(only, "q").join(_side(only, "t").drop("dim"), on) if on else _side(only, "q").crossJoin(
+            _side(only, "t").drop("dim"))
+        found = pair_products(pairs, on, k, min_sim, True)
+        return _knn_columns(merge_topk(found, [*on, "q_id"], k), on, k)
     few = Window.partitionBy(*on).orderBy(F.xxhash64("rid"), "rid")
-    pivots = rows.withColumn("n", F.row_number().over(few)).filter(F.col("n") <= cells)
+    pivots = (
+        rows.withColumn("n", F.row_number().over(few)).filter(F.col("n") <= cells)
+        .join(wanted_cells, on).filter(F.col("n") <= F.col("cells"))
+    )
     nearest = best_targets(rows, pivots, on, 1, ("rid", "v", None), ("rid", "v", None)).filter(
         "rank = 1"
     )
@@ -259,9 +273,11 @@ def knn(
         _side(blocks, "t").drop("dim", *on), "t_block"
     )
     found = pair_products(pairs, on, k, min_sim, True)
-    return merge_topk(found, [*on, "q_id"], k).filter(F.col("rank") <= k).select(
-        *on, "q_id", "t_id", "sim", "rank"
-    )
+    return _knn_columns(merge_topk(found, [*on, "q_id"], k), on, k)
+
+
+def _knn_columns(ranked: DataFrame, on: list[str], k: int) -> DataFrame:
+    return ranked.filter(F.col("rank") <= k).select(*on, "q_id", "t_id", "sim", "rank")
 
 
 def nearest_points(df: DataFrame, row_id: str, vec: str, k: int, on: list[str] = []) -> DataFrame:
