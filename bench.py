@@ -45,6 +45,7 @@ def main() -> None:
             registry.run(name, spark, sf_dir).write.format("noop").mode("overwrite").save()
             times.append(time.perf_counter() - start)
         seconds[name] = round(statistics.median(times[1:]), 3)
+        print(f"{name}: {[round(x, 2) for x in times]}", file=sys.stderr, flush=True)
     print(json.dumps({
         "metric": "headline queries, total seconds", "value": round(sum(seconds.values()), 3), "unit": "sec",
         "queries": seconds, "sf": sf_dir.rstrip("/").rsplit("sf", 1)[-1],

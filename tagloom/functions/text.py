@@ -72,7 +72,8 @@ def normalize_label(c: Column, variant: str = "cluster") -> Column:
         return F.when((norm != "") & ~norm.isin(INVALID_WORDS), norm)
     text = strip(F.coalesce(c, F.lit("")))
     if variant == "mapper":
-        norm = strip(squeeze(separators_to_space(F.lower(text))))
+        blanked = F.translate(F.lower(text), "_-/" + _BLANKS, " " * (3 + len(_BLANKS)))
+        norm = F.trim(F.regexp_replace(blanked, " {2,}", " "))
     elif variant == "weekly":
         norm = F.lower(strip(squeeze(split_camel(separators_to_space(text)))))
     else:

@@ -11,6 +11,7 @@ from ..functions.text import (
     distinct_labels, normalize_label, parse_stage_labels, pin, split_label_items,
 )
 from ..functions.vectors import _finite
+from ..lineage import spread
 
 
 def long_cells(df: DataFrame, keep: list[Column], fields: list[str]) -> DataFrame:
@@ -28,7 +29,7 @@ def long_cells(df: DataFrame, keep: list[Column], fields: list[str]) -> DataFram
                 (F.col(f) if is_array else F.lit(None)).cast("array<string>").alias("_array"),
             )
         )
-    return df.select(*keep, F.inline(F.array(*structs)))
+    return spread(df).select(*keep, F.inline(F.array(*structs)))
 
 
 def explode_positions(df: DataFrame, keep: list, array: Column, pos: str, item: str) -> DataFrame:
