@@ -18,7 +18,7 @@ from tagloom import registry  # noqa: E402
 from tagloom.queries import load_all  # noqa: E402
 
 HEADLINE = [
-    "label_facts", "run_mapping", "mapping_summary", "unresolved_groups", "cluster_counters", "discover_labels",
+    "label_facts", "mapping_summary", "unresolved_groups", "cluster_counters", "discover_labels",
     "cell_updates", "centroids_rebuild", "knn", "semantic_search", "field_health", "mapper_field_health",
 ]
 

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ..functions import text
+from ..functions import text, vectors
 from ..functions.lists import (
     ACRONYMS_BACKFILL, ACRONYMS_WEEKLY, GENERIC_NAMES, STOPWORDS, WEAK_MEDOIDS,
 )
@@ -10,7 +10,7 @@ from ..operators import jobs, labels
 from ..oracles import expr as X
 from ..oracles.fixtures import _plain, with_tables
 from ..registry import query
-from ..sources.fixture_sql import PROPOSALS
+from ..sources.fixture_sql import PROPOSALS, REPRESENTATIVES
 
 CALL_FIELDS = X.CALL_FIELDS
 
@@ -258,6 +258,19 @@ def _(t):
     )
 
 
+@query(
+    "representative_labels", "J7 C23",
+    with_tables(
+        """SELECT r.id, CASE p_partkey % 4 WHEN 0 THEN p_name || '~' || p_type WHEN 1 THEN p_name || '~' || p_brand || '~' || p_type
+          WHEN 2 THEN p_name || '~' || p_brand ELSE '' END AS labels FROM r JOIN part ON p_partkey = r.id""",
+        r=_plain(REPRESENTATIVES),
+    ),
+)
+def _(t):
+    found = vectors.representatives(F.col("reps"))
+    return t.representative_texts().select("id", F.array_join(found, "~").alias("labels"))
+
+
 @query(
     "call_times_and_metadata", "J7 C21 C30",
     with_tables(

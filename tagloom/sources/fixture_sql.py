@@ -163,3 +163,15 @@ SELECT p_partkey AS proposal_id,
     ELSE '[]' END AS proposed
 FROM {part}
 """
+
+# Representative labels as JSON: strings, objects, an object with a list, broken text.
+REPRESENTATIVES = """
+SELECT p_partkey AS id,
+  CASE p_partkey % 4
+    WHEN 0 THEN '["' || p_name || '"," ' || p_type || ' ","' || p_name || '"]'
+    WHEN 1 THEN '[' || chr(123) || '"raw_label":"' || p_name || '","n":1' || chr(125) || ',' || chr(123)
+      || '"label":"","name":"' || p_brand || '"' || chr(125) || ',"' || p_type || '"]'
+    WHEN 2 THEN chr(123) || '"labels":["' || p_name || '"," ","' || p_brand || '"]' || chr(125)
+    ELSE p_name END AS reps
+FROM {part}
+"""

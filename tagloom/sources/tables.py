@@ -50,6 +50,9 @@ class Tables:
     def proposals(self) -> DataFrame:
         return self._sql(fx.PROPOSALS, "part")
 
+    def representative_texts(self) -> DataFrame:
+        return self._sql(fx.REPRESENTATIVES, "part")
+
     def vector_texts(self) -> DataFrame:
         """Vectors as they come out of a text dump: JSON, braces, broken, empty, not finite."""
         body = F.array_join(F.transform("embedding", lambda x: x.cast("double").cast("string")), ", ")
