@@ -170,7 +170,7 @@ def range_counts(df: DataFrame, id_column: str, n: int) -> DataFrame:
 
 def read_history_counts(df: DataFrame, norm_variant: str = "loose") -> DataFrame:
     """Historical unresolved counts per field and label, under any accepted header."""
-    names = {c.lstrip("﻿"): c for c in df.columns}
+    names = {c.lstrip("\ufeff"): c for c in df.columns}
 
     def first_of(*options: str) -> Column:
         cols = [F.nullif(F.col(f"`{names[o]}`").cast("string"), F.lit("")) for o in options if o in names]

@@ -62,7 +62,7 @@ def test_prepare_labels_rejects_missing_columns(spark):
 
 def test_history_headers(spark):
     df = spark.createDataFrame([("f", "A_b", "2.7"), ("f", "a b", "bad"), ("", "x", "1"), ("f", "c", "-1")],
-                               "﻿field string, unmapped_label string, occurrences string")
+                               ["\ufefffield", "unmapped_label", "occurrences"])
     assert rows(io.read_history_counts(df)) == [("f", "a b", 3)]
 
 
