@@ -215,8 +215,7 @@ def knn(
     if wanted_cells.filter("cells > 1").isEmpty():
         # Every group is one block: a single product per group.
         only = pack(rows, on, "rid", "v", block_rows=1 << 30)
-        pairs = _side(only, "q").join(_side(only, "t").drop("dim"), on) if on else _side(only, "q").crossJoin(
-            _side(only, "t").drop("dim"))
+        pairs = _side(only, "q").join(_side(only, "t"), [*on, "dim"])
         found = pair_products(pairs, on, k, min_sim, True)
         return _knn_columns(merge_topk(found, [*on, "q_id"], k), on, k)
     few = Window.partitionBy(*on).orderBy(F.xxhash64("rid"), "rid")
