@@ -9,7 +9,9 @@ from ..lineage import cut
 from .common import small_side, text_of
 
 #: Bytes of the first digit; each later digit has GROWTH times as many.
-FIRST, GROWTH = 32, 16
+FIRST, GROWTH = 256, 16
+#: Groups of the first digit that may be broadcast; beyond it the join shuffles.
+FEW_GROUPS = 100_000
 
 
 def normalised(docs: DataFrame):
@@ -30,40 +32,35 @@ def exact_groups(docs: DataFrame) -> DataFrame:
     of rows with this same doc_id one stays. An empty table gives no rows; further columns are ignored.
     """
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), normalised(docs).alias("norm"))
-    rows = rows.withColumns({"text_sha256": F.sha2("norm", 256), "bytes": F.encode("norm", "UTF-8")})
+    rows = rows.select("doc_id", F.sha2("norm", 256).alias("text_sha256"), F.encode("norm", "UTF-8").alias("bytes"))
 
-    def digit(at: int, width: int) -> dict:
-        return {"digit": F.substring("bytes", at + 1, width), "ended": F.octet_length("bytes") <= at + width}
+    def split(df: DataFrame, width: int) -> DataFrame:
+        """The next digit, and what is left behind it."""
+        return df.select(
+            *(c for c in df.columns if c != "bytes"), F.substring("bytes", 1, width).alias("digit"),
+            (F.octet_length("bytes") <= width).alias("ended"), F.substring("bytes", width + 1, (1 << 31) - 1).alias("bytes"))
 
-    at, width = 0, FIRST
-    first = rows.withColumns(digit(at, width))
-    many = cut(first.groupBy("digit", "ended").agg(F.count("*").alias("n")).filter("n > 1").select("digit", "ended", F.lit(True).alias("many")))
-    split = first.join(small_side(many), ["digit", "ended"], "left")
-    alone = split.filter("many is null").select(
-        "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "text_sha256"
-    )
+    first = split(rows, FIRST)
+    many = first.groupBy("digit", "ended").agg(F.count("*").alias("n")).filter("n > 1")
+    many = cut(many.select("digit", "ended", F.lit(True).alias("many")))
+    met = first.join(small_side(many, FEW_GROUPS), ["digit", "ended"], "left")
+    alone = met.filter("many is null").select(
+        "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "text_sha256")
+    width = FIRST
+    now = cut(met.filter("many").select(
+        "doc_id", "text_sha256", F.monotonically_increasing_id().alias("row"), F.lit(0).cast("long").alias("group"), "digit", "ended", "bytes"))
+    out = alone
     keys = ["group", "digit", "ended"]
-    state = cut(
-        split.filter("many").select(
-            "doc_id", "text_sha256", "bytes", F.lit(0).cast("long").alias("group"), F.monotonically_increasing_id().alias("row"))
-    )
-    done = []
-    while True:
-        now = state.withColumns(digit(at, width))
-        groups = now.groupBy(*keys).agg(
-            F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first"), F.count("*").alias("n"))
+    while not now.isEmpty():
+        least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first")
+        groups = now.groupBy(*keys).agg(least, F.count("*").alias("n"))
         groups = cut(groups.select(*keys, F.col("first.doc_id").alias("keep_id"), F.col("first.row").alias("first_row"), "n"))
         over = (F.col("n") == 1) | F.col("ended")
         told = cut(now.join(groups, keys).select(
             "doc_id", "text_sha256", "row", "first_row", "keep_id", F.col("n").alias("group_size"), over.alias("over"),
             F.when(~over, F.col("bytes")).alias("bytes")))
-        done.append(told.filter("over").select(
+        out = out.unionByName(told.filter("over").select(
             "doc_id", "keep_id", "group_size", (F.col("row") == F.col("first_row")).alias("kept"), "text_sha256"))
-        state = told.filter("not over").select("doc_id", "text_sha256", "bytes", F.col("first_row").alias("group"), "row")
-        if state.isEmpty():
-            break
-        at, width = at + width, width * GROWTH
-    out = alone
-    for d in done:
-        out = out.unionByName(d)
+        width *= GROWTH
+        now = split(told.filter("not over").select("doc_id", "text_sha256", "row", F.col("first_row").alias("group"), "bytes"), width)
     return out
