@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, lines, packing, radix, sharding, warc
+from . import jaccard, language, lines, mixing, packing, perplexity, quality, radix, sharding, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,11 +25,39 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def remainder(doc_id: str, n: int) -> Column:
+    """crc32 of the number as text, modulo n."""
+    return F.crc32(F.encode(F.col(doc_id).cast("string"), "UTF-8")) % n
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(remainder("doc_id", 4) == 2, F.lit(False))
+    model = language.train(docs, ~held_out)
+    found = language.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(remainder("doc_id", 5) == 0, F.lit(False))
+    model = quality.train(docs, table(spark, sf_dir, "labels"), ~held_out)
+    return quality.score_documents(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = lines.dedup_lines(table(spark, sf_dir, "documents"))
     return out.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"), "text")
 
 
+def op6_ngram_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return perplexity.quality_rules(table(spark, sf_dir, "documents"))
+
+
+def op7_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_sources(table(spark, sf_dir, "documents"))
+
+
 def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_groups(table(spark, sf_dir, "documents"))
 
@@ -47,7 +75,11 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_sharding": op2_sharding,
+    "op3_language_id": op3_language_id,
+    "op4_quality": op4_quality,
     "op5_line_dedup": op5_line_dedup,
+    "op6_ngram_perplexity": op6_ngram_perplexity,
+    "op7_pfair_mixing": op7_pfair_mixing,
     "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_packing": op9_packing,
     "op10_exact_dedup": op10_exact_dedup,
