@@ -148,7 +148,7 @@ PREDICTED = "lang_pred string, score double"
 
 
 def identify(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
-    """The rows with all their columns, and lang_pred and score.
+    """The rows with all their columns, and lang_pred and score, which replace columns of these names.
 
     All windows of a text are scored by two matrix products of a batch, presence by landmarks and kernel by weights. A null text,
     one without a letter, and any text if nothing could be learned, are UNKNOWN with score 0. Ties of two languages go to the
@@ -156,7 +156,7 @@ def identify(docs: DataFrame, model: Model | None, text: str = "text") -> DataFr
     """
     held = docs.sparkSession.sparkContext.broadcast(model)
     letters = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
-    keep = docs.columns
+    keep = [c for c in docs.columns if c not in ("lang_pred", "score", "_lettered")]
     rows = docs.select(*keep, F.when(letters, F.col(text)).alias("_lettered"))
     schema = rows.drop("_lettered").withColumns({"lang_pred": F.lit(""), "score": F.lit(0.0)}).schema
 

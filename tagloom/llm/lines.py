@@ -116,7 +116,7 @@ def line_groups(lines: DataFrame, edits: int = EDITS, near: int = NEAR) -> DataF
 
 
 def dedup_lines(docs: DataFrame, edits: int = EDITS, shortest: int = SHORTEST, near: int = NEAR) -> DataFrame:
-    """The rows with all their columns, repeated lines taken out of ``text``; n_lines and n_dropped are added as _n_lines, _n_dropped.
+    """(doc, n_lines, n_dropped) of every row: ``doc`` holds all columns of the row, repeated lines taken out of ``text``.
 
     Lines are the parts between line feeds, without spaces at their ends. Lines of ``near`` code points or more are linked
     when an edit distance of ``edits`` or less lies between them, shorter ones when equal; the links' connected components are groups.
@@ -134,14 +134,15 @@ def dedup_lines(docs: DataFrame, edits: int = EDITS, shortest: int = SHORTEST, n
     place = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "text_hash", "line_no")
     first = at.groupBy("group").agg(F.min(place).alias("first"), F.max(place).alias("last")).filter("first <> last")
     again = at.join(cut(first.select("group", "first")), "group").filter(place != F.col("first"))
-    drops = again.groupBy("doc_id", "text_hash").agg(F.collect_set("line_no").alias("_drops"))
-    drops = cut(drops.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "_drops"))
-    rows = docs.withColumn("_hash_of", F.xxhash64(text_of(docs)))
-    rows = rows.join(small_side(drops, 200_000), rows["doc_id"].eqNullSafe(F.col("_id")) & (F.col("_hash_of") == F.col("_hash")), "left")
-    parts = F.split("text", "\n")
-    kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("_drops")), lambda i: F.get(parts, i))
-    return rows.withColumns({
-        "text": F.when(F.col("_drops").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")),
-        "_n_lines": F.when(F.col("text").isNull(), 0).otherwise(F.size(parts)).cast("long"),
-        "_n_dropped": F.coalesce(F.size("_drops"), F.lit(0)).cast("long"),
-    }).drop("_id", "_hash", "_drops", "_hash_of")
+    drops = cut(again.groupBy("doc_id", "text_hash").agg(F.collect_set("line_no").alias("drops")))
+    rows = docs.select(
+        F.struct(*(docs[c] for c in docs.columns)).alias("doc"), docs["doc_id"].alias("id"), F.xxhash64(text_of(docs)).alias("hash"))
+    rows = rows.join(small_side(drops, 200_000), F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("hash") == F.col("text_hash")), "left")
+    text = F.col("doc")["text"]
+    parts = F.split(text, "\n")
+    kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("drops")), lambda i: F.get(parts, i))
+    fewer = F.when(F.col("drops").isNull(), text).otherwise(F.array_join(kept, "\n"))
+    return rows.select(
+        F.col("doc").withField("text", fewer).alias("doc"),
+        F.when(text.isNull(), 0).otherwise(F.size(parts)).cast("long").alias("n_lines"),
+        F.coalesce(F.size("drops"), F.lit(0)).cast("long").alias("n_dropped"))

@@ -148,9 +148,11 @@ def mix_sources(docs: DataFrame, weights: Mapping[str, float] | None = None, blo
 
 def in_mixed_order(docs: DataFrame, weights: Mapping[str, float] | None = None) -> DataFrame:
     """The documents as they are, all of them, in the order of the mix: written files follow it one after the other."""
-    at = cut(mix_sources(docs, weights).select(
-        F.col("doc_id").alias("_id"), F.col("text_crc32").alias("_crc"), F.col("source").alias("_source"), "position"))
+    at = mix_sources(docs, weights).groupBy("doc_id", "text_crc32", "source").agg(F.min("position").alias("position"))
     crc = F.crc32(F.encode(F.coalesce(docs["text"].cast("string"), F.lit("")), "UTF-8"))
-    same = docs["doc_id"].eqNullSafe(at["_id"]) & (crc == at["_crc"]) & (F.coalesce(docs["source"].cast("string"), F.lit("")) == at["_source"])
-    placed = docs.join(at.groupBy("_id", "_crc", "_source").agg(F.min("position").alias("position")), same)
-    return placed.repartitionByRange("position").sortWithinPartitions("position").select(docs.columns)
+    rows = docs.select(
+        F.struct(*(docs[c] for c in docs.columns)).alias("doc"), docs["doc_id"].alias("id"), crc.alias("crc"),
+        F.coalesce(docs["source"].cast("string"), F.lit("")).alias("of"))
+    same = F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("crc") == F.col("text_crc32")) & (F.col("of") == F.col("source"))
+    placed = rows.join(cut(at), same).select("doc", "position")
+    return placed.repartitionByRange("position").sortWithinPartitions("position").select("doc.*")

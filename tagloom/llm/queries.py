@@ -47,7 +47,7 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = lines.dedup_lines(table(spark, sf_dir, "documents"))
-    return out.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"), "text")
+    return out.select("doc.doc_id", "n_lines", "n_dropped", "doc.text")
 
 
 def op6_ngram_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
