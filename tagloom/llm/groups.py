@@ -17,25 +17,34 @@ from pyspark.sql import functions as F
 from ..lineage import cut
 from ..operators.graph import connected_components
 
-#: Whether two items can be linked, from their sizes.
-Fits = Callable[[Column, Column], Column]
+#: Whether two items can be linked, from the number of lists they share and their sizes.
+Enough = Callable[[Column, Column, Column], Column]
 
 
-def _ordered(a: str, b: str) -> list[Column]:
-    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
+def _counted(met: DataFrame, x: str, y: str, x_size: str, y_size: str, enough: Enough) -> DataFrame:
+    """(a, b), a < b, once each, of the pairs that meet in enough lists."""
+    turn = F.col(x) < F.col(y)
+    pairs = met.select(
+        F.least(x, y).alias("a"), F.greatest(x, y).alias("b"),
+        F.when(turn, F.col(x_size)).otherwise(F.col(y_size)).alias("a_size"), F.when(turn, F.col(y_size)).otherwise(F.col(x_size)).alias("b_size"))
+    shared = pairs.groupBy("a", "b", "a_size", "b_size").agg(F.count("*").alias("shared"))
+    return shared.filter(enough(F.col("shared"), F.col("a_size"), F.col("b_size"))).select("a", "b")
 
 
-def centre_pairs(lists: DataFrame, fits: Fits) -> DataFrame:
-    """(a, b), a < b, once each: the centre of a list and its other members. ``lists``: id, size, centre, centre_size."""
-    apart = lists.filter(F.col("id") != F.col("centre")).filter(fits(F.col("size"), F.col("centre_size")))
-    return apart.select(*_ordered("id", "centre")).distinct()
+def centre_pairs(lists: DataFrame, enough: Enough) -> DataFrame:
+    """The centres of lists and their other members, where a centre shares enough lists with a member as their centre.
+
+    ``lists``: id, size, centre, centre_size. What is left out here stays with the remaining pairs.
+    """
+    return _counted(lists.filter(F.col("id") != F.col("centre")), "id", "centre", "size", "centre_size", enough)
 
 
-def remaining_pairs(lists: DataFrame, labels: DataFrame, fits: Fits) -> DataFrame:
-    """(a, b), a < b, once each: pairs of a list whose labels differ.
+def remaining_pairs(lists: DataFrame, labels: DataFrame, enough: Enough) -> DataFrame:
+    """Pairs whose labels differ and that share enough lists.
 
     Lists of one label are left out. In the others the rows beside the list's most frequent label meet all rows of it, so
-    that a large group in a list is met only by what does not belong to it.
+    that a large group in a list is met only by what does not belong to it. A pair with two labels meets in every list
+    it shares, so its count is whole.
     """
     known = labels.select(F.col("node").alias("id"), "component")
     now = cut(lists.select("key", "id", "size").join(known, "id", "left").select(
@@ -46,17 +55,18 @@ def remaining_pairs(lists: DataFrame, labels: DataFrame, fits: Fits) -> DataFram
     main = votes.groupBy("key").agg(F.max(F.struct("n", "label")).getField("label").alias("main"))
     now = cut(now.join(main, "key"))
     few = now.filter("label <> main").select("key", F.col("id").alias("x"), F.col("size").alias("x_size"), F.col("label").alias("x_label"))
-    met = few.join(now, "key").filter("x_label <> label and (label = main or x < id)").filter(fits(F.col("x_size"), F.col("size")))
-    return met.select(*_ordered("x", "id")).distinct()
+    met = few.join(now, "key").filter("x_label <> label and (label = main or x < id)")
+    return _counted(met, "x", "id", "x_size", "size", enough)
 
 
-def linked_groups(lists: DataFrame, fits: Fits, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def linked_groups(lists: DataFrame, enough: Enough, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """(node, component) of the items that have a link; a component is named by its least item.
 
     ``lists`` is a written table of (key, id, size, centre, centre_size), each (key, id) once; ``verify`` keeps the
     pairs (a, b) that are linked.
     """
-    tried = cut(centre_pairs(lists, fits))
+    tried = cut(centre_pairs(lists, enough))
     links = cut(verify(tried))
-    rest = cut(remaining_pairs(lists, connected_components(links, "a", "b"), fits).join(tried, ["a", "b"], "left_anti"))
+    rest = remaining_pairs(lists, connected_components(links, "a", "b"), enough)
+    rest = cut(rest.join(tried, ["a", "b"], "left_anti"))
     return connected_components(links.unionByName(cut(verify(rest))), "a", "b")

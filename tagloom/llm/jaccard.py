@@ -243,8 +243,15 @@ def reaching_overlap(pairs: DataFrame, arrays: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right").mapInArrow(run, "a long, b long")
 
 
-def _fits(a: Column, b: Column) -> Column:
-    return F.least(a, b) * 100 >= F.greatest(a, b) * PERCENT
+def _reachable(shared: Column, a: Column, b: Column) -> Column:
+    """Whether sets of these sizes that meet in ``shared`` merged lists can reach the overlap T of a link.
+
+    A shingle that both have stands in merged lists of both up to where the merged lists of one of them end, and that one
+    has only its skipped lists behind it, less than its required overlap; so T minus those skipped must be met.
+    """
+    needed = F.ceil((a + b) * PERCENT / (100 + PERCENT))
+    skipped = F.ceil(F.greatest(a, b) * PERCENT / 100) - 1
+    return (F.least(a, b) * 100 >= F.greatest(a, b) * PERCENT) & (shared >= needed - skipped)
 
 
 def jaccard_groups(docs: DataFrame) -> DataFrame:
@@ -267,7 +274,7 @@ def jaccard_groups(docs: DataFrame) -> DataFrame:
         wanted = cut(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct())
         return reaching_overlap(pairs, set_arrays(docs, wanted))
 
-    labels = linked_groups(lists, _fits, verify).select(F.col("node").alias("set_id"), "component")
+    labels = linked_groups(lists, _reachable, verify).select(F.col("node").alias("set_id"), "component")
     named = sets.join(labels, "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
     named = cut(named.select("doc_id", "n_shingles", "component"))
     least = named.filter("component is not null").groupBy("component").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("members"))
