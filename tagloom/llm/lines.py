@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,14 +17,6 @@ EDITS = 2
 SHORTEST, NEAR = 10, 20
 
 
-def segment(length: Column, i: int, edits: int) -> tuple[Column, Column]:
-    """(start from 0, length) of segment i of the edits + 1 even segments of a line; the last ones are longer by one."""
-    parts = edits + 1
-    short, longer = F.floor(length / parts).cast("int"), (length % parts).cast("int")
-    before = F.greatest(F.lit(0), F.lit(i - parts) + longer)
-    return short * i + before, short + F.when(longer >= parts - i, 1).otherwise(0)
-
-
 def probes(edits: int) -> list[tuple[int, int, int]]:
     """(segment, how much longer the probing line is, shift): the substrings by which a line can meet an index.
 
@@ -35,15 +29,26 @@ def probes(edits: int) -> list[tuple[int, int, int]]:
     ]
 
 
-def substrings(line: Column, length: Column, edits: int, near: int) -> Column:
-    """array<struct<key, indexed>>: a line's own segments (shift 0, no extra) and the substrings that probe for others."""
+def with_substrings(lines: DataFrame, edits: int, near: int) -> DataFrame:
+    """A row (key, indexed, id, size) for each of a line's own segments and for each substring that probes for others.
+
+    A line has edits + 1 even segments, the last ones longer by a character if need be. The key is a hash of the other
+    line's length, the segment's number and the substring; lengths shorter than ``near`` have no segments. Four bytes a
+    character let a substring be taken without counting characters from the line's start.
+    """
+    parts, rows = edits + 1, lines.withColumn("line", F.encode("line", "UTF-32"))
+    for extra in range(edits + 1):
+        other = F.col("length") - extra
+        rows = rows.withColumns({f"_even{extra}": F.floor(other / parts).cast("int"), f"_long{extra}": (other % parts).cast("int")})
     found = []
     for i, extra, shift in probes(edits):
-        other = length - extra
-        start, width = segment(other, i, edits)
-        key = F.xxhash64(other, F.lit(i), F.substring(line, start + shift + 1, width))
-        found.append(F.when(other >= near, F.struct(key.alias("key"), F.lit(extra == 0 and shift == 0).alias("indexed"))))
-    return F.array_compact(F.array(*found))
+        even, longer, other = F.col(f"_even{extra}"), F.col(f"_long{extra}"), F.col("length") - extra
+        start = even * i + F.greatest(F.lit(0), longer + (i - parts)) + shift
+        width = even + F.when(longer >= parts - i, 1).otherwise(0)
+        key = F.xxhash64(other, F.lit(i), F.substring("line", start * 4 + 1, width * 4))
+        found.append(F.struct(F.when(other >= near, key).alias("key"), F.lit(extra == 0 and shift == 0).alias("indexed")))
+    rows = rows.select("id", F.col("length").cast("long").alias("size"), F.explode(F.array(*found)).alias("s"))
+    return rows.select("s.key", "s.indexed", "id", "size").filter("key is not null")
 
 
 def within_edits(a: Column, b: Column, edits: int) -> Column:
@@ -54,24 +59,32 @@ def within_edits(a: Column, b: Column, edits: int) -> Column:
     and deletions shift by one.
     """
     band, full = 2 * edits + 1, (1 << (2 * edits + 1)) - 1
-    left, right = F.split(a, ""), F.split(b, "")
 
-    def step(acc: Column, char: Column) -> Column:
-        j = acc["j"] + 1
-        same = F.lit(0)
-        for k in range(band):
-            hit = F.coalesce(F.get(left, j + (k - edits - 1)) == char, F.lit(False))
-            same = same.bitwiseOR(F.when(hit, 1 << k).otherwise(0))
-        words = [acc["r0"].bitwiseAND(same)]
+    def moved(acc: Column) -> list[Column]:
+        """The words after the character whose matches are in ``m``."""
+        words = [acc["r0"].bitwiseAND(acc["m"])]
         for d in range(1, edits + 1):
-            moved = acc[f"r{d}"].bitwiseAND(same).bitwiseOR(acc[f"r{d - 1}"]).bitwiseOR(F.shiftright(acc[f"r{d - 1}"], 1))
-            words.append(moved.bitwiseOR(F.shiftleft(words[-1], 1)).bitwiseAND(F.lit(full)))
-        return F.struct(j.alias("j"), *(w.alias(f"r{d}") for d, w in enumerate(words)))
+            fewer = acc[f"r{d - 1}"]
+            word = acc[f"r{d}"].bitwiseAND(acc["m"]).bitwiseOR(fewer).bitwiseOR(F.shiftright(fewer, 1))
+            words.append(word.bitwiseOR(F.shiftleft(words[-1], 1)).bitwiseAND(F.lit(full)))
+        return words
+
+    def step(acc: Column, char: Column) -> Column:
+        """Move by the character before and note where this one matches, so that each expression is evaluated once."""
+        hits = [F.when(F.get(acc["chars"], acc["j"] + (k - edits)) == char, 1 << k).otherwise(0) for k in range(band)]
+        words = [F.when(acc["j"] == 0, acc[f"r{d}"]).otherwise(w) for d, w in enumerate(moved(acc))]
+        return F.struct(
+            acc["chars"].alias("chars"), (acc["j"] + 1).alias("j"), reduce(lambda x, y: x.bitwiseOR(y), hits).alias("m"),
+            *(w.alias(f"r{d}") for d, w in enumerate(words)))
+
+    def codes(text: Column) -> Column:
+        return F.transform(F.split(text, ""), F.ascii)
 
-    start = [F.lit(sum(1 << (edits + k) for k in range(d + 1))).alias(f"r{d}") for d in range(edits + 1)]
-    end = F.aggregate(right, F.struct(F.lit(0).alias("j"), *start), step)
     last = F.char_length(a) - F.char_length(b) + edits
-    return last.between(0, band - 1) & (F.call_function("shiftright", end[f"r{edits}"], last).bitwiseAND(F.lit(1)) == 1)
+    start = [F.lit(sum(1 << (edits + k) for k in range(d + 1))).alias(f"r{d}") for d in range(edits + 1)]
+    first = F.struct(codes(a).alias("chars"), F.lit(0).alias("j"), F.lit(0).alias("m"), *start)
+    word = F.aggregate(codes(b), first, step, lambda acc: moved(acc)[edits])
+    return last.between(0, band - 1) & (F.call_function("shiftright", word, last).bitwiseAND(F.lit(1)) == 1)
 
 
 def line_rows(docs: DataFrame, shortest: int = SHORTEST) -> DataFrame:
@@ -88,9 +101,7 @@ def shared_segments(lines: DataFrame, edits: int, near: int) -> DataFrame:
     A first pass keeps, with map-side minima, only the least and the largest line of a key; a second one lists the lines of
     the keys where these differ. So the many keys of a single line are shuffled once, and copies of a line meet before.
     """
-    long = lines.filter(F.col("length") >= near).select("line", "length", "id")
-    rows = long.select("id", "length", F.explode(substrings(F.col("line"), F.col("length"), edits, near)).alias("s"))
-    rows = rows.select("s.key", "s.indexed", "id", F.col("length").cast("long").alias("size"))
+    rows = with_substrings(lines.filter(F.col("length") >= near).select("line", "length", "id"), edits, near)
     ends = rows.groupBy("key").agg(
         F.min("id").alias("centre"), F.max("id").alias("other"), F.max("indexed").alias("indexed"),
         F.min_by("size", "id").alias("centre_size"))
@@ -109,10 +120,10 @@ def line_groups(lines: DataFrame, edits: int = EDITS, near: int = NEAR) -> DataF
         right = texts.select(F.col("id").alias("b"), F.col("line").alias("y"))
         return pairs.join(left, "a").join(right, "b").filter(within_edits(F.col("x"), F.col("y"), edits)).select("a", "b")
 
-    def fits(a: Column, b: Column) -> Column:
+    def enough(shared: Column, a: Column, b: Column) -> Column:
         return F.abs(a - b) <= edits
 
-    return linked_groups(shared_segments(lines, edits, near), fits, verify)
+    return linked_groups(shared_segments(lines, edits, near), enough, verify)
 
 
 def dedup_lines(docs: DataFrame, edits: int = EDITS, shortest: int = SHORTEST, near: int = NEAR) -> DataFrame:
