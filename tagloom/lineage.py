@@ -31,18 +31,3 @@ def cut(df: DataFrame) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
-
-SMALL_INPUT = 128 << 20
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores when the tables read are smaller than one input split.
-
-    A large input has many splits and is left alone; a single small file would otherwise
-    do all its text work in one task. Sizes come from the plan, nothing is run.
-    """
-    if df.isStreaming:
-        return df
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    read = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if read < SMALL_INPUT else df

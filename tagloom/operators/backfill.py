@@ -16,7 +16,7 @@ from ..functions.vectors import as_double
 from ..lineage import cut
 from ..sources.io import latest_per_key, update_or_insert
 from .centroids import centroids
-from .labels import cells_to_labels
+from .labels import cells_to_labels, long_cells
 from .mapping import is_active, with_names
 from .weekly import standard_names
 
@@ -254,43 +254,62 @@ def resolve_decision_names(decisions: DataFrame, names: DataFrame, clusters: Dat
 # -- rows -----------------------------------------------------------------------------------
 
 
-def cell_updates(stage: DataFrame, decisions: DataFrame, fields: list[str], row_id: str = "id") -> DataFrame:
-    """New value of each cell that has a decided label, and whether it differs.
+def _cells(stage: DataFrame, fields: list[str], keep: list[str]) -> DataFrame:
+    """Kept columns, ``field_name``, the cell as text or as array, and the text that stands for either."""
+    cells = long_cells(stage, [F.col(c) for c in keep], fields)
+    return cells.withColumn("old_value", F.coalesce("_cell", F.array_join("_array", ", ", "")))
+
 
-    Labels join their decisions, cells are put together again by row and field; a group is
-    the labels of one cell.
+def cell_values(stage: DataFrame, decisions: DataFrame, fields: list[str]) -> DataFrame:
+    """New value of each distinct cell that has a decided label: (field_name, _cell, _array, ...).
+
+    A cell is parsed, decided and put together once, however many rows have it; array cells stay arrays.
     """
-    labels = cells_to_labels(stage, fields, [row_id], rule="stage")
+    cells = _cells(stage, fields, []).filter("_cell IS NOT NULL OR _array IS NOT NULL").distinct()
+    present = [f for f in fields if f in stage.columns]
+    cells = cut(cells.withColumn("_id", F.xxhash64("field_name", "_cell", "_array")))
+    wide = cells.select("_id", *[
+        F.when(F.col("field_name") == f, F.col("_array") if stage.schema[f].dataType.typeName() == "array" else F.col("_cell")).alias(f)
+        for f in present
+    ])
+    labels = cells_to_labels(wide, fields, ["_id"], rule="stage")
     shown = decisions.select(*KEY, F.col("display_name").alias("_shown"))
-    joined = labels.join(shown, KEY, "left")
-    cells = joined.groupBy(row_id, "field_name").agg(
+    mapped = labels.join(shown, KEY, "left").groupBy("_id", "field_name").agg(
         F.array_sort(F.collect_list(F.struct("pos", F.coalesce("_shown", "raw_label").alias("label"))))
-        .getField("label").alias("mapped"),
-        F.max(F.col("_shown").isNotNull()).alias("any_mapped"),
-    ).filter("any_mapped")
-    present = [f for f in fields if f in stage.columns]
-    old = stage.select(
-        row_id,
-        F.inline(F.array(*[
-            F.struct(F.lit(f).alias("field_name"), F.col(f).cast("string").alias("old_value")) for f in present
-        ])),
-    )
+        .getField("label").alias("_mapped"),
+        F.max(F.col("_shown").isNotNull()).alias("_any"),
+    ).filter("_any").drop("_any")
     multi = F.col("field_name").isin(MULTI_FIELDS)
-    new = F.when(multi, F.array_join("mapped", ", ")).otherwise(F.get("mapped", F.lit(0)))
-    both = cells.join(old, [row_id, "field_name"])
-    return both.select(
-        row_id, "field_name", "old_value", new.alias("new_value"),
-        row_changed(F.col("old_value"), new).alias("changed"),
-    )
+    is_array = F.col("_array").isNotNull()
+    text = F.when(is_array | multi, F.array_join("_mapped", ", ")).otherwise(F.get("_mapped", F.lit(0)))
+    changed = F.when(is_array, ~F.col("_array").eqNullSafe(F.col("_mapped"))).otherwise(row_changed(F.col("old_value"), text))
+    return cells.join(mapped, ["_id", "field_name"]).select(
+        "field_name", "_cell", "_array", "old_value", text.alias("new_value"),
+        F.when(is_array, F.col("_mapped")).alias("new_array"), changed.alias("changed"))
+
+
+def cell_updates(stage: DataFrame, decisions: DataFrame, fields: list[str], row_id: str = "id") -> DataFrame:
+    """New value of each cell that has a decided label, and whether it differs.
+
+    Distinct cells are decided once and joined back to the rows; ``new_array`` is set for array cells, whose texts are
+    joined by commas in ``old_value`` and ``new_value``.
+    """
+    values = cut(cell_values(stage, decisions, fields))
+    rows = _cells(stage, fields, [row_id]).drop("old_value").alias("r")
+    v = values.alias("v")
+    same = [F.col(f"r.{c}").eqNullSafe(F.col(f"v.{c}")) for c in ("field_name", "_cell", "_array")]
+    return rows.join(v, same).select(
+        F.col(f"r.{row_id}").alias(row_id), "v.field_name", "v.old_value", "v.new_value", "v.new_array", "v.changed")
 
 
 def apply_to_rows(stage: DataFrame, decisions: DataFrame, fields: list[str], row_id: str = "id") -> DataFrame:
-    """Changed rows only, with their new cells and the time of the change."""
+    """Changed rows only, with their new cells and the time of the change; array cells stay arrays."""
     updates = cell_updates(stage, decisions, fields, row_id).filter("changed")
     present = [f for f in fields if f in stage.columns]
-    wide = updates.groupBy(row_id).agg(
-        *[F.max(F.when(F.col("field_name") == f, F.col("new_value"))).alias(f"_{f}") for f in present]
-    )
+    arrays = {f for f in present if stage.schema[f].dataType.typeName() == "array"}
+    wide = updates.groupBy(row_id).agg(*[
+        F.max(F.when(F.col("field_name") == f, F.col("new_array") if f in arrays else F.col("new_value"))).alias(f"_{f}") for f in present
+    ])
     return stage.join(wide, row_id).select(
         *[F.coalesce(f"_{c}", c).alias(c) if c in present else F.col(c) for c in stage.columns],
         F.current_timestamp().alias("better_tags_updated_at"),
@@ -318,6 +337,14 @@ def field_audit(decisions: DataFrame, run_id: str) -> DataFrame:
     )
 
 
+def with_embeddings(decisions: DataFrame, labels: DataFrame, refs: DataFrame) -> DataFrame:
+    """Decisions with ``embedding``: the label's vector, else the centroid of the cluster it was matched to."""
+    own = labels.select(*KEY, F.col("embedding").alias("_own"))
+    centre = refs.select("field_name", "cluster_id", F.col("centroid_embedding").alias("_centre"))
+    df = decisions.join(own, KEY, "left").join(centre, ["field_name", "cluster_id"], "left")
+    return df.withColumn("embedding", F.coalesce("_own", "_centre")).drop("_own", "_centre")
+
+
 def queue_rows(decisions: DataFrame, applied: bool) -> DataFrame:
     """Rows for the unresolved-label queue, with the guard that blocked a match."""
     accepted = F.col("semantic_reason") == "accepted_semantic_match"
@@ -352,9 +379,10 @@ class TaxonomyState:
 
 def materialize(decisions: DataFrame, state: TaxonomyState) -> TaxonomyState:
     """State after the decisions: vectors, promoted and new clusters, names, label map, and
-    new centroids of the touched clusters. ``decisions`` carries ``embedding``."""
+    new centroids of the touched clusters. ``decisions`` carries ``embedding``; names are resolved if they are not yet."""
     ckey = ["field_name", "cluster_id"]
-    d = cut(resolve_decision_names(decisions, state.names, state.clusters))
+    resolved = "naming_method" in decisions.columns
+    d = cut(decisions if resolved else resolve_decision_names(decisions, state.names, state.clusters))
     embeddings = update_or_insert(
         state.embeddings,
         d.filter("embedding IS NOT NULL").select("field_name", "raw_label", "normalized_label", "embedding"), KEY,

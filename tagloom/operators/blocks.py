@@ -8,6 +8,7 @@ all rows is many blocks, spread over all tasks.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -22,7 +23,11 @@ from ..functions import vectors as V
 from ..lineage import cut
 
 BLOCK_ROWS = 1024
-SALTS = 16
+
+
+def salts_for(blocks: int) -> int:
+    """Parts that one side of a join of blocks is dealt to, and copies of the other: about the root of the blocks."""
+    return max(1, math.isqrt(blocks))
 
 
 @contextmanager
@@ -182,15 +187,25 @@ def best_targets(
     ``q`` and ``t`` name the id, vector and guard-mask columns. All targets of the same
     ``on`` are compared; both sides are blocks, joined under a salt.
     """
-    qb = _side(pack(queries, on, *q), "q").withColumn("salt", F.pmod(F.hash("q_block"), F.lit(SALTS)))
+    packed = cut(pack(queries, on, *q))
+    parts = salts_for(packed.count())
+    qb = _side(packed, "q").withColumn("salt", F.pmod(F.hash("q_block"), F.lit(parts)))
     tb = _side(pack(targets, [*on, *target_groups], *t), "t").withColumn(
-        "salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+        "salt", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
     )
     pairs = qb.join(tb, [*on, "dim", "salt"])
     by = [*on, *target_groups]
     return merge_topk(pair_products(pairs, by, k, min_sim, False), [*by, "q_id"], k)
 
 
+def block_pairs(blocks: DataFrame, on: list[str]) -> DataFrame:
+    """(on, q_block, t_block): all ordered pairs of blocks of one group and length, dealt under a salt."""
+    ids, parts = blocks.select(*on, "dim", "block"), salts_for(blocks.count())
+    q = ids.withColumnRenamed("block", "q_block").withColumn("salt", F.pmod(F.hash("q_block"), F.lit(parts)))
+    t = ids.withColumnRenamed("block", "t_block").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    return q.join(t, [*on, "dim", "salt"]).select(*on, "q_block", "t_block")
+
+
 def knn(
     df: DataFrame,
     on: list[str],
@@ -199,30 +214,30 @@ def knn(
     k: int,
     min_sim: float = -1.0,
     block_rows: int = BLOCK_ROWS,
-    cells: int = 64,
 ) -> DataFrame:
     """Exact ``k`` nearest neighbours of unit vectors inside ``on``; ties by id.
 
-    Rows are first gathered in cells around pivot rows, so that blocks are compact. A pair
-    of blocks is multiplied only if the angle between their centers, less their radii, can
-    still beat the worst k-th similarity that the query block found inside itself (or
-    ``min_sim``). The bound is exact: no neighbour is lost.
+    Rows are first gathered in cells around pivot rows, so that blocks are compact; a group has about eight times the
+    root of its blocks as cells. A pair of blocks is multiplied only if the angle between their centers, less their
+    radii, can still beat the worst k-th similarity that the query block found inside itself (or ``min_sim``). The
+    bound is exact: no neighbour is lost.
     """
+    if not on:
+        out = knn(df.withColumn("_all", F.lit(0)), ["_all"], row_id, vec, k, min_sim, block_rows)
+        return out.drop("_all")
     rows = cut(df.select(
         *on, F.col(row_id).cast("string").alias("rid"), V.as_double(F.col(vec)).alias("v")
     ).filter(F.col("v").isNotNull()))
-    wanted_cells = rows.groupBy(*on).agg(F.ceil(F.count("*") / F.lit(block_rows)).alias("cells"))
-    if wanted_cells.filter("cells > 1").isEmpty():
-        # Every group is one block: a single product per group.
-        only = pack(rows, on, "rid", "v", block_rows=1 << 30)
-        pairs = _side(only, "q").join(_side(only, "t"), [*on, "dim"])
-        found = pair_products(pairs, on, k, min_sim, True)
-        return _knn_columns(merge_topk(found, [*on, "q_id"], k), on, k)
-    few = Window.partitionBy(*on).orderBy(F.xxhash64("rid"), "rid")
-    pivots = (
-        rows.withColumn("n", F.row_number().over(few)).filter(F.col("n") <= cells)
-        .join(wanted_cells, on).filter(F.col("n") <= F.col("cells"))
+    blocks_of = F.ceil(F.count("*") / F.lit(block_rows))
+    groups = rows.groupBy(*on).agg(
+        F.count("*").alias("n"), F.least(blocks_of, F.ceil(8 * F.sqrt(blocks_of))).alias("cells"),
+        F.min_by("rid", F.struct(F.xxhash64("rid"), F.col("rid"))).alias("first"),
     )
+    # A sample by hash of a few rows more than there are cells, and the first row, which every group has.
+    draw = F.pmod(F.xxhash64("rid"), F.lit(1 << 30)) / (1 << 30)
+    some = rows.join(groups, on).filter((draw < (4 * F.col("cells") + 16) / F.col("n")) | (F.col("rid") == F.col("first")))
+    few = Window.partitionBy(*on).orderBy(F.xxhash64("rid"), "rid")
+    pivots = some.withColumn("_rn", F.row_number().over(few)).filter(F.col("_rn") <= F.col("cells")).select(*on, "rid", "v")
     nearest = best_targets(rows, pivots, on, 1, ("rid", "v", None), ("rid", "v", None)).filter(
         "rank = 1"
     )
@@ -253,25 +268,26 @@ def knn(
             F.min(F.coalesce("kth", F.lit(min_sim))).alias("needed"),
         )
     )
+    parts = salts_for(summary.count())
     salted_q = summary.select(
         *on, "dim", F.col("block").alias("q_block"), F.col("center").alias("qc"),
-        F.col("radius").alias("qr"), "needed", F.pmod(F.hash("block"), F.lit(SALTS)).alias("salt"),
+        F.col("radius").alias("qr"), "needed", F.pmod(F.hash("block"), F.lit(parts)).alias("salt"),
     )
     salted_t = summary.select(
         *on, "dim", F.col("block").alias("t_block"), F.col("center").alias("tc"),
-        F.col("radius").alias("tr"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"),
+        F.col("radius").alias("tr"), F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("salt"),
     )
     between = F.acos(F.least(F.lit(1.0), F.greatest(F.lit(-1.0), V.dot(F.col("qc"), F.col("tc")))))
     reach = F.cos(F.greatest(F.lit(0.0), between - F.col("qr") - F.col("tr") - 1e-6))
     wanted = (
         salted_q.join(salted_t, [*on, "dim", "salt"])
-        .filter(reach >= F.col("needed") - 1e-9)
+        .filter((F.col("q_block") != F.col("t_block")) & (reach >= F.col("needed") - 1e-9))
         .select("q_block", "t_block")
     )
     pairs = wanted.join(_side(blocks, "q"), "q_block").join(
         _side(blocks, "t").drop("dim", *on), "t_block"
     )
-    found = pair_products(pairs, on, k, min_sim, True)
+    found = own.unionByName(pair_products(pairs, on, k, min_sim, True))
     return _knn_columns(merge_topk(found, [*on, "q_id"], k), on, k)
 
 
@@ -283,9 +299,7 @@ def nearest_points(df: DataFrame, row_id: str, vec: str, k: int, on: list[str] =
     """Exact ``k`` nearest rows by Euclidean distance, for short vectors such as positions."""
     rows = df.select(*on, F.col(row_id).cast("string").alias("rid"), V.as_double(F.col(vec)).alias("v"))
     blocks = cut(pack(rows, on, "rid", "v"))
-    ids = blocks.select(*on, "dim", F.col("block").alias("q_block"))
-    pairs = ids.join(ids.withColumnRenamed("q_block", "t_block"), [*on, "dim"]).select("q_block", "t_block")
-    joined = pairs.join(_side(blocks, "q"), "q_block").join(_side(blocks, "t").drop("dim", *on), "t_block")
+    joined = block_pairs(blocks, on).select("q_block", "t_block").join(_side(blocks, "q"), "q_block").join(_side(blocks, "t").drop("dim", *on), "t_block")
     found = pair_products(joined, on, k, -float("inf"), True, metric="euclid")
     return merge_topk(found, [*on, "q_id"], k).filter(F.col("rank") <= k).select(
         *on, "q_id", "t_id", (-F.col("sim")).alias("squared_distance"), "rank"

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import vectors as V
 from ..functions.text import strip, valid_label
+from ..lineage import cut
 from .vector_mean import mean_vectors
 
 KEY = ["field_name", "run_id", "cluster_version", "cluster_id"]
@@ -60,9 +61,9 @@ def centroids(members: DataFrame, mode: str = "rebuild", keys: list[str] = KEY)
     limit = 10 if mode == "weekly" else 12
     vec = V.parse_vector(F.col("embedding"), "raw" if mode == "rebuild" else "unit", is_array=True)
     rows = members.withColumn("_v", vec).withColumn("_dim", F.size("_v"))
-    usable = rows.filter(F.col("_v").isNotNull()).withColumn(
-        "_w", F.greatest(F.coalesce("value_count", F.lit(1)), F.lit(1)).cast("bigint")
-    )
+    weight_of = F.greatest(F.coalesce("value_count", F.lit(1)), F.lit(1)).cast("bigint").alias("_w")
+    usable = rows.filter(F.col("_v").isNotNull()).select(*keys, "raw_label", "_v", "_dim", weight_of)
+    usable = cut(usable)  # read by four aggregates below
     if mode == "rebuild":
         per_dim = usable.groupBy(*keys, "_dim").agg(F.count("*").alias("_c"))
         dims = per_dim.groupBy(*keys).agg(
@@ -168,6 +169,36 @@ def apply_rebuild(clusters: DataFrame, review: DataFrame, issues: DataFrame) ->
     )
 
 
+def rebuild_missing_centroids(clusters: DataFrame, label_map: DataFrame, embeddings: DataFrame,
+                              fields: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(clusters, rebuilt keys): active standard clusters without a centroid get one, with medoid and counts.
+
+    Mean of the unit vectors of the cluster's labels, as the weekly job takes it; clusters without a usable vector stay
+    as they are. ``fields`` (field_name) limits the repair.
+    """
+    wanted = clusters.filter(
+        F.coalesce("active", F.lit(True)) & ~F.coalesce("is_true_anomaly_cluster", F.lit(False))
+        & F.col("centroid_embedding").isNull())
+    if fields is not None:
+        wanted = wanted.join(fields.select("field_name").distinct(), "field_name", "left_semi")
+    new = cut(centroids(centroid_members(wanted, label_map, embeddings, by="normalized"), "weekly"))
+    values = new.select(
+        *[F.col(k).alias(f"_{k}") for k in KEY], F.col("centroid").alias("_centroid_embedding"),
+        F.col("medoid_label").alias("_medoid_label"), F.col("medoid_similarity").alias("_medoid_similarity_to_centroid"),
+        F.col("representatives.raw_label").alias("_representative_labels"), F.col("cluster_size").alias("_cluster_size"),
+        F.col("total_occurrences").alias("_total_occurrences"), F.lit(True).alias("_hit"))
+    same = [
+        (F.coalesce(clusters[k], F.lit("v1")) if k == "cluster_version" else clusters[k]).eqNullSafe(F.col(f"_{k}")) for k in KEY
+    ]
+    both = clusters.join(values, [*same, clusters["centroid_embedding"].isNull()], "left")
+    own = [c.removeprefix("_") for c in values.columns if c not in ("_hit", *(f"_{k}" for k in KEY))]
+    out = both.select(*[
+        F.when(F.col("_hit"), F.col(f"_{c}").cast(clusters.schema[c].dataType)).otherwise(clusters[c]).alias(c) if c in own else clusters[c]
+        for c in clusters.columns
+    ])
+    return out, new.select(*KEY)
+
+
 def registry(mapping: DataFrame, vec: str = "v") -> DataFrame:
     """One row per final cluster without anomalies: counts, sources, unit mean of the label
     vectors (not weighted) and the most frequent label as medoid."""

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from ..functions import vectors as V
 from ..lineage import cut
 from ..sources.io import dense_index, latest_per_key
-from .blocks import _side, knn, pack, small_batches
+from .blocks import _side, block_pairs, knn, pack, small_batches
 
 FLOOR = 1e-9  # least distance, so that equal vectors do not give infinite density
 SLICE_EDGES = 200_000
@@ -100,8 +100,7 @@ def spanning_forest(df: DataFrame, min_samples: int, field: str = "field_name",
         .groupBy("block").agg(F.array_sort(F.collect_list(F.struct("pos", "core"))).getField("core").alias("core"))
     )
     blocks = cut(blocks.join(cores, "block"))
-    ids = blocks.select(field, "dim", F.col("block").alias("q_block"))
-    pairs = ids.join(ids.withColumnRenamed("q_block", "t_block"), [field, "dim"]).filter("q_block <= t_block")
+    pairs = block_pairs(blocks, [field]).filter("q_block <= t_block")
     q = _side(blocks, "q").withColumnRenamed("core", "q_core")
     t = _side(blocks, "t").withColumnRenamed("core", "t_core").drop(field, "dim")
     joined = pairs.select("q_block", "t_block").join(q, "q_block").join(t, "t_block")
@@ -342,18 +341,16 @@ def _distance_sums(key: list[str]):
     return run
 
 
-def silhouette(df: DataFrame, key: list[str], row_id: str, vec: str, cluster: str, sample: int = 3000,
-               seed: int = 42) -> DataFrame:
-    """Mean silhouette (Euclidean) of clustered points per key, from at most ``sample`` points.
+def silhouette(df: DataFrame, key: list[str], row_id: str, vec: str, cluster: str) -> DataFrame:
+    """Mean silhouette (Euclidean) of all clustered points per key.
 
     -1 with fewer than two clusters. Pairs of blocks give distance sums per point and
     cluster; no pair of points is a row.
     """
     rows = df.filter(F.col(cluster) != -1)
-    w = Window.partitionBy(*key).orderBy(F.xxhash64(F.col(row_id).cast("string"), F.lit(seed)), F.col(row_id).cast("string"))
-    some = rows.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= sample)
-    blocks = cut(pack(some, key, row_id, vec, mask=cluster))
-    pairs = _side(blocks, "q").join(_side(blocks, "t").drop("t_block"), [*key, "dim"])
+    blocks = cut(pack(rows, key, row_id, vec, mask=cluster))
+    pairs = block_pairs(blocks, key).select("q_block", "t_block").join(_side(blocks, "q"), "q_block")
+    pairs = pairs.join(_side(blocks, "t").drop("dim", *key), "t_block")
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.select(*key).schema.fields)
     columns = [*key, "dim", "q_ids", "q_vecs", "q_masks", "t_vecs", "t_masks"]
     with small_batches(df.sparkSession):
@@ -371,7 +368,7 @@ def silhouette(df: DataFrame, key: list[str], row_id: str, vec: str, cluster: st
     )
 
 
-def tune_density(df: DataFrame, sizes: list[int], samples: list[int], seed: int = 42, field: str = "field_name",
+def tune_density(df: DataFrame, sizes: list[int], samples: list[int], field: str = "field_name",
                  row_id: str = "label_id", vec: str = "v") -> tuple[DataFrame, DataFrame]:
     """Best of a grid of configurations per field: (labels, scores of all configurations).
 
@@ -404,7 +401,7 @@ def tune_density(df: DataFrame, sizes: list[int], samples: list[int], seed: int
     largest = found.filter("cluster_id <> -1").groupBy(*key, "cluster_id").count().groupBy(*key).agg(
         F.max("count").alias("largest_cluster_size"))
     clustered = found.join(rows.select(field, "rid", "v"), [field, "rid"])
-    sil = silhouette(clustered, key, "rid", "v", "cluster_id", seed=seed)
+    sil = silhouette(clustered, key, "rid", "v", "cluster_id")
     n = F.col("n")
     ratio, big = F.col("anomaly_ratio"), F.col("largest_cluster_ratio")
     enough = (F.col("n_clusters") >= 2) & (

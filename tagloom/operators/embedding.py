@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.embedtext import embedding_text
@@ -18,26 +17,30 @@ from .vector_mean import mean_vectors
 Provider = Callable[[pd.Series], list]
 
 
-def hash_provider(dim: int = 384) -> Provider:
-    """Deterministic vectors from repeated SHA-256 of the text; needs no model."""
+def hash_vector(text: Column, dim: int = 384) -> Column:
+    """Deterministic values from repeated SHA-256 of the text, a byte each; needs no model and no Python."""
+    first = F.struct(F.sha2(F.encode(text, "UTF-8"), 256).alias("last"), F.lit("").alias("all"))
 
-    def one(text: str) -> np.ndarray:
-        digest, raw = hashlib.sha256(text.encode("utf-8")).digest(), b""
-        while len(raw) < dim:
-            digest = hashlib.sha256(digest).digest()
-            raw += digest
-        return np.frombuffer(raw[:dim], dtype=np.uint8) / 255.0 - 0.5
+    def step(acc: Column, _: Column) -> Column:
+        digest = F.sha2(F.unhex(acc["last"]), 256)
+        return F.struct(digest.alias("last"), F.concat(acc["all"], digest).alias("all"))
 
-    def embed(texts: pd.Series) -> list:
-        return [one(t) for t in texts]
-
-    return embed
+    digits = F.aggregate(F.sequence(F.lit(1), F.lit(-(-dim // 32))), first, step, lambda acc: acc["all"])
+    # A list of the bytes, so that the digests are computed once and not for each value.
+    return F.transform(
+        F.slice(F.regexp_extract_all(digits, F.lit("(..)"), F.lit(1)), 1, dim),
+        lambda x: F.conv(x, 16, 10).cast("double") / 255.0 - 0.5)
 
 
 def embed(
-    df: DataFrame, text_col: str, provider: Provider, dim: int, out: str = "embedding"
+    df: DataFrame, text_col: str, provider: Provider | None, dim: int, out: str = "embedding"
 ) -> DataFrame:
-    """Unit vector per text: each distinct text once, in Arrow batches, joined back."""
+    """Unit vector per text: by hash natively, or each distinct text once in Arrow batches, joined back.
+
+    Without a provider the vectors are those of ``hash_vector``.
+    """
+    if provider is None:
+        return df.withColumn(out, F.when(F.col(text_col).isNotNull(), l2_normalize(hash_vector(F.col(text_col), dim))))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -54,7 +57,7 @@ def embed(
 
 
 def cached_embeddings(
-    labels: DataFrame, cache: DataFrame, key: str, provider: Provider, dim: int,
+    labels: DataFrame, cache: DataFrame, key: str, provider: Provider | None, dim: int,
     mode: str = "field_label", style: str = "cluster",
 ) -> DataFrame:
     """Vectors of the cache where present, embedding only the missing labels.

@@ -61,16 +61,18 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
     return nodes.join(found, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
 
 
-def _local_moving(edges: DataFrame, degree: DataFrame, resolution: float, two_m: DataFrame, seed: int,
-                  max_rounds: int) -> DataFrame:
-    """Assign each node to a neighbouring community while the modularity gain is positive.
+#: Far beyond what any graph took; a loop that gets there is an error, never a result.
+MAX_ROUNDS = 2000
 
-    Half of the nodes may move per round (chosen by a hash of node and round), so that two
-    neighbours do not swap for ever.
+
+def _local_moving(edges: DataFrame, degree: DataFrame, resolution: float, two_m: DataFrame, seed: int) -> DataFrame:
+    """Assign each node to a neighbouring community until no node has a positive modularity gain.
+
+    A share of the nodes may move per round (chosen by a hash of node and round): half at first, less
+    from round to round, so that neighbours that would swap for ever come to move one by one.
     """
     state = cut(degree.select(*degree.columns, F.col("node").alias("comm")))
-    quiet = 0
-    for r in range(max_rounds):
+    for r in range(MAX_ROUNDS):
         totals = state.groupBy("graph", "comm").agg(F.sum("deg").alias("tot"))
         other = state.select("graph", F.col("node").alias("dst"), "comm")
         links = (
@@ -89,27 +91,28 @@ def _local_moving(edges: DataFrame, degree: DataFrame, resolution: float, two_m:
             F.min(F.struct((-F.col("gain")).alias("g"), "comm")).alias("b"),
             F.max(F.when(F.col("comm") == F.col("old"), F.col("gain"))).alias("stay"),
         )
-        turn = F.pmod(F.xxhash64("node", F.lit(seed * 1000 + r)), F.lit(2)) == 0
+        turn = F.pmod(F.xxhash64("node", F.lit(seed * 1000 + r)), F.lit(2 + r // 8)) == 0
         moved = state.join(best, ["graph", "node"], "left").withColumn(
-            "_go", F.coalesce((-F.col("b.g") > F.col("stay") + 1e-9) & turn, F.lit(False))
+            "_wants", F.coalesce(-F.col("b.g") > F.col("stay") + 1e-9, F.lit(False))
         )
         state = cut(moved.select(
-            "graph", "node", "deg", F.when(F.col("_go"), F.col("b.comm")).otherwise(F.col("comm")).alias("comm"), "_go"
+            "graph", "node", "deg", F.when(F.col("_wants") & turn, F.col("b.comm")).otherwise(F.col("comm")).alias("comm"), "_wants"
         ))
-        moves = state.filter("_go").count()
-        state = state.drop("_go")
-        quiet = quiet + 1 if moves == 0 else 0
-        if quiet == 2:  # both halves had their turn without a move
-            break
-    return state
+        settled = state.filter("_wants").isEmpty()
+        state = state.drop("_wants")
+        if settled:
+            return state
+    raise RuntimeError(f"communities are not settled after {MAX_ROUNDS} rounds")
 
 
 def communities(
     edges: DataFrame, resolution: float = 1.15, min_size: int = 3, seed: int = 42,
-    graph: str | None = None, max_levels: int = 10, max_rounds: int = 30,
+    graph: str | None = None,
 ) -> DataFrame:
     """Weighted Louvain communities: (graph, node, community), small groups are -1.
 
+    Levels go on until no two communities merge; each has fewer nodes than the one before.
+
     Local moving and contraction are joins and aggregates over the edges of all graphs at
     once; a graph is a field, or a field and a configuration. Ids count from 0 per graph by
     size, then by least member.
@@ -120,9 +123,9 @@ def communities(
     e = cut(base.unionByName(base.select("graph", F.col("dst").alias("src"), F.col("src").alias("dst"), "w")))
     two_m = cut(e.groupBy("graph").agg(F.sum("w").alias("two_m")))
     members = cut(e.select("graph", F.col("src").alias("node"), F.col("src").alias("comm")).distinct())
-    for _ in range(max_levels):
+    while True:
         degree = e.groupBy("graph", F.col("src").alias("node")).agg(F.sum("w").alias("deg"))
-        state = _local_moving(e, degree, resolution, two_m, seed, max_rounds)
+        state = _local_moving(e, degree, resolution, two_m, seed)
         # Communities are named by their least node, so that names do not depend on moves.
         names = state.groupBy("graph", "comm").agg(F.min("node").alias("name"))
         label = cut(state.join(names, ["graph", "comm"]).select("graph", "node", F.col("name").alias("to")))

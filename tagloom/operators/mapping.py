@@ -295,8 +295,8 @@ def semantic_match(
 ) -> DataFrame:
     """Best cluster of the field, standard or anomaly, if the evidence is safe.
 
-    Rejected, in this order: below the threshold, runner-up too close, actor conflict,
-    contradiction. The five best stay as evidence.
+    Rejected, in this order: no index or vector, zero vector, below the threshold, runner-up too close,
+    actor conflict, contradiction. The five best stay as evidence.
     """
     on = ["field_name", label_id]
     ranked = best_targets(
@@ -322,8 +322,10 @@ def semantic_match(
     q = guards.with_masks(q, "_qn", "_qopp", "_qact").drop("_qn")
     best, second = F.get("top", F.lit(0)), F.get("top", F.lit(1))
     gap = F.round(best["similarity"] - second["similarity"], 9)
+    has_length = F.exists("embedding", lambda x: x != 0)
     reason = (
         F.when(F.col("top").isNull(), "missing_field_semantic_index_or_label_embedding")
+        .when(~has_length, "zero_label_embedding")
         .when(best["similarity"] < threshold, "best_similarity_below_threshold")
         .when(gap < margin, "semantic_top_candidate_not_stable")
         .when(guards.masks_conflict(F.col("_qact"), best["_tact"]), "actor_direction_conflict")

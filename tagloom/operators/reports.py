@@ -359,7 +359,7 @@ def insights(clusters: DataFrame, names: DataFrame, label_map: DataFrame) -> Dat
     dups = rows(dup, F.lit("duplicate_names"), "naming",
                 F.when(d > 20, "critical").when(d > 5, "warning").otherwise("info"),
                 text(d, F.lit(" names")), d, none, F.col("excess"))
-    generic = named.filter(generic_name(F.col("name"), 4)).orderBy(F.col("cluster_size").desc(), "id").limit(10)
+    generic = named.filter(generic_name(F.col("name"), 4))
     g = generic.agg(F.count("*").alias("n")).filter("n > 0")
     gen = rows(g, F.lit("generic_names"), "naming", F.when(F.col("n") > 5, "warning").otherwise("info"),
                text(F.col("n"), F.lit(" clusters")), F.col("n"), none, F.col("n"))
@@ -369,7 +369,6 @@ def insights(clusters: DataFrame, names: DataFrame, label_map: DataFrame) -> Dat
     tight = (
         clusters.join(field_label_counts(label_map), ["field_name", "cluster_id"], "left")
         .filter((F.col("cluster_size") >= 20) & (F.coalesce("label_count", F.lit(0)) <= 2))
-        .orderBy(F.col("cluster_size").desc(), "id").limit(5)
         .agg(F.count("*").alias("n"), F.max(F.struct("cluster_size", -F.col("id"), "field_name")).getField("field_name").alias("field_name"))
         .filter("n > 0")
     )
@@ -379,12 +378,12 @@ def insights(clusters: DataFrame, names: DataFrame, label_map: DataFrame) -> Dat
 
 
 def review_priorities(clusters: DataFrame, names: DataFrame, label_map: DataFrame,
-                      pool: int = 2000, limit: int = 30) -> DataFrame:
-    """Scores of the largest clusters, with reasons; the best ``limit``."""
+                      pool: int | None = None, limit: int = 30) -> DataFrame:
+    """Scores of all clusters (or of the ``pool`` largest), with reasons; the best ``limit`` are listed."""
     c = named_clusters(clusters, names, keep_all=True).join(
         field_label_counts(label_map), ["field_name", "cluster_id"], "left"
     ).withColumn("label_count", F.coalesce("label_count", F.lit(0)))
-    c = c.orderBy(F.col("cluster_size").desc(), "id", "name").limit(pool)
+    c = c if pool is None else c.orderBy(F.col("cluster_size").desc(), "id", "name").limit(pool)
     name = F.coalesce("name", F.lit(""))
     rules = [
         ("anomaly", 0.35, is_anomaly()),
@@ -434,11 +433,11 @@ def recovery(label_map: DataFrame, by_field: bool = True) -> DataFrame:
     ).withColumn("rescue_rate", _rate("recovered_labels", "total_labels"))
 
 
-def medoid_pool(clusters: DataFrame, names: DataFrame, pool: int = 500) -> DataFrame:
+def medoid_pool(clusters: DataFrame, names: DataFrame, pool: int | None = None) -> DataFrame:
+    """Named clusters with a medoid: all, or the ``pool`` largest."""
     c = named_clusters(clusters.filter("medoid_label <> ''"), names)
-    return c.orderBy(F.col("cluster_size").desc(), "id").limit(pool).withColumn(
-        "is_weak", weak_medoid(F.col("medoid_label"))
-    )
+    c = c if pool is None else c.orderBy(F.col("cluster_size").desc(), "id").limit(pool)
+    return c.withColumn("is_weak", weak_medoid(F.col("medoid_label")))
 
 
 def medoid_examples(clusters: DataFrame, names: DataFrame, n: int = 8) -> DataFrame:
@@ -459,13 +458,15 @@ def medoid_coverage(clusters: DataFrame) -> DataFrame:
     ).withColumn("coverage_rate", _rate("with_medoid", "total_clusters"))
 
 
-def run_metadata(runs: DataFrame, limit: int = 100) -> DataFrame:
-    """Newest runs with the recovery numbers of their report."""
+def run_metadata(runs: DataFrame, limit: int | None = None) -> DataFrame:
+    """Runs (all, or the newest ``limit``) with the recovery numbers of their report."""
 
     def strict(path: str, kind: str) -> Column:
         return F.get_json_object("run_report", f"$.strict_graph_recovery.{path}").cast(kind)
 
-    return runs.orderBy(F.col("created_at").desc_nulls_last(), "field_name", "run_id").limit(limit).withColumns({
+    if limit is not None:
+        runs = runs.orderBy(F.col("created_at").desc_nulls_last(), "field_name", "run_id").limit(limit)
+    return runs.withColumns({
         "recovered_labels": strict("recovered_labels", "bigint"),
         "true_anomaly_labels": strict("true_anomaly_labels", "bigint"),
         "label_recovery_rate": strict("best_config.label_recovery_rate", "double"),
@@ -727,7 +728,7 @@ def action_items(clusters: DataFrame, names: DataFrame, outputs: DataFrame, limi
 
     lit = F.lit
     missing = clusters.agg(F.count_if(F.col("centroid_embedding").isNull()).alias("n"))
-    weak = medoid_examples(clusters, names).filter("is_weak").agg(F.count("*").alias("n"))
+    weak = medoid_pool(clusters, names).filter("is_weak").agg(F.count("*").alias("n"))
     same = same_field_duplicates(names).agg(F.count("*").alias("n"))
     worst = anomaly_by_field(clusters).orderBy(F.col("anomaly_clusters").desc(), "field_name").limit(1)
     one = clusters.limit(1)

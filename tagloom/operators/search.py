@@ -113,11 +113,12 @@ def _cluster_hits(mapped: DataFrame, keys: list[str], best_label_n: int = 8) ->
 
 def semantic_search(
     query: DataFrame, embeddings: DataFrame, label_map: DataFrame, clusters: DataFrame, names: DataFrame,
-    field: str | None = None, label_limit: int = 900, min_score: float = 0.34, limit: int = 60,
+    field: str | None = None, label_limit: int | None = None, min_score: float = 0.34, limit: int = 60,
 ) -> DataFrame:
     """Clusters of the labels nearest to the query vector (``query`` is one row with ``q``).
 
-    Score = 0.78 best + 0.22 mean similarity of the cluster's matched labels.
+    Score = 0.78 best + 0.22 mean similarity of the cluster's matched labels: those of at least ``min_score``, or the
+    ``label_limit`` nearest of them.
     """
     e = embeddings.filter(F.col("embedding").isNotNull())
     if field:
@@ -126,10 +127,11 @@ def semantic_search(
     hits = (
         e.join(F.broadcast(query.select("q")))  # one row
         .withColumn("similarity", F.round(sim, 9)).filter("similarity IS NOT NULL")
-        .select("field_name", "raw_label", "normalized_label", "similarity")
-        .orderBy(F.col("similarity").desc(), "field_name", "raw_label").limit(label_limit)
+        .select("field_name", "raw_label", "normalized_label", "similarity").filter(F.col("similarity") >= min_score)
         .withColumn("hit_id", F.concat_ws("|", "field_name", "raw_label"))
     )
+    if label_limit is not None:
+        hits = hits.orderBy(F.col("similarity").desc(), "field_name", "raw_label").limit(label_limit)
     mapped = label_hits_to_map(hits, label_map).filter("final_cluster_id IS NOT NULL").withColumnRenamed(
         "final_cluster_id", "cluster_id"
     )
@@ -163,17 +165,16 @@ def reranked_search(
 
     ``query`` is one row with ``q`` and ``query_text``. ``documents`` has field_name,
     cluster_id, cluster_version, raw_label, search_text, value_count and embedding. The
-    field filter runs after the retrieval. ``scorer`` maps two text columns to a score, a
-    pandas UDF around a model will do.
+    field filter runs before the retrieval, so that the ``top_k`` are all of the field. ``scorer`` maps two text
+    columns to a score, a pandas UDF around a model will do.
     """
     score = V.dot(V.as_double(F.col("embedding")), V.as_double(F.col("q")))
     top = (
-        documents.filter(F.col("embedding").isNotNull()).join(F.broadcast(query.select("q", "query_text")))  # one row
+        (documents if field is None else documents.filter(F.col("field_name") == field))
+        .filter(F.col("embedding").isNotNull()).join(F.broadcast(query.select("q", "query_text")))  # one row
         .withColumn("retrieval", F.round(score, 9))
         .orderBy(F.col("retrieval").desc(), "field_name", "raw_label").limit(top_k)
     )
-    if field:
-        top = top.filter(F.col("field_name") == field)
     keys = ["field_name", "cluster_id", "cluster_version"]
     scored = top.withColumn("similarity", F.round(scorer(F.col("query_text"), F.col("search_text")).cast("double"), 6))
     order = F.struct((-F.col("similarity")).alias("s"), (-F.col("retrieval")).alias("r"), "raw_label")

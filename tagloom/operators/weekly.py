@@ -47,8 +47,10 @@ def group_rows(outputs: DataFrame, statuses: list[str], start, end) -> DataFrame
     )
 
 
-def _first(df: DataFrame, keys: list[str], order: list[Column], n: int, value: str, out: str) -> DataFrame:
-    """Array of the first ``n`` values per key."""
+def _first(df: DataFrame, keys: list[str], order: list[Column], n: int | None, value: str, out: str) -> DataFrame:
+    """Array of the first ``n`` values per key, or of all."""
+    if n is None:
+        return df.groupBy(*keys).agg(F.sort_array(F.collect_list(value)).alias(out))
     w = Window.partitionBy(*keys).orderBy(*order)
     ranked = df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n)
     return ranked.groupBy(*keys).agg(
@@ -56,8 +58,17 @@ def _first(df: DataFrame, keys: list[str], order: list[Column], n: int, value: s
     )
 
 
-def label_groups(rows: DataFrame, keys: list[str], id_limit: int = 100) -> DataFrame:
-    """Numbers, examples, ids and representative label of each group of output rows."""
+def group_ids(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """All distinct record or run ids of the groups, a row each: the full list behind a group's preview."""
+    return rows.filter(F.col(value) != "").select(*keys, value).distinct()
+
+
+def label_groups(rows: DataFrame, keys: list[str], id_limit: int | None = None) -> DataFrame:
+    """Numbers, examples, ids and representative label of each group of output rows.
+
+    ``record_ids`` and ``run_ids`` hold all distinct ids; with ``id_limit`` they are previews, and ``group_ids``
+    has the whole lists as rows.
+    """
     raw = F.coalesce("raw_label", F.lit(""))
     per_raw = cut(
         rows.withColumn("_raw", raw)
@@ -85,10 +96,10 @@ def label_groups(rows: DataFrame, keys: list[str], id_limit: int = 100) -> DataF
     )
     named = per_raw.filter(strip(F.col("_raw")) != "")
     examples = _first(named, keys, [F.col("first_seen"), F.col("_raw")], 10, "_raw", "raw_labels")
-    calls = rows.filter("source_record_id <> ''").select(*keys, "source_record_id").distinct()
+    calls = group_ids(rows, keys, "source_record_id")
     call_numbers = calls.groupBy(*keys).agg(F.count("*").alias("distinct_call_count"))
     call_ids = _first(calls, keys, [F.col("source_record_id")], id_limit, "source_record_id", "record_ids")
-    runs = rows.filter("mapper_run_id <> ''").select(*keys, "mapper_run_id").distinct()
+    runs = group_ids(rows, keys, "mapper_run_id")
     run_ids = _first(runs, keys, [F.col("mapper_run_id")], id_limit, "mapper_run_id", "run_ids")
     out = numbers
     for part in (examples, call_numbers, call_ids, run_ids):

@@ -22,7 +22,7 @@ class ClusterRun:
 
 
 def cluster_labels(labels: DataFrame, min_cluster_size: int = 5, min_samples: int = 2,
-                   ks: tuple = (10, 15), thresholds: tuple = (0.72, 0.78, 0.82), tune: bool = False) -> ClusterRun:
+                   ks: tuple = (3, 5), thresholds: tuple = (0.90, 0.92, 0.94), tune: bool = False) -> ClusterRun:
     """``labels`` (field_name, label_id, raw_label, value_count, v); fields stay apart."""
     labels = cut(labels)
     if tune:

@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from ..functions.embedtext import embedding_text
 from ..functions.keys import dedupe_key
-from ..functions.lists import LABEL_FIELDS
+from ..functions.lists import CANDIDATE_THRESHOLD, LABEL_FIELDS
 from ..lineage import cut
 from ..operators import mapping as M
-from ..operators.embedding import Provider, embed, hash_provider
+from ..operators.embedding import Provider, cached_embeddings, embed
 from ..operators.labels import explode_calls
 
 
@@ -33,29 +33,60 @@ class MapperConfig:
     dim: int = 384
     text_mode: str = "field_label"
     unique_ids: bool = False
+    model: str = "hash-sha256"
+    overrides: dict | None = None
+    cache: DataFrame | None = None
+    cache_key: str = ""
+
+
+#: What a mapped label carries besides its key; the weekly job reads candidates and vector.
+STATUS = [
+    "embedding_text", "label_embedding", "mapped_cluster_id", "mapped_cluster_name", "mapped_display_name", "similarity_score",
+    "existing_cluster_threshold", "new_cluster_candidate_threshold", "mapping_status", "mapping_method", "cluster_version",
+    "top_candidates", "embedding_model", "text_mode",
+]
 
 
 def map_labels(labels: DataFrame, taxonomy: Taxonomy, provider: Provider | None = None,
                config: MapperConfig = MapperConfig()) -> DataFrame:
     """Status of distinct labels (field_name, raw_label, normalized_label).
 
-    Exact keys are resolved first; only labels without one are embedded and compared.
+    Exact keys are resolved first; only labels without one are embedded (or taken from the cache of vectors) and
+    compared. Columns: the key and STATUS; exact rows have no text, vector or candidates.
     """
     state = (taxonomy.label_map, taxonomy.clusters, taxonomy.names)
     std, anom = (M.load_exact_map(*state, anomaly=a) for a in (False, True))
     matched = cut(M.exact_map_join(labels, std, anom))
-    columns = [
-        "field_name", "raw_label", "normalized_label", "mapping_status", "mapping_method", "mapped_cluster_id",
-        "mapped_display_name", "similarity_score", "existing_cluster_threshold", "cluster_version",
-    ]
-    exact = M.exact_status(matched.filter("exact_cluster_id IS NOT NULL")).select(*columns)
     rest = matched.filter("exact_cluster_id IS NULL").select("field_name", "raw_label", "normalized_label")
-    rest = rest.withColumn("text", embedding_text(F.col("field_name"), F.col("raw_label"), config.text_mode))
-    rest = cut(embed(rest, "text", provider or hash_provider(config.dim), config.dim).withColumn(
-        "label_id", F.concat_ws("|", "field_name", "raw_label")))
-    targets = M.cluster_targets(taxonomy.clusters, taxonomy.names)
-    status = M.mapping_status(rest, M.rank_candidates(rest, targets), targets)
-    return exact.unionByName(status.select(*columns))
+    text = embedding_text(F.col("field_name"), F.col("raw_label"), config.text_mode)
+    rest = rest.withColumn("embedding_text", text)
+    if config.cache is None:
+        rest = embed(rest, "embedding_text", provider, config.dim)
+    else:
+        rest = cached_embeddings(rest, config.cache, config.cache_key, provider, config.dim, config.text_mode).drop("from_cache")
+    rest = cut(rest.withColumn("label_id", F.concat_ws("|", "field_name", "raw_label")))
+    targets = M.cluster_targets(taxonomy.clusters, taxonomy.names, config.overrides)
+    status = M.mapping_status(rest, M.rank_candidates(rest, targets), targets).withColumn("label_embedding", F.col("embedding"))
+    kinds = {f.name: f.dataType for f in status.schema}
+    none = {c: F.lit(None).cast(kinds[c]) for c in ("embedding_text", "label_embedding")}
+    empty = F.array().cast(kinds["top_candidates"])
+    exact = M.exact_status(matched.filter("exact_cluster_id IS NOT NULL")).withColumns(none | {"top_candidates": empty})
+
+    def whole(df: DataFrame) -> DataFrame:
+        return df.withColumns({
+            "mapped_cluster_name": F.col("mapped_display_name"),
+            "new_cluster_candidate_threshold": F.lit(CANDIDATE_THRESHOLD),
+            "embedding_model": F.lit(config.model), "text_mode": F.lit(config.text_mode),
+        }).select("field_name", "raw_label", "normalized_label", *STATUS)
+
+    return whole(exact).unionByName(whole(status))
+
+
+def with_key(rows: DataFrame) -> DataFrame:
+    """Add the dedupe key, which holds the version of the cluster that was mapped; one key for stream and batch."""
+    parts = [F.col(c) for c in ("source_db", "source_table", "source_record_id", "field_name",
+                                "normalized_label", "cluster_version")]
+    return rows.withColumn("dedupe_key", dedupe_key(*parts))
 
 
 def run_mapping(calls: DataFrame, taxonomy: Taxonomy, run_id: str, provider: Provider | None = None,
@@ -67,7 +98,5 @@ def run_mapping(calls: DataFrame, taxonomy: Taxonomy, run_id: str, provider: Pro
     )
     keys = ["field_name", "raw_label", "normalized_label"]
     status = map_labels(exploded.select(*keys).distinct(), taxonomy, provider, config)
-    out = exploded.join(status, keys)
-    parts = [F.col(c) for c in ("source_db", "source_table", "source_record_id", "field_name",
-                                "normalized_label", "cluster_version")]
-    return out.withColumns({"dedupe_key": dedupe_key(*parts), "mapper_run_id": F.lit(run_id)})
+    out = with_key(exploded.join(status, keys))
+    return out.withColumns({"mapper_run_id": F.lit(run_id), "created_at": F.current_timestamp()})

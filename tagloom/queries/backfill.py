@@ -235,7 +235,7 @@ def _stage_steps():
     ),
 )
 def _(t):
-    return B.cell_updates(t.stage(), stage_decisions(t), STAGE_FIELDS)
+    return B.cell_updates(t.stage(), stage_decisions(t), STAGE_FIELDS).drop("new_array")
 
 
 @query(

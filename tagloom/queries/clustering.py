@@ -120,7 +120,7 @@ def _(t):
 
 @reg("graph_sweep", "F7", "", "fx_label_vectors")
 def _(t):
-    values, _, _ = G.graph_sweep(noise_labels(t), [5, 8], [0.72, 0.82])
+    values, _, _ = G.graph_sweep(noise_labels(t), [3, 5], [0.90, 0.92, 0.94])
     return values.drop("embedding")
 
 
@@ -249,5 +249,5 @@ def _(t):
 
 @reg("tune_density", "F2", "", "fx_label_vectors")
 def _(t):
-    labels, scores = D.tune_density(t.label_vectors(), [5, 8], [2, 3], row_id="raw_label")
+    labels, scores = D.tune_density(t.label_vectors(), [5, 8, 12, 20, 30], [1, 2, 3, 5], row_id="raw_label")
     return scores

@@ -335,14 +335,14 @@ def _(t):
       FROM (SELECT count(DISTINCT name) AS d, cast(sum(c - 1) AS BIGINT) AS e FROM (SELECT name, field_name, count(*) AS c FROM strict
         WHERE name <> '' AND NOT coalesce(is_true_anomaly_cluster, false) GROUP BY ALL HAVING count(*) > 1)) WHERE d > 0
     UNION ALL SELECT 'generic_names', 'naming', CASE WHEN n > 5 THEN 'warning' ELSE 'info' END, n || ' clusters', n::DOUBLE, NULL, n
-      FROM (SELECT least(count(*), 10) AS n FROM strict WHERE length(name) <= 4 OR lower(name) IN (GENERIC)) WHERE n > 0
+      FROM (SELECT count(*) AS n FROM strict WHERE length(name) <= 4 OR lower(name) IN (GENERIC)) WHERE n > 0
     UNION ALL SELECT 'centroids_' || field_name, 'quality', CASE WHEN p > 30 THEN 'critical' ELSE 'warning' END, p || '% missing', p / 100.0::DOUBLE, field_name, missing
       FROM (SELECT field_name, count(*) FILTER (centroid_embedding IS NULL) AS missing, cast(round(count(*) FILTER (centroid_embedding IS NULL) / count(*) * 100) AS BIGINT) AS p
         FROM fx_clusters GROUP BY field_name HAVING count(*) FILTER (centroid_embedding IS NULL) > 0 ORDER BY missing DESC, field_name LIMIT 3)
     UNION ALL SELECT 'over_compressed', 'quality', 'warning', n || ' clusters', n::DOUBLE, f, n FROM (
       SELECT count(*) AS n, first(field_name ORDER BY cluster_size DESC, id) AS f FROM (SELECT c.* FROM fx_clusters c
         LEFT JOIN (SELECT field_name, final_cluster_id AS cluster_id, count(DISTINCT raw_label) AS lc FROM fx_label_map GROUP BY ALL) l USING (field_name, cluster_id)
-        WHERE cluster_size >= 20 AND coalesce(lc, 0) <= 2 ORDER BY cluster_size DESC, id LIMIT 5)) WHERE n > 0""".replace(
+        WHERE cluster_size >= 20 AND coalesce(lc, 0) <= 2)) WHERE n > 0""".replace(
         "GENERIC", X.quoted(GENERIC_NAMES)),
     *STATE, strict=STRICT, fh=FIELD_HEALTH,
 )
@@ -398,8 +398,7 @@ def _(t):
 
 
 POOL = f"""SELECT *, lower(trim(medoid_label)) IN ({X.quoted(WEAK_MEDOIDS)}) OR length(trim(medoid_label)) <= 2
-    OR regexp_full_match(trim(medoid_label), '\\d+(\\.\\d+)?') AS is_weak FROM strict WHERE medoid_label <> ''
-  ORDER BY cluster_size DESC, id LIMIT 500"""
+    OR regexp_full_match(trim(medoid_label), '\\d+(\\.\\d+)?') AS is_weak FROM strict WHERE medoid_label <> ''"""
 
 
 @reg(
@@ -432,7 +431,7 @@ def _(t):
     "run_metadata", "H18",
     """SELECT run_id, field_name, n_total - n_quarter AS recovered_labels, n_quarter AS true_anomaly_labels,
       round(n_quarter / n_total, 6) AS label_recovery_rate, 0.82::DOUBLE AS similarity_threshold, n_quarter AS graph_communities_found
-    FROM fx_cluster_runs ORDER BY created_at DESC, field_name, run_id LIMIT 100""",
+    FROM fx_cluster_runs""",
     "fx_cluster_runs",
 )
 def _(t):
@@ -453,7 +452,7 @@ def _(t):
     *STATE, "fx_cluster_runs", strict=STRICT, pool=POOL, comp=COMPRESSION, fh=FIELD_HEALTH, med=MEDOID_FIELD, rec=RECOVERY,
     anom=f"SELECT field_name, count(*) AS n FROM fx_clusters WHERE {ANOMALY} GROUP BY field_name",
     newest="""SELECT field_name, first(run_id ORDER BY created_at, run_id) AS run_id FROM (
-      SELECT * FROM fx_cluster_runs ORDER BY created_at DESC, field_name, run_id LIMIT 100) GROUP BY field_name""",
+      SELECT * FROM fx_cluster_runs) GROUP BY field_name""",
 )
 def _(t):
     return R.field_matrix(*state(t), t.cluster_runs()).select(
@@ -469,7 +468,7 @@ def _(t):
         WHERE mapping_status IN ('NEW_CLUSTER_CANDIDATE', 'TRUE_ANOMALY')
       UNION ALL SELECT 2, 'Production config issues', 'critical', count(*) FROM run WHERE mapping_status = 'NO_CLUSTER_REFERENCE'
       UNION ALL SELECT 3, 'Centroid rebuild needed', 'critical', count(*) FROM fx_clusters WHERE centroid_embedding IS NULL
-      UNION ALL SELECT 4, 'Weak medoid examples found', 'warning', least(8, count(*)) FROM pool WHERE is_weak
+      UNION ALL SELECT 4, 'Weak medoid examples found', 'warning', count(*) FROM pool WHERE is_weak
       UNION ALL SELECT 5, 'Same-field duplicate names', 'warning', count(*) FROM (SELECT 1 FROM fx_names
         GROUP BY field_name, run_id, cluster_version, display_name HAVING count(*) > 1)
       UNION ALL (SELECT 6, field_name || ' anomaly pressure', CASE WHEN count(*) > 1000 THEN 'critical' ELSE 'warning' END, count(*) FROM fx_clusters

@@ -9,7 +9,7 @@ from ..functions.text import normalize_label
 from ..lineage import checkpoint_dir, cut
 from ..operators import backfill as B
 from ..operators import weekly as W
-from ..operators.embedding import embed, hash_provider
+from ..operators.embedding import embed
 from ..oracles import expr as X
 from ..plans import clustering, maintenance
 from ..plans.mapping import MapperConfig, Taxonomy, run_mapping
@@ -36,7 +36,7 @@ def call_taxonomy(t):
         "cluster_id": F.concat(F.lit("c_"), F.col("normalized_label")),
         "text": embedding_text(F.col("field_name"), F.col("raw_label")),
     })
-    c = cut(embed(known, "text", hash_provider(DIM), DIM))
+    c = cut(embed(known, "text", None, DIM))
     anomaly = F.length("normalized_label") % 4 == 0
     no = F.lit(None)
     clusters = c.select(
@@ -88,7 +88,7 @@ def _(t):
 @reg("cluster_labels_run", "F13", "", "fx_label_vectors")
 def _(t):
     labels = t.label_vectors().select("field_name", F.col("raw_label").alias("label_id"), "raw_label", "value_count", "v")
-    return clustering.cluster_labels(labels, ks=(5, 8), thresholds=(0.72,)).report
+    return clustering.cluster_labels(labels).report
 
 
 @reg("weekly_run", "G13 G14 G15 G21", "", "fx_outputs")

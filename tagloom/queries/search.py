@@ -104,7 +104,7 @@ def _(t):
 HIT_STEPS = {
     "strict": STRICT,
     "hits": """SELECT field_name, raw_label, normalized_label, round(list_cosine_similarity(v, (SELECT v FROM fx_label_vectors WHERE vec_id = 7)), 9) AS similarity
-      FROM fx_label_vectors ORDER BY similarity DESC, field_name, raw_label LIMIT 200""",
+      FROM fx_label_vectors WHERE similarity >= 0.34""",
     "mapped": """SELECT DISTINCT h.field_name, h.similarity, m.raw_label, m.run_id, m.final_cluster_id AS cluster_id, m.value_count
       FROM hits h JOIN fx_label_map m ON m.field_name = h.field_name AND (m.raw_label = h.raw_label OR m.normalized_label = h.normalized_label)""",
 }
@@ -121,7 +121,7 @@ HIT_STEPS = {
     *STATE, **HIT_STEPS,
 )
 def _(t):
-    out = S.semantic_search(query_vector(t), t.label_embeddings(), t.label_map(), t.clusters(), t.names(), label_limit=200)
+    out = S.semantic_search(query_vector(t), t.label_embeddings(), t.label_map(), t.clusters(), t.names())
     return out.select(
         "id", "semantic_score", "matched_label_count", "matched_occurrences", "best_label",
         F.array_join("matched_labels.raw_label", ",").alias("labels"), "name",
@@ -136,7 +136,7 @@ def _(t):
           round(((CASE WHEN contains(m.field_name || ' ' || m.raw_label, '') THEN 1 ELSE 0 END)
             + CASE WHEN list_contains(string_split(m.normalized_label || ' ' || replace(coalesce(c.medoid_label, ''), '_', ' '), ' '), '7') THEN 1 ELSE 0 END) / 2, 6) AS s
         FROM (SELECT field_name, raw_label, round(list_inner_product(v, (SELECT v FROM fx_label_vectors WHERE vec_id = 7)), 9) AS r
-          FROM fx_label_vectors ORDER BY r DESC, field_name, raw_label LIMIT 100) h
+          FROM fx_label_vectors ORDER BY r DESC, field_name, raw_label LIMIT 200) h
         JOIN fx_label_map m USING (field_name, raw_label)
         LEFT JOIN fx_clusters c ON c.field_name = m.field_name AND c.cluster_id = m.final_cluster_id AND c.cluster_version = m.cluster_version AND c.active)
     WHERE cluster_version IS NOT NULL GROUP BY ALL""",
@@ -145,7 +145,7 @@ def _(t):
 def _(t):
     docs = jobs.search_documents(t.label_map(), t.clusters(), t.names()).drop("medoid_label")
     docs = docs.join(t.label_embeddings().select("field_name", "raw_label", "embedding"), ["field_name", "raw_label"])
-    out = S.reranked_search(query_vector(t), docs, t.clusters(), top_k=100, limit=1000)
+    out = S.reranked_search(query_vector(t), docs, t.clusters(), limit=1000)
     return out.filter("cluster_version IS NOT NULL").select(
         "field_name", "cluster_id", "cluster_version", "semantic_score", "matched_label_count", "matched_occurrences",
         "semantic_best_label",

@@ -59,7 +59,7 @@ def _(t):
     from ..functions.embedtext import embedding_text
 
     texts = facts(t).withColumn("text", embedding_text(F.col("field_name"), F.col("raw_label")))
-    return E.embed(texts, "text", E.hash_provider(64), 64).select(
+    return E.embed(texts, "text", None, 64).select(
         "field_name", "raw_label", F.size("embedding").cast("bigint").alias("dim"),
         r6(F.get("embedding", F.lit(0))).alias("v1"), r6(F.get("embedding", F.lit(63))).alias("v64"),
     )
@@ -76,7 +76,7 @@ def _(t):
 def _(t):
     labels = t.label_vectors().select("field_name", "raw_label")
     cache = t.label_embeddings().filter("cast(split(raw_label, '_')[1] as bigint) % 4 <> 0")
-    out = E.cached_embeddings(labels, cache, "fields_hash-384_field_label", E.hash_provider(64), 64)
+    out = E.cached_embeddings(labels, cache, "fields_hash-384_field_label", None, 64)
     return out.select(
         "field_name", "raw_label", "from_cache",
         F.when(F.col("from_cache"), r6(F.get("embedding", F.lit(0)))).alias("cached_v1"),

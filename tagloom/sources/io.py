@@ -217,22 +217,23 @@ def upsert(
     """Insert or update by key.
 
     Rules per column when both sides have the row: ``replace`` (default), ``keep``,
-    ``greatest``, ``now`` (update time). The source is reduced to one row per key first.
+    ``greatest``, ``now`` (update time). The source is reduced to one row per key first. Null keys are equal to
+    each other, as any other value.
     """
     rules = rules or {}
     if newest_first:
         source = latest_per_key(source, keys, newest_first)
-    t, s = target.alias("t"), source.alias("s")
-    both = t.join(s, [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys], "full_outer")
-    has_s = F.col(f"s.{keys[0]}").isNotNull()
-    has_t = F.col(f"t.{keys[0]}").isNotNull()
+    t = target.withColumn("_in_t", F.lit(True)).alias("t")
+    s = source.withColumn("_in_s", F.lit(True)).alias("s")
+    both = t.join(s, [F.col(f"t.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys], "full_outer")
+    has_s, has_t = F.col("s._in_s").isNotNull(), F.col("t._in_t").isNotNull()
     out = []
     for c in target.columns:
         old = F.col(f"t.{c}")
         new = F.col(f"s.{c}") if c in source.columns else F.lit(None).cast(target.schema[c].dataType)
         rule = rules.get(c, "replace" if c in source.columns else "keep")
         if c in keys:
-            value = F.coalesce(old, new)
+            value = F.when(has_t, old).otherwise(new)
         elif rule == "keep":
             value = F.when(has_t, old).otherwise(new)
         elif rule == "greatest":
