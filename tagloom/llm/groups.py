@@ -10,6 +10,7 @@ costs one comparison a member, not one a pair.
 from __future__ import annotations
 
 from collections.abc import Callable
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,29 +18,35 @@ from pyspark.sql import functions as F
 from ..lineage import cut
 from ..operators.graph import connected_components
 
-#: Whether two items can be linked, from the number of lists they share and their sizes.
-Enough = Callable[[Column, Column, Column], Column]
 
 
-def _counted(met: DataFrame, x: str, y: str, x_size: str, y_size: str, enough: Enough) -> DataFrame:
-    """(a, b), a < b, once each, of the pairs that meet in enough lists."""
+class Rule(NamedTuple):
+    """Whether two items can be linked: from their sizes, tested where they meet, and from the lists they share."""
+
+    fits: Callable[[Column, Column], Column]
+    enough: Callable[[Column, Column, Column], Column] = lambda shared, a, b: shared >= 1
+
+
+def _counted(met: DataFrame, x: str, y: str, x_size: str, y_size: str, rule: Rule) -> DataFrame:
+    """(a, b), a < b, once each, of the pairs that fit and meet in enough lists."""
+    met = met.filter(rule.fits(F.col(x_size), F.col(y_size)))
     turn = F.col(x) < F.col(y)
     pairs = met.select(
         F.least(x, y).alias("a"), F.greatest(x, y).alias("b"),
         F.when(turn, F.col(x_size)).otherwise(F.col(y_size)).alias("a_size"), F.when(turn, F.col(y_size)).otherwise(F.col(x_size)).alias("b_size"))
     shared = pairs.groupBy("a", "b", "a_size", "b_size").agg(F.count("*").alias("shared"))
-    return shared.filter(enough(F.col("shared"), F.col("a_size"), F.col("b_size"))).select("a", "b")
+    return shared.filter(rule.enough(F.col("shared"), F.col("a_size"), F.col("b_size"))).select("a", "b")
 
 
-def centre_pairs(lists: DataFrame, enough: Enough) -> DataFrame:
+def centre_pairs(lists: DataFrame, rule: Rule) -> DataFrame:
     """The centres of lists and their other members, where a centre shares enough lists with a member as their centre.
 
     ``lists``: id, size, centre, centre_size. What is left out here stays with the remaining pairs.
     """
-    return _counted(lists.filter(F.col("id") != F.col("centre")), "id", "centre", "size", "centre_size", enough)
+    return _counted(lists.filter(F.col("id") != F.col("centre")), "id", "centre", "size", "centre_size", rule)
 
 
-def remaining_pairs(lists: DataFrame, labels: DataFrame, enough: Enough) -> DataFrame:
+def remaining_pairs(lists: DataFrame, labels: DataFrame, rule: Rule) -> DataFrame:
     """Pairs whose labels differ and that share enough lists.
 
     Lists of one label are left out. In the others the rows beside the list's most frequent label meet all rows of it, so
@@ -56,17 +63,17 @@ def remaining_pairs(lists: DataFrame, labels: DataFrame, enough: Enough) -> Data
     now = cut(now.join(main, "key"))
     few = now.filter("label <> main").select("key", F.col("id").alias("x"), F.col("size").alias("x_size"), F.col("label").alias("x_label"))
     met = few.join(now, "key").filter("x_label <> label and (label = main or x < id)")
-    return _counted(met, "x", "id", "x_size", "size", enough)
+    return _counted(met, "x", "id", "x_size", "size", rule)
 
 
-def linked_groups(lists: DataFrame, enough: Enough, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def linked_groups(lists: DataFrame, rule: Rule, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """(node, component) of the items that have a link; a component is named by its least item.
 
     ``lists`` is a written table of (key, id, size, centre, centre_size), each (key, id) once; ``verify`` keeps the
     pairs (a, b) that are linked.
     """
-    tried = cut(centre_pairs(lists, enough))
+    tried = cut(centre_pairs(lists, rule))
     links = cut(verify(tried))
-    rest = remaining_pairs(lists, connected_components(links, "a", "b"), enough)
+    rest = remaining_pairs(lists, connected_components(links, "a", "b"), rule)
     rest = cut(rest.join(tried, ["a", "b"], "left_anti"))
     return connected_components(links.unionByName(cut(verify(rest))), "a", "b")

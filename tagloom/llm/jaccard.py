@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..lineage import cut
 from .common import slices, text_of
-from .groups import linked_groups
+from .groups import Rule, linked_groups
 
 WORDS = 5
 #: Two sets are linked when 100 * intersection >= PERCENT * union.
@@ -251,7 +251,11 @@ def _reachable(shared: Column, a: Column, b: Column) -> Column:
     """
     needed = F.ceil((a + b) * PERCENT / (100 + PERCENT))
     skipped = F.ceil(F.greatest(a, b) * PERCENT / 100) - 1
-    return (F.least(a, b) * 100 >= F.greatest(a, b) * PERCENT) & (shared >= needed - skipped)
+    return shared >= needed - skipped
+
+
+#: Sets of very different sizes are never linked.
+RULE = Rule(lambda a, b: F.least(a, b) * 100 >= F.greatest(a, b) * PERCENT, _reachable)
 
 
 def jaccard_groups(docs: DataFrame) -> DataFrame:
@@ -274,7 +278,7 @@ def jaccard_groups(docs: DataFrame) -> DataFrame:
         wanted = cut(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct())
         return reaching_overlap(pairs, set_arrays(docs, wanted))
 
-    labels = linked_groups(lists, _reachable, verify).select(F.col("node").alias("set_id"), "component")
+    labels = linked_groups(lists, RULE, verify).select(F.col("node").alias("set_id"), "component")
     named = sets.join(labels, "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
     named = cut(named.select("doc_id", "n_shingles", "component"))
     least = named.filter("component is not null").groupBy("component").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("members"))

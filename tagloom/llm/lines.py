@@ -7,14 +7,17 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import pin
 from ..lineage import cut
 from .common import small_side, text_of
-from .groups import linked_groups
+from .groups import Rule, linked_groups
 
 #: Lines at most so many edits apart are copies.
 EDITS = 2
 #: Shorter lines are never copies; from NEAR code points on, lines need not be equal.
 SHORTEST, NEAR = 10, 20
+#: Classes of characters that a line's profile counts.
+CLASSES = 8
 
 
 def probes(edits: int) -> list[tuple[int, int, int]]:
@@ -30,7 +33,7 @@ def probes(edits: int) -> list[tuple[int, int, int]]:
 
 
 def with_substrings(lines: DataFrame, edits: int, near: int) -> DataFrame:
-    """A row (key, indexed, id, size) for each of a line's own segments and for each substring that probes for others.
+    """A row (key, indexed, id) for each of a line's own segments and for each substring that probes for others.
 
     A line has edits + 1 even segments, the last ones longer by a character if need be. The key is a hash of the other
     line's length, the segment's number and the substring; lengths shorter than ``near`` have no segments. Four bytes a
@@ -47,8 +50,8 @@ def with_substrings(lines: DataFrame, edits: int, near: int) -> DataFrame:
         width = even + F.when(longer >= parts - i, 1).otherwise(0)
         key = F.xxhash64(other, F.lit(i), F.substring("line", start * 4 + 1, width * 4))
         found.append(F.struct(F.when(other >= near, key).alias("key"), F.lit(extra == 0 and shift == 0).alias("indexed")))
-    rows = rows.select("id", F.col("length").cast("long").alias("size"), F.explode(F.array(*found)).alias("s"))
-    return rows.select("s.key", "s.indexed", "id", "size").filter("key is not null")
+    rows = rows.select("id", F.explode(F.array(*found)).alias("s"))
+    return rows.select("s.key", "s.indexed", "id").filter("key is not null")
 
 
 def within_edits(a: Column, b: Column, edits: int) -> Column:
@@ -96,34 +99,51 @@ def line_rows(docs: DataFrame, shortest: int = SHORTEST) -> DataFrame:
 
 
 def shared_segments(lines: DataFrame, edits: int, near: int) -> DataFrame:
-    """(key, id, size, centre, centre_size) of the substrings that two lines or more share; a written table.
+    """(key, id, centre) of the substrings that two lines or more share; a written table.
 
     A first pass keeps, with map-side minima, only the least and the largest line of a key; a second one lists the lines of
     the keys where these differ. So the many keys of a single line are shuffled once, and copies of a line meet before.
     """
     rows = with_substrings(lines.filter(F.col("length") >= near).select("line", "length", "id"), edits, near)
     ends = rows.groupBy("key").agg(
-        F.min("id").alias("centre"), F.max("id").alias("other"), F.max("indexed").alias("indexed"),
-        F.min_by("size", "id").alias("centre_size"))
-    shared = cut(ends.filter("centre < other and indexed").select("key", "centre", "centre_size"))
-    return cut(rows.select("key", "id", "size").join(small_side(shared), "key").distinct())
+        F.min("id").alias("centre"), F.max("id").alias("other"), F.max("indexed").alias("indexed"))
+    shared = cut(ends.filter("centre < other and indexed").select("key", "centre"))
+    return cut(rows.select("key", "id").join(small_side(shared), "key").distinct())
+
+
+def profile(line: Column, length: Column) -> Column:
+    """Length and counts of CLASSES classes of characters: an edit changes the length by one at most, the counts by two in all."""
+    counts = []
+    for k in range(CLASSES):
+        members = "".join(chr(c) for c in range(32, 1280) if c % CLASSES == k)
+        counts.append((length - F.char_length(F.translate(line, members, ""))).cast("int").alias(f"c{k}"))
+    return F.struct(length.cast("int").alias("length"), *counts)
 
 
 def line_groups(lines: DataFrame, edits: int = EDITS, near: int = NEAR) -> DataFrame:
-    """(node, component): the lines within ``edits`` of another line, directly or over others."""
+    """(node, component): the lines within ``edits`` of another line, directly or over others.
+
+    Lines that share a substring are compared by their profiles where they meet, and by their characters only if these
+    allow a link.
+    """
+    lists = shared_segments(lines, edits, near)
+    wanted = small_side(cut(lists.select("id").distinct()))
+    texts = lines.select("id", "line", "length").join(wanted, "id", "left_semi").groupBy("id").agg(F.min("line").alias("line"))
+    texts = cut(texts.withColumn("profile", profile(F.col("line"), F.char_length("line"))))
+    own = texts.select("id", F.col("profile").alias("size"))
+    centre = texts.select(F.col("id").alias("centre"), F.col("profile").alias("centre_size"))
+    lists = cut(lists.select("key", "id", "centre").join(own, "id").join(centre, "centre"))
+
+    def fits(a: Column, b: Column) -> Column:
+        apart = reduce(lambda x, y: x + y, [F.abs(a[f"c{k}"] - b[f"c{k}"]) for k in range(CLASSES)])
+        return (F.abs(a["length"] - b["length"]) <= edits) & (apart <= 2 * edits)
 
     def verify(pairs: DataFrame) -> DataFrame:
-        ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
-        wanted = small_side(cut(ids.distinct()))
-        texts = cut(lines.select("id", "line").join(wanted, "id", "left_semi").groupBy("id").agg(F.min("line").alias("line")))
         left = texts.select(F.col("id").alias("a"), F.col("line").alias("x"))
         right = texts.select(F.col("id").alias("b"), F.col("line").alias("y"))
         return pairs.join(left, "a").join(right, "b").filter(within_edits(F.col("x"), F.col("y"), edits)).select("a", "b")
 
-    def enough(shared: Column, a: Column, b: Column) -> Column:
-        return F.abs(a - b) <= edits
-
-    return linked_groups(shared_segments(lines, edits, near), enough, verify)
+    return linked_groups(lists, Rule(fits), verify)
 
 
 def dedup_lines(docs: DataFrame, edits: int = EDITS, shortest: int = SHORTEST, near: int = NEAR) -> DataFrame:
@@ -150,10 +170,12 @@ def dedup_lines(docs: DataFrame, edits: int = EDITS, shortest: int = SHORTEST, n
         F.struct(*(docs[c] for c in docs.columns)).alias("doc"), docs["doc_id"].alias("id"), F.xxhash64(text_of(docs)).alias("hash"))
     rows = rows.join(small_side(drops, 200_000), F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("hash") == F.col("text_hash")), "left")
     text = F.col("doc")["text"]
-    parts = F.split(text, "\n")
-    kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("drops")), lambda i: F.get(parts, i))
-    fewer = F.when(F.col("drops").isNull(), text).otherwise(F.array_join(kept, "\n"))
+    breaks = F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit("")))
+    rows = rows.select("doc", "drops", F.coalesce(breaks + 1, F.lit(0)).cast("long").alias("n_lines"))
+    # Split once for a row, not once for a line that stays.
+    rows = pin(rows, {"parts": F.when(F.col("drops").isNotNull(), F.split(text, "\n"))})
+    rows = pin(rows, {"stay": F.array_except(F.sequence(F.lit(0), F.size("parts") - 1), F.col("drops"))})
+    fewer = F.array_join(F.transform("stay", lambda i: F.get("parts", i)), "\n")
     return rows.select(
-        F.col("doc").withField("text", fewer).alias("doc"),
-        F.when(text.isNull(), 0).otherwise(F.size(parts)).cast("long").alias("n_lines"),
-        F.coalesce(F.size("drops"), F.lit(0)).cast("long").alias("n_dropped"))
+        F.col("doc").withField("text", F.when(F.col("drops").isNull(), text).otherwise(fewer)).alias("doc"),
+        "n_lines", F.coalesce(F.size("drops"), F.lit(0)).cast("long").alias("n_dropped"))
