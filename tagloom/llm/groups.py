@@ -10,7 +10,6 @@ costs one comparison a member, not one a pair.
 from __future__ import annotations
 
 from collections.abc import Callable
-from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,60 +19,54 @@ from ..operators.graph import connected_components
 
 
 
-class Rule(NamedTuple):
-    """Whether two items can be linked: from their sizes, tested where they meet, and from the lists they share."""
+#: From what two rows of a list say about their items (structs ``mark``): in how many lists, this one among them, the
+#: items must meet if they are linked; null if this meeting does not count.
+Needs = Callable[[Column, Column], Column]
 
-    fits: Callable[[Column, Column], Column]
-    enough: Callable[[Column, Column, Column], Column] = lambda shared, a, b: shared >= 1
 
+def _met(rows: DataFrame, x: str, y: str, x_mark: str, y_mark: str, needs: Needs) -> DataFrame:
+    """(a, b), a < b, once each, of the pairs that meet often enough."""
+    least = needs(F.col(x_mark), F.col(y_mark))
+    met = rows.filter(least.isNotNull()).select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b"), least.alias("needs"))
+    often = met.groupBy("a", "b").agg(F.count("*").alias("n"), F.min("needs").alias("needs"))
+    return often.filter("n >= needs").select("a", "b")
 
-def _counted(met: DataFrame, x: str, y: str, x_size: str, y_size: str, rule: Rule) -> DataFrame:
-    """(a, b), a < b, once each, of the pairs that fit and meet in enough lists."""
-    met = met.filter(rule.fits(F.col(x_size), F.col(y_size)))
-    turn = F.col(x) < F.col(y)
-    pairs = met.select(
-        F.least(x, y).alias("a"), F.greatest(x, y).alias("b"),
-        F.when(turn, F.col(x_size)).otherwise(F.col(y_size)).alias("a_size"), F.when(turn, F.col(y_size)).otherwise(F.col(x_size)).alias("b_size"))
-    shared = pairs.groupBy("a", "b", "a_size", "b_size").agg(F.count("*").alias("shared"))
-    return shared.filter(rule.enough(F.col("shared"), F.col("a_size"), F.col("b_size"))).select("a", "b")
 
+def centre_pairs(lists: DataFrame, needs: Needs) -> DataFrame:
+    """The centres of lists with their other members; ``lists``: id, mark, centre, centre_mark.
 
-def centre_pairs(lists: DataFrame, rule: Rule) -> DataFrame:
-    """The centres of lists and their other members, where a centre shares enough lists with a member as their centre.
-
-    ``lists``: id, size, centre, centre_size. What is left out here stays with the remaining pairs.
+    What is left out, as only lists with this centre count, stays with the remaining pairs.
     """
-    return _counted(lists.filter(F.col("id") != F.col("centre")), "id", "centre", "size", "centre_size", rule)
+    return _met(lists.filter(F.col("id") != F.col("centre")), "id", "centre", "mark", "centre_mark", needs)
 
 
-def remaining_pairs(lists: DataFrame, labels: DataFrame, rule: Rule) -> DataFrame:
-    """Pairs whose labels differ and that share enough lists.
+def remaining_pairs(lists: DataFrame, labels: DataFrame, needs: Needs) -> DataFrame:
+    """Pairs of a list whose labels differ.
 
     Lists of one label are left out. In the others the rows beside the list's most frequent label meet all rows of it, so
-    that a large group in a list is met only by what does not belong to it. A pair with two labels meets in every list
-    it shares, so its count is whole.
+    that a large group in a list is met only by what does not belong to it.
     """
     known = labels.select(F.col("node").alias("id"), "component")
-    now = cut(lists.select("key", "id", "size").join(known, "id", "left").select(
-        "key", "id", "size", F.coalesce("component", "id").alias("label")))
+    now = cut(lists.select("key", "id", "mark").join(known, "id", "left").select(
+        "key", "id", "mark", F.coalesce("component", "id").alias("label")))
     mixed = now.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("key")
     now = now.join(cut(mixed), "key")
     votes = now.groupBy("key", "label").agg(F.count("*").alias("n"))
     main = votes.groupBy("key").agg(F.max(F.struct("n", "label")).getField("label").alias("main"))
     now = cut(now.join(main, "key"))
-    few = now.filter("label <> main").select("key", F.col("id").alias("x"), F.col("size").alias("x_size"), F.col("label").alias("x_label"))
+    few = now.filter("label <> main").select("key", F.col("id").alias("x"), F.col("mark").alias("x_mark"), F.col("label").alias("x_label"))
     met = few.join(now, "key").filter("x_label <> label and (label = main or x < id)")
-    return _counted(met, "x", "id", "x_size", "size", rule)
+    return _met(met, "x", "id", "x_mark", "mark", needs)
 
 
-def linked_groups(lists: DataFrame, rule: Rule, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def linked_groups(lists: DataFrame, needs: Needs, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """(node, component) of the items that have a link; a component is named by its least item.
 
-    ``lists`` is a written table of (key, id, size, centre, centre_size), each (key, id) once; ``verify`` keeps the
+    ``lists`` is a written table of (key, id, mark, centre, centre_mark), each (key, id) once; ``verify`` keeps the
     pairs (a, b) that are linked.
     """
-    tried = cut(centre_pairs(lists, rule))
+    tried = cut(centre_pairs(lists, needs))
     links = cut(verify(tried))
-    rest = remaining_pairs(lists, connected_components(links, "a", "b"), rule)
+    rest = remaining_pairs(lists, connected_components(links, "a", "b"), needs)
     rest = cut(rest.join(tried, ["a", "b"], "left_anti"))
     return connected_components(links.unionByName(cut(verify(rest))), "a", "b")

@@ -12,13 +12,15 @@ from pyspark.sql import functions as F
 
 from ..lineage import cut
 from .common import slices, text_of
-from .groups import Rule, linked_groups
+from .groups import linked_groups
 
 WORDS = 5
 #: Two sets are linked when 100 * intersection >= PERCENT * union.
 PERCENT = 75
 #: A document in so many is read to find out which shingles have long lists, and in how many of those a shingle must stand.
 SAMPLE, OFTEN = 16, 2
+#: Two sets must meet in one list more for each so many shingles of the overlap they need.
+STEP = 40
 #: Shingles told apart as having long lists, and sets whose arrays are picked by a broadcast list, at most: 8 bytes each.
 LONG_LISTS, PICKED = 1 << 20, 4 << 20
 
@@ -153,11 +155,11 @@ def long_lists(docs: DataFrame) -> np.ndarray:
     return np.sort(keys)
 
 
-POSTINGS = "key long, id long, size int, rare int"
+POSTINGS = "key long, id long, size int, place int, rare int"
 
 
 def short_list_postings(docs: DataFrame, long: np.ndarray) -> DataFrame:
-    """(key, id, size, rare): each set under the shingles whose lists are merged.
+    """(key, id, size, place, rare): each set under the shingles whose lists are merged, with their places in its order.
 
     Of a set's n shingles, ordered with the long lists last, the lists of the first n - T + 1 are merged; a set that shares
     T shingles with it cannot miss all of them, as only T - 1 lists are skipped. A task gives a set once, however many
@@ -168,7 +170,7 @@ def short_list_postings(docs: DataFrame, long: np.ndarray) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = set()
         for b in slices(batches, "text"):
-            keys, ids, sizes, rares = [], [], [], []
+            keys, ids, sizes, places, rares = [], [], [], [], []
             for s in shingle_sets(b.column(0).to_pylist()):
                 if not len(s) or (i := set_id(s)) in seen:
                     continue
@@ -178,9 +180,10 @@ def short_list_postings(docs: DataFrame, long: np.ndarray) -> DataFrame:
                 keys.append(first)
                 ids.append(np.full(len(first), i))
                 sizes.append(np.full(len(first), len(s)))
+                places.append(np.arange(1, len(first) + 1))
                 rares.append(np.full(len(first), len(s) - int(often.sum())))
             if keys:
-                yield _batch(POSTINGS, *map(np.concatenate, (keys, ids, sizes, rares)))
+                yield _batch(POSTINGS, *map(np.concatenate, (keys, ids, sizes, places, rares)))
 
     return docs.select(text_of(docs).alias("text")).mapInArrow(run, POSTINGS)
 
@@ -191,11 +194,11 @@ def shared_lists(postings: DataFrame) -> DataFrame:
     A text that others were made from by small changes has no rare shingle, so it becomes the centre of its copies.
     """
     once = postings.repartition("key").dropDuplicates(["key", "id"])
-    best = F.struct((F.col("rare") / F.col("size")).alias("r"), "id", "size")
+    mark = F.struct("size", "place").alias("mark")
+    best = F.struct((F.col("rare") / F.col("size")).alias("r"), "id", mark)
     w = Window.partitionBy("key")
     found = once.withColumns({"n": F.count("*").over(w), "best": F.min(best).over(w)}).filter("n > 1")
-    return cut(found.select("key", "id", F.col("size").cast("long").alias("size"),
-                            F.col("best.id").alias("centre"), F.col("best.size").cast("long").alias("centre_size")))
+    return cut(found.select("key", "id", mark, F.col("best.id").alias("centre"), F.col("best.mark").alias("centre_mark")))
 
 
 ARRAYS = "id long, shingles binary"
@@ -243,19 +246,18 @@ def reaching_overlap(pairs: DataFrame, arrays: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right").mapInArrow(run, "a long, b long")
 
 
-def _reachable(shared: Column, a: Column, b: Column) -> Column:
-    """Whether sets of these sizes that meet in ``shared`` merged lists can reach the overlap T of a link.
+def _needs(a: Column, b: Column) -> Column:
+    """In how many early lists two sets must meet to be linked, null where a list is not early for both.
 
-    A shingle that both have stands in merged lists of both up to where the merged lists of one of them end, and that one
-    has only its skipped lists behind it, less than its required overlap; so T minus those skipped must be met.
+    A link needs an overlap of T. Early lists of a set are its first n - T + k; behind them it has T - k shingles, so two
+    linked sets meet in k of them. k grows with T, up to where early lists are all the merged ones of the larger set.
     """
-    needed = F.ceil((a + b) * PERCENT / (100 + PERCENT))
-    skipped = F.ceil(F.greatest(a, b) * PERCENT / 100) - 1
-    return shared >= needed - skipped
-
-
-#: Sets of very different sizes are never linked.
-RULE = Rule(lambda a, b: F.least(a, b) * 100 >= F.greatest(a, b) * PERCENT, _reachable)
+    overlap = F.ceil((a["size"] + b["size"]) * PERCENT / (100 + PERCENT))
+    merged = overlap - F.ceil(F.greatest(a["size"], b["size"]) * PERCENT / 100) + 1
+    k = F.least(merged, 1 + F.floor(overlap / STEP))
+    sizes = F.least(a["size"], b["size"]) * 100 >= F.greatest(a["size"], b["size"]) * PERCENT
+    behind = F.least(a["size"] - a["place"], b["size"] - b["place"])
+    return F.when(sizes & (behind >= overlap - k), k)
 
 
 def jaccard_groups(docs: DataFrame) -> DataFrame:
@@ -278,7 +280,7 @@ def jaccard_groups(docs: DataFrame) -> DataFrame:
         wanted = cut(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct())
         return reaching_overlap(pairs, set_arrays(docs, wanted))
 
-    labels = linked_groups(lists, RULE, verify).select(F.col("node").alias("set_id"), "component")
+    labels = linked_groups(lists, _needs, verify).select(F.col("node").alias("set_id"), "component")
     named = sets.join(labels, "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
     named = cut(named.select("doc_id", "n_shingles", "component"))
     least = named.filter("component is not null").groupBy("component").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("members"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.text import pin
 from ..lineage import cut
 from .common import small_side, text_of
-from .groups import Rule, linked_groups
+from .groups import linked_groups
 
 #: Lines at most so many edits apart are copies.
 EDITS = 2
@@ -130,20 +130,20 @@ def line_groups(lines: DataFrame, edits: int = EDITS, near: int = NEAR) -> DataF
     wanted = small_side(cut(lists.select("id").distinct()))
     texts = lines.select("id", "line", "length").join(wanted, "id", "left_semi").groupBy("id").agg(F.min("line").alias("line"))
     texts = cut(texts.withColumn("profile", profile(F.col("line"), F.char_length("line"))))
-    own = texts.select("id", F.col("profile").alias("size"))
-    centre = texts.select(F.col("id").alias("centre"), F.col("profile").alias("centre_size"))
+    own = texts.select("id", F.col("profile").alias("mark"))
+    centre = texts.select(F.col("id").alias("centre"), F.col("profile").alias("centre_mark"))
     lists = cut(lists.select("key", "id", "centre").join(own, "id").join(centre, "centre"))
 
-    def fits(a: Column, b: Column) -> Column:
+    def needs(a: Column, b: Column) -> Column:
         apart = reduce(lambda x, y: x + y, [F.abs(a[f"c{k}"] - b[f"c{k}"]) for k in range(CLASSES)])
-        return (F.abs(a["length"] - b["length"]) <= edits) & (apart <= 2 * edits)
+        return F.when((F.abs(a["length"] - b["length"]) <= edits) & (apart <= 2 * edits), 1)
 
     def verify(pairs: DataFrame) -> DataFrame:
         left = texts.select(F.col("id").alias("a"), F.col("line").alias("x"))
         right = texts.select(F.col("id").alias("b"), F.col("line").alias("y"))
         return pairs.join(left, "a").join(right, "b").filter(within_edits(F.col("x"), F.col("y"), edits)).select("a", "b")
 
-    return linked_groups(lists, Rule(fits), verify)
+    return linked_groups(lists, needs, verify)
 
 
 def dedup_lines(docs: DataFrame, edits: int = EDITS, shortest: int = SHORTEST, near: int = NEAR) -> DataFrame:
