@@ -2,22 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pyarrow as pa
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
-
 #: n-grams of 1 to SPECTRUM characters; characters beyond the SYMBOLS most frequent ones count as one.
 SPECTRUM, SYMBOLS = 3, 62
 #: Characters of a window; a text's scores are the mean over all its windows, by their lengths.
 WINDOW = 1024
 #: Labelled rows read for the fit, of each language, at most; landmarks among their windows; ridge.
 FIT_ROWS, LANDMARKS, RIDGE = 400, 160, 1e-3
+#: Characters that are scored together, so that a batch of long texts needs no large matrices.
+SLICE = 1 << 20
 UNKNOWN = "und"
 BREAK = SYMBOLS + 1
 BASE = SYMBOLS + 2
@@ -144,33 +144,30 @@ def train(docs: DataFrame, learn: Column | None = None) -> Model | None:
     return fit(fit_sample(rows.filter("learn and lang is not null and text is not null")))
 
 
-PREDICTED = "lang_pred string, score double"
-
-
 def identify(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
     """The rows with all their columns, and lang_pred and score, which replace columns of these names.
 
-    All windows of a text are scored by two matrix products of a batch, presence by landmarks and kernel by weights. A null text,
-    one without a letter, and any text if nothing could be learned, are UNKNOWN with score 0. Ties of two languages go to the
-    first by name. Rows are independent: repeated rows get equal results, an empty table none.
+    All windows of a text are scored by two matrix products of a slice, presence by landmarks and kernel by weights; only
+    the texts go to Python. A null text, one without a letter, and any text if nothing could be learned, are UNKNOWN
+    with score 0. Ties of two languages go to the first by name. Rows are independent: repeated rows get equal results,
+    an empty table none.
     """
     held = docs.sparkSession.sparkContext.broadcast(model)
-    letters = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
-    keep = [c for c in docs.columns if c not in ("lang_pred", "score", "_lettered")]
-    rows = docs.select(*keep, F.when(letters, F.col(text)).alias("_lettered"))
-    schema = rows.drop("_lettered").withColumns({"lang_pred": F.lit(""), "score": F.lit(0.0)}).schema
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "_lettered", 1 << 20):
-            texts = b.column(b.num_columns - 1).to_pylist()
-            known = [i for i, t in enumerate(texts) if t] if held.value is not None else []
+    @F.pandas_udf("lang_pred string, score double")
+    def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in batches:
             names, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
-            if known:
-                found, score = held.value.decide([texts[i] for i in known])
-                scores[known] = score
-                for i, lang in zip(known, found, strict=True):
-                    names[i] = lang
-            cols = [*b.columns[:-1], pa.array(names, pa.string()), pa.array(scores, pa.float64())]
-            yield pa.RecordBatch.from_arrays(cols, [*keep, "lang_pred", "score"])
-
-    return rows.mapInArrow(run, schema)
+            known = [i for i, t in enumerate(texts) if t] if held.value is not None else []
+            ends = np.cumsum([len(texts.iat[i]) for i in known]) // SLICE
+            for part in np.split(np.array(known, dtype=np.int64), np.flatnonzero(np.diff(ends)) + 1):
+                if len(part):
+                    found, scores[part] = held.value.decide([texts.iat[i] for i in part])
+                    for i, lang in zip(part, found, strict=True):
+                        names[i] = lang
+            yield pd.DataFrame({"lang_pred": names, "score": scores})
+
+    letters = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
+    keep = [c for c in docs.columns if c not in ("lang_pred", "score")]
+    rows = docs.select(*keep, predict.asNondeterministic()(F.when(letters, F.col(text))).alias("_told"))
+    return rows.select(*keep, "_told.lang_pred", "_told.score")
