@@ -414,7 +414,7 @@ def test_kneser_ney(spark):
     strings = [[rng.randint(1, 5) for _ in range(rng.randint(5, 30))] for _ in range(12)]
     grams = Counter(int(c) for s in strings for c in perplexity._codes(np.array(s), 3))
     counts = spark.createDataFrame([("en", k, n) for k, n in grams.items()], "lang string, key long, n long")
-    scorer = perplexity.Scorer(perplexity.estimate(counts, 3).toPandas())
+    scorer = perplexity.scorers(perplexity.estimate(counts, 3))["en"]
     p = plain_kneser_ney(strings, 3)
     for g in itertools.product(range(1, 7), repeat=3):
         code = np.array([(g[0] << 12) | (g[1] << 6) | g[2]])
