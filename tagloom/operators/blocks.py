@@ -223,8 +223,8 @@ def knn(
     bound is exact: no neighbour is lost.
     """
     if not on:
-        out = knn(df.withColumn("_all", F.lit(0)), ["_all"], row_id, vec, k, min_sim, block_rows)
-        return out.drop("_all")
+        out = knn(df.withColumn("whole_table", F.lit(0)), ["whole_table"], row_id, vec, k, min_sim, block_rows)
+        return out.drop("whole_table")
     rows = cut(df.select(
         *on, F.col(row_id).cast("string").alias("rid"), V.as_double(F.col(vec)).alias("v")
     ).filter(F.col("v").isNotNull()))

@@ -4,7 +4,7 @@ from importlib import import_module
 
 MODULES = [
     "text_jobs", "tables", "vectors", "mapping", "weekly", "backfill", "reports", "operations",
-    "clustering", "search", "runs",
+    "clustering", "search", "runs", "planted",
 ]
 
 

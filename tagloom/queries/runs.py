@@ -151,7 +151,11 @@ def _(t):
     )
 
 
-@reg("anomaly_state", "T3", "", "fx_outputs")
+@reg("anomaly_state", "T3", """SELECT field_name, normalized_label FROM fx_outputs
+    WHERE mapping_status IN ('TRUE_ANOMALY', 'KNOWN_TRUE_ANOMALY') AND normalized_label <> '' GROUP BY ALL
+    HAVING count(DISTINCT source_record_id) >= CASE field_name WHEN 'coaching_tags' THEN 3 WHEN 'additional_tags' THEN 20 ELSE 10 END
+      OR count(*) >= CASE field_name WHEN 'coaching_tags' THEN 5 WHEN 'additional_tags' THEN 50 ELSE 25 END
+      OR count(DISTINCT date_trunc('week', classified_at)) >= 2""", "fx_outputs")
 def _(t):
     out = anomaly_state.anomaly_state(output_stream(t))
     return mapper.run_to_table(out, target(t, "anomalies"), ["field_name", "normalized_label"], mode="append").read()

@@ -11,34 +11,32 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions.lists import DEFAULT_PROMOTION, PROMOTION_LIMITS
 
-_OUT = "field_name string, normalized_label string, calls long, occurrences long, weeks long"
+_OUT = "field_name string, normalized_label string"
 _STATE = "calls array<string>, occurrences long, weeks array<string>, met boolean"
 
 
 def _track(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """Evidence is kept only up to the limits, which is all that the test needs; it is never given out as a count."""
     calls, occurrences, weeks, met = state.get if state.exists else ([], 0, [], False)
-    calls, weeks = set(calls), set(weeks)
+    calls, weeks, was_met = set(calls), set(weeks), met
     limits = PROMOTION_LIMITS.get(key[0], DEFAULT_PROMOTION)
     for pdf in batches:
-        occurrences += len(pdf)
-        # A label that met a limit needs no further ids: the state stays small.
         if not met:
-            for call, week in zip(pdf["source_record_id"], pdf["week"]):
-                if len(calls) < limits[0]:
-                    calls.add(call)
-                if len(weeks) < limits[2]:
-                    weeks.add(week)
-    now = len(calls) >= limits[0] or occurrences >= limits[1] or len(weeks) >= limits[2]
-    state.update((sorted(calls), occurrences, sorted(weeks), bool(met or now)))
-    if now and not met:
-        yield pd.DataFrame(
-            [(key[0], key[1], len(calls), occurrences, len(weeks))],
-            columns=["field_name", "normalized_label", "calls", "occurrences", "weeks"],
-        )
+            occurrences += len(pdf)
+            calls.update(pdf["source_record_id"].dropna())
+            weeks.update(pdf["week"].dropna())
+            met = len(calls) >= limits[0] or occurrences >= limits[1] or len(weeks) >= limits[2]
+    # A label that met a limit needs no evidence any more.
+    state.update(([], 0, [], True) if met else (sorted(calls), occurrences, sorted(weeks), False))
+    if met and not was_met:
+        yield pd.DataFrame([key], columns=["field_name", "normalized_label"])
 
 
 def anomaly_state(outputs: DataFrame) -> DataFrame:
-    """Emits a label once, when its calls, occurrences or weeks reach the promotion limit."""
+    """Labels whose calls, occurrences or weeks reach the promotion limit, each once, when they do.
+
+    Which labels come out does not depend on how the rows fall into batches.
+    """
     rows = outputs.filter(
         F.col("mapping_status").isin("TRUE_ANOMALY", "KNOWN_TRUE_ANOMALY") & (F.col("normalized_label") != "")
     ).select(

@@ -3,12 +3,16 @@
 import pytest
 from compare import compare, database, entry_module
 
+from tagloom import registry
+
 SF = "/root/testdata/sf0.001"
-NAMES = [
-    "label_facts", "discover_labels", "exact_map_join", "rank_candidates", "mapping_status", "centroids_rebuild",
-    "unresolved_groups", "promotion_met", "decide_labels", "cell_updates", "insights", "semantic_search",
-    "mutual_knn_edges", "status_windows",
-]
+#: Whole runs and iterative operators take longest; they run in the check of all entries (tests/compare.py) only.
+LONG = {
+    "communities", "communities_planted", "graph_sweep", "density_cluster", "density_planted", "tune_density", "cluster_labels_run", "weekly_run",
+    "backfill_run", "map_stream", "stream_equals_batch", "status_windows", "anomaly_state", "upsert_anomaly_clusters", "materialize_taxonomy",
+    "promote_clusters", "promote_outputs", "connected_components", "graph_metrics", "pca3",
+}
+NAMES = [n for n in registry.ENTRIES if n not in LONG]
 
 
 @pytest.mark.parametrize("name", NAMES)
