@@ -7,13 +7,20 @@ from collections.abc import Iterable, Iterator, Sequence
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Rows of a side that may be broadcast after they were counted; beyond it the plain join runs.
 BROADCAST_ROWS = 1_000_000
 #: Bytes of text that a Python task works on at a time.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
+#: Rows of an Arrow batch: documents are long, and a batch is held twice on its way to Python.
+BATCH_ROWS = 500
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Set the session's Arrow batches to BATCH_ROWS rows; for whole jobs (queries, the pipeline), not for operators."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
 def text_of(df: DataFrame, text: str = "text") -> Column:

@@ -17,7 +17,7 @@ WINDOW = 1024
 #: Labelled rows read for the fit, of each language, at most; landmarks among their windows; ridge.
 FIT_ROWS, LANDMARKS, RIDGE = 400, 160, 1e-3
 #: Characters that are scored together, so that a batch of long texts needs no large matrices.
-SLICE = 1 << 20
+SLICE = 1 << 18
 UNKNOWN = "und"
 BREAK = SYMBOLS + 1
 BASE = SYMBOLS + 2
