@@ -102,6 +102,20 @@ SQL: dict[str, str] = {
             CASE WHEN page_id > first_id THEN 'revisit' ELSE 'response' END AS record_type,
             CASE WHEN page_id > first_id THEN first_id END AS refers_to
         FROM f""",
+    "op8_ngram_jaccard": r"""
+        WITH RECURSIVE d AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x20\x09-\x0D]+') AS w FROM documents),
+        s AS MATERIALIZED (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS shingle
+            FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM d WHERE len(w) > 0)),
+        n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        links AS MATERIALIZED (
+            SELECT p.x, p.y FROM (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS overlap FROM s a JOIN s b USING (shingle)
+                WHERE a.doc_id <> b.doc_id GROUP BY ALL) p JOIN n nx ON nx.doc_id = p.x JOIN n ny ON ny.doc_id = p.y
+            WHERE 100 * overlap >= 75 * (nx.n + ny.n - overlap)),
+        reach AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT r.x, l.y FROM reach r JOIN links l ON l.x = r.y)
+        SELECT r.x AS doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.y) AS component_id
+        FROM reach r LEFT JOIN n ON n.doc_id = r.x GROUP BY r.x""",
     "op10_exact_dedup": r"""
         WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents),
         g AS (SELECT *, min(doc_id) OVER (PARTITION BY norm) AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size FROM n)
