@@ -17,7 +17,7 @@ EDITS = 2
 #: Shorter lines are never copies; from NEAR code points on, lines need not be equal.
 SHORTEST, NEAR = 10, 20
 #: Classes of characters that a line's profile counts.
-CLASSES = 8
+CLASSES = 16
 
 
 def probes(edits: int) -> list[tuple[int, int, int]]:
@@ -112,7 +112,10 @@ def shared_segments(lines: DataFrame, edits: int, near: int) -> DataFrame:
 
 
 def profile(line: Column, length: Column) -> Column:
-    """Length and counts of CLASSES classes of characters: an edit changes the length by one at most, the counts by two in all."""
+    """Length and counts of CLASSES classes of characters.
+
+    A substitution changes the counts by two in all, an insertion or deletion by one, and the length by one.
+    """
     counts = []
     for k in range(CLASSES):
         members = "".join(chr(c) for c in range(32, 1280) if c % CLASSES == k)
@@ -136,7 +139,8 @@ def line_groups(lines: DataFrame, edits: int = EDITS, near: int = NEAR) -> DataF
 
     def needs(a: Column, b: Column) -> Column:
         apart = reduce(lambda x, y: x + y, [F.abs(a[f"c{k}"] - b[f"c{k}"]) for k in range(CLASSES)])
-        return F.when((F.abs(a["length"] - b["length"]) <= edits) & (apart <= 2 * edits), 1)
+        longer = F.abs(a["length"] - b["length"])
+        return F.when((longer <= edits) & (apart <= 2 * edits - longer), 1)
 
     def verify(pairs: DataFrame) -> DataFrame:
         left = texts.select(F.col("id").alias("a"), F.col("line").alias("x"))
