@@ -3,25 +3,31 @@
 from __future__ import annotations
 
 import heapq
-from collections.abc import Mapping
-
-from pyspark.sql import DataFrame
+import pickle
+from collections.abc import Iterable, Iterator, Mapping
+from fractions import Fraction
+from itertools import count, islice
+from math import lcm
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..lineage import cut
-from .common import number_rows
+from .common import number_rows, small_side
 
 #: Rows of a block, the unit that is scheduled.
 BLOCK_ROWS = 16
-#: Slots of a period: weights are rounded to whole numbers of slots, at least one, that sum to a multiple of it.
-PERIOD = 1024
+#: Slots of a stretch of the schedule, the least that is dealt out as one; numbers that the states of all stretches have.
+PERIOD, STATES = 1024, 1 << 22
 #: Without target weights a source weighs as its rows to this power, which lifts small sources.
 POWER = 0.5
 SEED = 7
 
 
 def shares(weights: Mapping[str, float], period: int = PERIOD) -> dict[str, int]:
-    """Whole numbers of slots in proportion to the weights, one at least, summing to period times a whole number."""
+    """Whole numbers of slots near the proportion of the weights, one at least, summing to period times a whole number."""
     total = sum(weights.values())
     size = period * max(1, -(-2 * len(weights) // period))
     exact = {s: max(1.0, w * size / total) for s, w in weights.items()}
@@ -34,51 +40,83 @@ def shares(weights: Mapping[str, float], period: int = PERIOD) -> dict[str, int]
     return out
 
 
-def period_schedule(slots: Mapping[str, int]) -> list[str]:
-    """The source of each slot of a period.
+def whole_weights(weights: Mapping[str, float]) -> dict[str, int]:
+    """Whole numbers in exactly the proportion of the weights."""
+    exact = {s: Fraction(w) for s, w in weights.items()}
+    unit = lcm(*(x.denominator for x in exact.values()))
+    return {s: int(x * unit) for s, x in exact.items()}
+
 
-    Block i of a source with n of N slots is released at floor(i N / n) and due at ceil((i + 1) N / n). In each slot the
-    released block with the earliest deadline runs, ties by name. With weights that sum to one every block meets its
-    deadline, so at any time each source is less than one block from its share, and at the period's end exactly on it.
+def scheduled(weights: Mapping[str, int], slot: int, done: Mapping[str, int]) -> Iterator[str]:
+    """The source of each slot from ``slot`` on, after ``done`` blocks of each source; without an end.
+
+    Block i of a source with weight w of W in all is released at floor(i W / w) and due at ceil((i + 1) W / w). In each slot
+    the released block with the earliest deadline runs, ties by name. As the shares sum to one every block meets its
+    deadline, so at any time each source is less than one block from its share.
     """
-    size, order = sum(slots.values()), []
-    waiting = [(0, s, 0) for s in slots]
+    total = sum(weights.values())
+    waiting = [(i * total // weights[s], s, i) for s, i in done.items()]
     heapq.heapify(waiting)
     ready: list[tuple[int, str, int]] = []
-    for t in range(size):
+    for t in count(slot):
         while waiting and waiting[0][0] <= t:
             _, s, i = heapq.heappop(waiting)
-            heapq.heappush(ready, (-(-(i + 1) * size // slots[s]), s, i))
+            heapq.heappush(ready, (-(-(i + 1) * total // weights[s]), s, i))
         _, s, i = heapq.heappop(ready)
-        order.append(s)
-        if i + 1 < slots[s]:
-            heapq.heappush(waiting, ((i + 1) * size // slots[s], s, i + 1))
-    return order
+        yield s
+        heapq.heappush(waiting, ((i + 1) * total // weights[s], s, i + 1))
 
 
-def phases(blocks: Mapping[str, int], weights: Mapping[str, float], period: int = PERIOD) -> list[dict]:
-    """The stretches of the mix between the ends of sources.
+def period_schedule(slots: Mapping[str, int]) -> list[str]:
+    """The source of each slot of a period in which the sources have these numbers of slots, which it ends exactly on."""
+    return list(islice(scheduled(slots, 0, dict.fromkeys(slots, 0)), sum(slots.values())))
+
+
+def stretches(blocks: Mapping[str, int], weights: Mapping[str, float], period: int = PERIOD) -> tuple[list[tuple], dict[str, int]]:
+    """The mix in stretches that can be dealt out, and the slot of each source's last block.
 
-    In a phase the remaining sources follow the schedule of their weights; it ends when a source has no block left, and
-    the others go on with weights in proportion to theirs. Each phase: its first slot, the sources' blocks done before
-    it, and each source's slots within a period.
+    In a phase the remaining sources follow the schedule of their exact weights; it ends when a source has no block left, and
+    the others go on with weights in proportion to theirs. A stretch: its phase's first slot, its own first slot and
+    its length, counted in the phase, the weights, and the blocks of each source done before the phase and within it. The
+    schedule runs through once, but only the states at the stretches' starts are kept, STATES numbers or so in all.
     """
-    left, out, slot = {s: n for s, n in blocks.items() if n > 0}, [], 0
-    done = dict.fromkeys(blocks, 0)
+    left, first, out, last = {s: n for s, n in blocks.items() if n > 0}, 0, [], {}
+    before = dict.fromkeys(blocks, 0)
+    period = max(period, sum(blocks.values()) * len(blocks) // STATES)
     while left:
-        plan = period_schedule(shares({s: weights[s] for s in left}, period))
-        at: dict[str, list[int]] = {s: [] for s in left}
-        for t, s in enumerate(plan):
-            at[s].append(t)
-        last = {s: (n - 1) // len(at[s]) * len(plan) + at[s][(n - 1) % len(at[s])] for s, n in left.items()}
-        length = min(last.values()) + 1
-        whole, rest = divmod(length, len(plan))
-        ran = {s: whole * len(at[s]) + sum(t < rest for t in at[s]) for s in left}
-        out.append({"slot": slot, "period": len(plan), "at": at, "before": {s: done[s] for s in left}, "ran": ran})
-        slot += length
-        done |= {s: done[s] + ran[s] for s in left}
-        left = {s: n - ran[s] for s, n in left.items() if n > ran[s]}
-    return out
+        shares, done, t = whole_weights({s: weights[s] for s in left}), dict.fromkeys(left, 0), 0
+        for t, s in enumerate(scheduled(shares, 0, done)):
+            if t % period == 0:
+                out.append((first, t, period, shares, {x: before[x] for x in left}, dict(done)))
+            done[s] += 1
+            if done[s] == left[s]:
+                last[s] = first + t
+                break
+        out[-1] = (*out[-1][:2], t % period + 1, *out[-1][3:])
+        first += t + 1
+        before |= {s: before[s] + done[s] for s in left}
+        left = {s: n - done[s] for s, n in left.items() if n > done[s]}
+    return out, last
+
+
+def block_slots(spark: SparkSession, plan: list[tuple]) -> DataFrame:
+    """(source, block, slot) of all blocks: each stretch is run again from its state, on the cluster."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for state in batch.column(0).to_pylist():
+                first, start, length, shares, before, done = pickle.loads(state)
+                order = list(islice(scheduled(shares, start, done), length))
+                at = {s: before[s] + done[s] for s in done}
+                numbers = []
+                for s in order:
+                    numbers.append(at[s])
+                    at[s] += 1
+                slots = np.arange(first + start, first + start + length)
+                yield pa.RecordBatch.from_arrays([pa.array(order), pa.array(numbers, pa.int64()), pa.array(slots)], ["source", "block", "slot"])
+
+    rows = spark.createDataFrame([(pickle.dumps(x),) for x in plan], "state binary")
+    return rows.mapInArrow(run, "source string, block long, slot long")
 
 
 def source_weights(rows: Mapping[str, int], weights: Mapping[str, float] | None) -> dict[str, float]:
@@ -94,9 +132,9 @@ def mix_sources(docs: DataFrame, weights: Mapping[str, float] | None = None, blo
     """doc_id, source, text_crc32, block, slot, position of every row; ``position`` is gapless from 0.
 
     The rows of a source, in an order by hash, are cut into blocks; the schedule gives a block its slot and a row its
-    position. Only the sources' counts reach the driver, and the schedule of one period; a row finds its slot by arithmetic.
-    All rows stay: when a source ends, the others go on by their weights. Within a phase, each source is less than a block
-    from its target at any slot.
+    position. Only the sources' counts reach the driver, which runs through the schedule once; tasks run its stretches again
+    for the blocks' slots. All rows stay: when a source ends, the others go on by their weights. Within a phase, each source
+    is less than a block from its exact target at any slot, however long the phase is.
 
     ``weights``: positive target weights by source, or None for rows ** POWER. A null source is a source of its own, named
     by the empty text together with it. A null doc_id or text is a value like any other; rows equal in doc_id and text are
@@ -108,30 +146,13 @@ def mix_sources(docs: DataFrame, weights: Mapping[str, float] | None = None, blo
     rows = rows.withColumn("shuffled", F.xxhash64(F.lit(SEED), "doc_id", "text_crc32"))
     counts = {r["source"]: r["n"] for r in rows.groupBy("source").agg(F.count("*").alias("n")).collect()}
     blocks = {s: -(-n // block_rows) for s, n in counts.items()}
-    plan = phases(blocks, source_weights(counts, weights), period)
-
-    spark = docs.sparkSession
-    table = [
-        (s, i, p["slot"], p["period"], p["before"][s], p["before"][s] + p["ran"][s], p["at"][s])
-        for i, p in enumerate(plan) for s in p["before"]
-    ]
-    kinds = "source string, phase int, first_slot long, period long, first_block long, next_block long, at array<int>"
-    steps = F.broadcast(spark.createDataFrame(table, kinds))
+    plan, last = stretches(blocks, source_weights(counts, weights), period)
+
+    slots = small_side(cut(block_slots(docs.sparkSession, plan)))
     numbered = number_rows(rows, ["shuffled", "doc_id", "text_crc32"], within=["source"], rows=sum(counts.values()))
-    cuts = numbered.withColumn("block", F.expr(f"row_no div {block_rows}"))
-    met = cuts.join(steps, [cuts["source"] == steps["source"], cuts["block"] >= steps["first_block"],
-                            cuts["block"] < steps["next_block"]]).drop(steps["source"])
-    here = F.expr("block - first_block")
-    n = F.size("at")
-    slot = F.col("first_slot") + F.floor(here / n) * F.col("period") + F.get("at", (here % n).cast("int"))
-    met = met.withColumn("slot", slot.cast("long"))
+    met = numbered.withColumn("block", F.expr(f"row_no div {block_rows}")).join(slots, ["source", "block"])
     # the last block of a source may be short: positions behind it move up by what it lacks
-    short = []
-    for s, n_rows in counts.items():
-        if n_rows % block_rows:
-            p = next(x for x in plan if s in x["before"] and x["before"][s] + x["ran"][s] == blocks[s])
-            i = blocks[s] - 1 - p["before"][s]
-            short.append((p["slot"] + i // len(p["at"][s]) * p["period"] + p["at"][s][i % len(p["at"][s])], block_rows - n_rows % block_rows))
+    short = [(last[s], block_rows - n % block_rows) for s, n in counts.items() if n % block_rows]
     lacks, total = [], 0
     for at, missing in sorted(short):
         total += missing
