@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..lineage import cut
-from .common import slices, text_of
+from .common import slices, small_side, text_of
 from .groups import linked_groups
 
 WORDS = 5
@@ -116,18 +116,19 @@ def _batch(schema: str, *cols) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names)
 
 
-SETS = "doc_id long, n_shingles long, set_id long"
+SETS = "doc_id long, text_hash long, n_shingles long, set_id long"
 
 
 def document_sets(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, set_id (null for an empty set) of every row."""
+    """doc_id, text_hash, n_shingles, set_id (null for an empty set) of every row."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text"):
-            found = [(len(s), set_id(s) if len(s) else None) for s in shingle_sets(b.column(1).to_pylist())]
-            yield _batch(SETS, b.column(0).to_pylist(), [n for n, _ in found], [i for _, i in found])
+            found = [(len(s), set_id(s) if len(s) else None) for s in shingle_sets(b.column(2).to_pylist())]
+            yield _batch(SETS, b.column(0).to_pylist(), b.column(1).to_pylist(), [n for n, _ in found], [i for _, i in found])
 
-    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), text_of(docs).alias("text")).mapInArrow(run, SETS)
+    text = text_of(docs)
+    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text")).mapInArrow(run, SETS)
 
 
 def long_lists(docs: DataFrame) -> np.ndarray:
@@ -273,6 +274,15 @@ def jaccard_groups(docs: DataFrame) -> DataFrame:
     no other. Sets are told apart by 64-bit hashes of shingles and of sets. An empty table gives no rows; further columns are
     ignored.
     """
+    named = labelled_sets(docs)
+    least = named.filter("component is not null").groupBy("component").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("members"))
+    many = least.filter("members > 1").select("component", "component_id")
+    return named.join(many, "component", "left").select(
+        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def labelled_sets(docs: DataFrame) -> DataFrame:
+    """doc_id, text_hash, n_shingles, component (null for an empty set) of every row; a written table."""
     sets = cut(document_sets(docs))
     lists = shared_lists(short_list_postings(docs, long_lists(docs)))
 
@@ -282,14 +292,29 @@ def jaccard_groups(docs: DataFrame) -> DataFrame:
 
     labels = linked_groups(lists, _needs, verify).select(F.col("node").alias("set_id"), "component")
     named = sets.join(labels, "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
-    named = cut(named.select("doc_id", "n_shingles", "component"))
-    least = named.filter("component is not null").groupBy("component").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("members"))
-    many = least.filter("members > 1").select("component", "component_id")
-    return named.join(many, "component", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    return cut(named.select("doc_id", "text_hash", "n_shingles", "component"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The documents without those linked to one of a smaller doc_id, directly or over others."""
-    gone = jaccard_groups(docs).filter("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(cut(gone), "doc_id", "left_anti").select(docs.columns)
+    """The documents without those linked to another one, directly or over others: one row of each group stays.
+
+    That with the smallest doc_id, then hash of the text, then hash of the row; a null doc_id comes last. Texts without words
+    are linked with nothing and stay. Rows equal in all columns are interchangeable.
+    """
+    rows = labelled_sets(docs).filter("component is not null")
+    place = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "text_hash")
+    first = rows.groupBy("component").agg(F.min(place).alias("first"), F.count("*").alias("members"))
+    first = small_side(cut(first.filter("members > 1").select("component", "first")))
+    # a key of doc_id and text is of one component, so it stays or goes as a whole; rows may share the one that stays
+    keys = rows.join(first, "component").groupBy("doc_id", "text_hash").agg(
+        F.count("*").alias("rows"), F.any_value(place == F.col("first")).alias("stays"))
+    keys = cut(keys.filter("not stays or rows > 1"))
+    told = docs.select(
+        F.struct(*(docs[c] for c in docs.columns)).alias("doc"), docs["doc_id"].cast("long").alias("id"), F.xxhash64(text_of(docs)).alias("hash"))
+    same = F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("hash") == F.col("text_hash"))
+    out = told.join(keys, same, "left_anti").select("doc")
+    again = cut(keys.filter("stays").select("doc_id", "text_hash"))
+    if not again.isEmpty():
+        one = told.join(small_side(again), same, "left_semi").groupBy("id", "hash").agg(F.min_by("doc", F.xxhash64("doc")).alias("doc"))
+        out = out.unionByName(one.select("doc"))
+    return out.select("doc.*")
