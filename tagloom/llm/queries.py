@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, language, lines, mixing, packing, perplexity, quality, radix, sharding, warc
+from . import jaccard, language, lines, middle, mixing, packing, perplexity, quality, radix, sharding, warc
 from .common import small_batches
 
 
@@ -74,6 +74,14 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return radix.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    forms = middle.fill_in_middle(table(spark, sf_dir, "documents"))
+    restored = middle.restore(F.col("output"), F.col("form"))
+    return forms.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(restored, 256).alias("restored_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_sharding": op2_sharding,
@@ -85,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_packing": op9_packing,
     "op10_exact_dedup": op10_exact_dedup,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
 
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -137,4 +146,19 @@ SQL: dict[str, str] = {
         WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents),
         g AS (SELECT *, min(doc_id) OVER (PARTITION BY norm) AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size FROM n)
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256 FROM g""",
+    "op13_fill_in_middle": r"""
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+        u AS (SELECT *, regexp_extract_all(t, '[A-Za-z]+|[^A-Za-z]') AS units, ('0x' || substr(h, 1, 8))::BIGINT AS h1,
+            ('0x' || substr(h, 9, 8))::BIGINT AS h2, ('0x' || substr(h, 17, 8))::BIGINT AS h3, ('0x' || substr(h, 25, 8))::BIGINT AS h4 FROM d),
+        c AS (SELECT *, len(units) AS n, least(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS lo,
+            greatest(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS hi FROM u),
+        p AS (SELECT *, coalesce(array_to_string(units[1:lo], ''), '') AS pre, coalesce(array_to_string(units[lo + 1:hi], ''), '') AS mid,
+            coalesce(array_to_string(units[hi + 1:], ''), '') AS suf,
+            CASE WHEN t = '' OR h3 % 100 >= 90 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') THEN 'plain'
+                WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM c)
+        SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars,
+            CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+            sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+                ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+            sha256(t) AS restored_sha256 FROM p""",
 }
