@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, language, lines, middle, mixing, packing, perplexity, quality, radix, sharding, warc
+from . import alignment, jaccard, language, lines, middle, mixing, packing, perplexity, quality, radix, sharding, warc
 from .common import small_batches
 
 
@@ -74,6 +74,10 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return radix.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_tokenizers(table(spark, sf_dir, "documents"))
+
+
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     forms = middle.fill_in_middle(table(spark, sf_dir, "documents"))
     restored = middle.restore(F.col("output"), F.col("form"))
@@ -93,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_packing": op9_packing,
     "op10_exact_dedup": op10_exact_dedup,
+    "op12_alignment": op12_alignment,
     "op13_fill_in_middle": op13_fill_in_middle,
 }
 
