@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import alignment, jaccard, language, lines, middle, mixing, packing, perplexity, quality, radix, sharding, warc
+from . import alignment, jaccard, language, lines, middle, minhash, mixing, packing, perplexity, quality, radix, sharding, warc
 from .common import small_batches
 
 
@@ -74,6 +74,10 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return radix.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op11_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align_tokenizers(table(spark, sf_dir, "documents"))
 
@@ -97,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_packing": op9_packing,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_minhash": op11_minhash,
     "op12_alignment": op12_alignment,
     "op13_fill_in_middle": op13_fill_in_middle,
 }
@@ -151,6 +156,20 @@ SQL: dict[str, str] = {
         WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents),
         g AS (SELECT *, min(doc_id) OVER (PARTITION BY norm) AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size FROM n)
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256 FROM g""",
+    "op11_minhash": r"""
+        WITH RECURSIVE d AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x20\x09-\x0D]+') AS w FROM documents),
+        s AS MATERIALIZED (SELECT DISTINCT doc_id, array_to_string(w[i:i + 1], ' ') AS shingle
+            FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w), 2))) AS i FROM d WHERE len(w) > 0)),
+        n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        links AS MATERIALIZED (
+            SELECT p.x, p.y FROM (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS overlap FROM s a JOIN s b USING (shingle)
+                WHERE a.doc_id <> b.doc_id GROUP BY ALL) p JOIN n nx ON nx.doc_id = p.x JOIN n ny ON ny.doc_id = p.y
+            WHERE 100 * overlap >= 80 * (nx.n + ny.n - overlap)),
+        reach AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT r.x, l.y FROM reach r JOIN links l ON l.x = r.y)
+        SELECT r.x AS doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.y) AS component_id, r.x = min(r.y) AS kept
+        FROM reach r LEFT JOIN n ON n.doc_id = r.x GROUP BY r.x""",
     "op13_fill_in_middle": r"""
         WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
         u AS (SELECT *, regexp_extract_all(t, '[A-Za-z]+|[^A-Za-z]') AS units, ('0x' || substr(h, 1, 8))::BIGINT AS h1,
