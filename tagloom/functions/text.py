@@ -157,38 +157,48 @@ def split_labels(c: Column, is_array: bool = False) -> Column:
     )
 
 
-def parse_stage_labels(c: Column, multi: bool, is_array: bool = False) -> Column:
-    """Labels of a stage cell, repeats kept; ``{}`` text keeps invalid words."""
-    empty = F.array().cast("array<string>")
-    invalid = [""] + INVALID_WORDS
+_STAGE_INVALID = ["", *INVALID_WORDS]
 
-    def keep_valid(items: Column) -> Column:
-        return F.filter(
-            F.transform(items, lambda x: strip(x)), lambda x: ~F.lower(x).isin(invalid)
-        )
 
-    if is_array:
-        return F.coalesce(keep_valid(c), empty)
+def _keep_valid(items: Column) -> Column:
+    return F.filter(
+        F.transform(items, lambda x: strip(x)), lambda x: ~F.lower(x).isin(_STAGE_INVALID)
+    )
+
 
-    def bare(x: Column) -> Column:
-        return F.regexp_replace(F.regexp_replace(strip(x), r'^"+|"+$', ""), r"^'+|'+$", "")
+def _bare(x: Column) -> Column:
+    """Stripped, without the quotes at both ends; the patterns run only where there is a quote."""
+    text = strip(x)
+    unquoted = F.regexp_replace(F.regexp_replace(text, r'^"+|"+$', ""), r"^'+|'+$", "")
+    return F.when(F.contains(x, F.lit('"')) | F.contains(x, F.lit("'")), unquoted).otherwise(text)
 
-    text = strip(c.cast("string"))
+
+def parse_stage_text(text: Column, multi: Column) -> Column:
+    """Labels of a stripped stage cell, which should be a column that exists: it is read many times."""
+    empty = F.array().cast("array<string>")
     body = strip(F.regexp_extract(text, r"(?s)^\{(.*)\}$", 1))
     braces = F.when(body == "", empty).otherwise(
-        F.filter(F.transform(F.split(body, ","), bare), lambda x: x != "")
+        F.filter(F.transform(F.split(body, ","), _bare), lambda x: x != "")
     )
-    parts = F.transform(F.split(text, r"\s*(?:,|;|\|)\s*"), bare)
-    plain = F.filter(parts, lambda x: ~F.lower(x).isin(invalid)) if multi else F.array(text)
-    as_json = F.when(text.rlike(r"(?s)^\[.*\]$"), keep_valid(F.from_json(text, "array<string>")))
+    parts = F.transform(F.split(text, r"\s*(?:,|;|\|)\s*"), _bare)
+    plain = F.when(multi, F.filter(parts, lambda x: ~F.lower(x).isin(_STAGE_INVALID))).otherwise(F.array(text))
+    opens = F.substring(text, 1, 1)
+    as_json = F.when((opens == "[") & text.endswith("]"), _keep_valid(F.from_json(text, "array<string>")))
     return (
-        F.when(text.isNull() | F.lower(text).isin(invalid), empty)
+        F.when(text.isNull() | F.lower(text).isin(_STAGE_INVALID), empty)
         .when(as_json.isNotNull(), as_json)
-        .when(text.rlike(r"(?s)^\{.*\}$"), braces)
+        .when((opens == "{") & text.endswith("}"), braces)
         .otherwise(plain)
     )
 
 
+def parse_stage_labels(c: Column, multi: bool, is_array: bool = False) -> Column:
+    """Labels of a stage cell, repeats kept; ``{}`` text keeps invalid words."""
+    if is_array:
+        return F.coalesce(_keep_valid(c), F.array().cast("array<string>"))
+    return parse_stage_text(strip(c.cast("string")), F.lit(multi))
+
+
 def assemble_stage_value(original: Column, mapped: Column, multi: bool) -> Column:
     """Text cell from mapped labels; an absent cell stays absent."""
     value = (

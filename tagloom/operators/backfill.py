@@ -14,9 +14,10 @@ from ..functions.lists import MULTI_FIELDS
 from ..functions.text import normalize_exact, normalize_label, row_changed
 from ..functions.vectors import as_double
 from ..lineage import cut
+from ..skew import join_one
 from ..sources.io import latest_per_key, update_or_insert
 from .centroids import centroids
-from .labels import cells_to_labels, long_cells
+from .labels import counted_cells, label_rows, long_cells
 from .mapping import is_active, with_names
 from .weekly import standard_names
 
@@ -254,10 +255,18 @@ def resolve_decision_names(decisions: DataFrame, names: DataFrame, clusters: Dat
 # -- rows -----------------------------------------------------------------------------------
 
 
-def _cells(stage: DataFrame, fields: list[str], keep: list[str]) -> DataFrame:
-    """Kept columns, ``field_name``, the cell as text or as array, and the text that stands for either."""
-    cells = long_cells(stage, [F.col(c) for c in keep], fields)
-    return cells.withColumn("old_value", F.coalesce("_cell", F.array_join("_array", ", ", "")))
+#: 128 bits of a cell; cells are joined by them and compared where they meet.
+_HASHES = ["_h1", "_h2"]
+
+
+def _with_hashes(cells: DataFrame) -> DataFrame:
+    cell = ["field_name", "_cell", "_array"]
+    return cells.withColumns({"_h1": F.xxhash64(*cell), "_h2": F.xxhash64(F.lit(1), *cell)})
+
+
+def _shown_cell() -> Column:
+    """The text that stands for a cell, text or array."""
+    return F.coalesce("_cell", F.array_join("_array", ", ", ""))
 
 
 def cell_values(stage: DataFrame, decisions: DataFrame, fields: list[str]) -> DataFrame:
@@ -265,16 +274,10 @@ def cell_values(stage: DataFrame, decisions: DataFrame, fields: list[str]) -> Da
 
     A cell is parsed, decided and put together once, however many rows have it; array cells stay arrays.
     """
-    cells = _cells(stage, fields, []).filter("_cell IS NOT NULL OR _array IS NOT NULL").distinct()
-    present = [f for f in fields if f in stage.columns]
-    cells = cut(cells.withColumn("_id", F.xxhash64("field_name", "_cell", "_array")))
-    wide = cells.select("_id", *[
-        F.when(F.col("field_name") == f, F.col("_array") if stage.schema[f].dataType.typeName() == "array" else F.col("_cell")).alias(f)
-        for f in present
-    ])
-    labels = cells_to_labels(wide, fields, ["_id"], rule="stage")
+    cells = cut(_with_hashes(counted_cells(stage, fields).drop("_rows")))
+    labels = label_rows(cells, _HASHES, "stage")
     shown = decisions.select(*KEY, F.col("display_name").alias("_shown"))
-    mapped = labels.join(shown, KEY, "left").groupBy("_id", "field_name").agg(
+    mapped = labels.join(shown, KEY, "left").groupBy(*_HASHES, "field_name").agg(
         F.array_sort(F.collect_list(F.struct("pos", F.coalesce("_shown", "raw_label").alias("label"))))
         .getField("label").alias("_mapped"),
         F.max(F.col("_shown").isNotNull()).alias("_any"),
@@ -283,8 +286,8 @@ def cell_values(stage: DataFrame, decisions: DataFrame, fields: list[str]) -> Da
     is_array = F.col("_array").isNotNull()
     text = F.when(is_array | multi, F.array_join("_mapped", ", ")).otherwise(F.get("_mapped", F.lit(0)))
     changed = F.when(is_array, ~F.col("_array").eqNullSafe(F.col("_mapped"))).otherwise(row_changed(F.col("old_value"), text))
-    return cells.join(mapped, ["_id", "field_name"]).select(
-        "field_name", "_cell", "_array", "old_value", text.alias("new_value"),
+    return cells.withColumn("old_value", _shown_cell()).join(mapped, [*_HASHES, "field_name"]).select(
+        *_HASHES, "field_name", "_cell", "_array", "old_value", text.alias("new_value"),
         F.when(is_array, F.col("_mapped")).alias("new_array"), changed.alias("changed"))
 
 
@@ -294,12 +297,11 @@ def cell_updates(stage: DataFrame, decisions: DataFrame, fields: list[str], row_
     Distinct cells are decided once and joined back to the rows; ``new_array`` is set for array cells, whose texts are
     joined by commas in ``old_value`` and ``new_value``.
     """
-    values = cut(cell_values(stage, decisions, fields))
-    rows = _cells(stage, fields, [row_id]).drop("old_value").alias("r")
-    v = values.alias("v")
-    same = [F.col(f"r.{c}").eqNullSafe(F.col(f"v.{c}")) for c in ("field_name", "_cell", "_array")]
-    return rows.join(v, same).select(
-        F.col(f"r.{row_id}").alias(row_id), "v.field_name", "v.old_value", "v.new_value", "v.new_array", "v.changed")
+    values = cut(cell_values(stage, decisions, fields).withColumnsRenamed({"_cell": "_cell_v", "_array": "_array_v"}))
+    cells = long_cells(stage, [F.col(row_id)], fields).filter("_cell IS NOT NULL OR _array IS NOT NULL")
+    rows = join_one(_with_hashes(cells), values, ["field_name", *_HASHES], "inner")
+    same = F.col("_cell").eqNullSafe(F.col("_cell_v")) & F.col("_array").eqNullSafe(F.col("_array_v"))
+    return rows.filter(same).select(row_id, "field_name", "old_value", "new_value", "new_array", "changed")
 
 
 def apply_to_rows(stage: DataFrame, decisions: DataFrame, fields: list[str], row_id: str = "id") -> DataFrame:

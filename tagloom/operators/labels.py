@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.keys import record_id, to_utc
 from ..functions.lists import MULTI_FIELDS
 from ..functions.text import (
-    distinct_labels, normalize_label, parse_stage_labels, pin, split_label_items,
+    distinct_labels, normalize_label, parse_stage_labels, parse_stage_text, pin, split_label_items, strip,
 )
 from ..functions.vectors import _finite
 
@@ -55,11 +55,8 @@ def _with_labels(long: DataFrame) -> DataFrame:
     return df.withColumn("labels", labels).drop("_cell", "_array", "_items", "_norms")
 
 
-def cells_to_labels(
-    df: DataFrame, fields: list[str], keep: list[str], rule: str = "mapper"
-) -> DataFrame:
-    """One row per label of each cell, with its position in the cell."""
-    long = long_cells(df, [F.col(k) for k in keep], fields)
+def label_rows(long: DataFrame, keep: list[str], rule: str) -> DataFrame:
+    """One row per label of ``long_cells`` rows, with its position in the cell."""
     if rule == "mapper":
         rows = explode_positions(
             _with_labels(long), [*keep, "field_name"], F.col("labels"), "pos", "_l"
@@ -68,22 +65,34 @@ def cells_to_labels(
             *keep, "field_name", "pos",
             F.col("_l._items").alias("raw_label"), F.col("_l._norms").alias("normalized_label"),
         )
-    cell, arr = F.col("_cell"), F.col("_array")
-    labels = (
-        F.when(arr.isNotNull(), parse_stage_labels(arr, True, True))
-        .when(F.col("field_name").isin(MULTI_FIELDS), parse_stage_labels(cell, True))
-        .otherwise(parse_stage_labels(cell, False))
+    long = pin(long, {"_text": strip(F.col("_cell"))})
+    arr, multi = F.col("_array"), F.col("field_name").isin(MULTI_FIELDS)
+    labels = F.when(arr.isNotNull(), parse_stage_labels(arr, True, True)).otherwise(
+        parse_stage_text(F.col("_text"), multi)
     )
     rows = explode_positions(long, [*keep, "field_name"], labels, "pos", "raw_label")
     return rows.withColumn("normalized_label", normalize_label(F.col("raw_label"), "loose"))
 
 
+def cells_to_labels(
+    df: DataFrame, fields: list[str], keep: list[str], rule: str = "mapper"
+) -> DataFrame:
+    """One row per label of each cell, with its position in the cell."""
+    return label_rows(long_cells(df, [F.col(k) for k in keep], fields), keep, rule)
+
+
+def counted_cells(df: DataFrame, fields: list[str]) -> DataFrame:
+    """Distinct cells with the number of rows that have them; cells are counted on the way, so only distinct ones move."""
+    long = long_cells(df, [], fields).filter("_cell IS NOT NULL OR _array IS NOT NULL")
+    return long.groupBy("field_name", "_cell", "_array").agg(F.count("*").alias("_rows"))
+
+
 def label_facts(df: DataFrame, fields: list[str]) -> DataFrame:
-    """(field_name, raw_label, value_count): one scan, one two-phase aggregate."""
+    """(field_name, raw_label, value_count): cells are counted first, and each distinct cell is parsed once."""
     return (
-        cells_to_labels(df, fields, [])
+        label_rows(counted_cells(df, fields), ["_rows"], "mapper")
         .groupBy("field_name", "raw_label")
-        .agg(F.count("*").alias("value_count"))
+        .agg(F.sum("_rows").alias("value_count"))
     )
 
 
@@ -148,10 +157,10 @@ def explode_calls(
 
 
 def discover_labels(stage: DataFrame, fields: list[str]) -> DataFrame:
-    """Count of each (field, raw, loose-normal) label over all stage rows."""
+    """Count of each (field, raw, loose-normal) label over all stage rows; each distinct cell is parsed once."""
     return (
-        cells_to_labels(stage, fields, [], rule="stage")
+        label_rows(counted_cells(stage, fields), ["_rows"], "stage")
         .filter(F.col("normalized_label").isNotNull())
         .groupBy("field_name", "raw_label", "normalized_label")
-        .agg(F.count("*").alias("label_count"))
+        .agg(F.sum("_rows").alias("label_count"))
     )

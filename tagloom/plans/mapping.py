@@ -14,6 +14,7 @@ from ..lineage import cut
 from ..operators import mapping as M
 from ..operators.embedding import Provider, cached_embeddings, embed
 from ..operators.labels import explode_calls
+from ..skew import join_one
 
 
 @dataclass(frozen=True)
@@ -92,11 +93,11 @@ def with_key(rows: DataFrame) -> DataFrame:
 def run_mapping(calls: DataFrame, taxonomy: Taxonomy, run_id: str, provider: Provider | None = None,
                 config: MapperConfig = MapperConfig()) -> DataFrame:
     """One output row per record, field and normalized label, keyed by its dedupe key."""
-    exploded = explode_calls(
+    exploded = cut(explode_calls(  # read for its distinct labels and again for its rows, parsed once
         calls, config.fields, config.source_db, config.source_table, config.id_column, config.created,
         unique_ids=config.unique_ids,
-    )
+    ))
     keys = ["field_name", "raw_label", "normalized_label"]
-    status = map_labels(exploded.select(*keys).distinct(), taxonomy, provider, config)
-    out = with_key(exploded.join(status, keys))
+    status = cut(map_labels(exploded.select(*keys).distinct(), taxonomy, provider, config))
+    out = with_key(join_one(exploded, status, keys, "inner"))  # the commonest label may hold any share of the rows
     return out.withColumns({"mapper_run_id": F.lit(run_id), "created_at": F.current_timestamp()})

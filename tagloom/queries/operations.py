@@ -160,11 +160,11 @@ def _(t):
     "row_audit", "E13",
     """SELECT r.id, r.call_id, r.row_status, a.field_name || '=' || a.new_value || '/' || a.field_status AS field_audit FROM (
       SELECT * FROM fx_row_audit WHERE row_status = 'UPDATED' AND backfill_run_id = (SELECT backfill_run_id FROM fx_backfill_runs ORDER BY started_at DESC LIMIT 1)
-        AND EXISTS (SELECT 1 FROM fx_field_audit f WHERE f.stage_row_id = fx_row_audit.stage_row_id AND f.field_name = 'field_1') ORDER BY id DESC LIMIT 50 OFFSET 10) r
+        AND EXISTS (SELECT 1 FROM fx_field_audit f WHERE f.stage_row_id = fx_row_audit.stage_row_id AND f.field_name = 'field_1') ORDER BY id DESC LIMIT 50 OFFSET 1) r
     JOIN fx_field_audit a USING (stage_row_id)""",
     "fx_row_audit", "fx_field_audit", "fx_backfill_runs",
 )
 def _(t):
-    out = R.row_audit(t.row_audit(), t.field_audit(), t.backfill_runs(), status="UPDATED", field="field_1", offset=10)
+    out = R.row_audit(t.row_audit(), t.field_audit(), t.backfill_runs(), status="UPDATED", field="field_1", offset=1)
     text = F.transform("field_audit", lambda a: F.concat(a["field_name"], F.lit("="), a["new_value"], F.lit("/"), a["field_status"]))
     return out.select("id", "call_id", "row_status", F.array_join(text, ",").alias("field_audit"))
