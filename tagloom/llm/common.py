@@ -10,8 +10,6 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..lineage import cut
-
 #: Rows of a side that may be broadcast after they were counted; beyond it the plain join runs.
 BROADCAST_ROWS = 1_000_000
 #: Bytes of text that a Python task works on at a time.
@@ -73,22 +71,3 @@ def slices(batches: Iterable[pa.RecordBatch], text: str, limit: int = SLICE_BYTE
             total += int(size)
         if batch.num_rows > start:
             yield batch.slice(start)
-
-
-#: A key is hot if it holds more than a HOT_KEYS-th of the rows, so there are at most so many, whatever the size.
-HOT_KEYS, LEAST_HOT = 10_000, 1_000
-
-
-def join_one(rows: DataFrame, side: DataFrame, key: str, how: str = "left") -> DataFrame:
-    """``rows`` joined with ``side``, which has one row of few narrow columns for each key; both are written tables.
-
-    Hot keys, at most HOT_KEYS, are joined by a broadcast, so their rows stay where they are; what remains is shuffled by
-    the key, of which no task then gets more than a small share.
-    """
-    counts = rows.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
-    limit = max(LEAST_HOT, rows.count() // HOT_KEYS)
-    hot = cut(counts.filter(F.col("_n") > limit).select(key).join(side, key))
-    if hot.isEmpty():
-        return rows.join(side, key, how)
-    rest = rows.join(F.broadcast(hot.select(key)), key, "left_anti")
-    return rows.join(F.broadcast(hot), key).unionByName(rest.join(side, key, how))
