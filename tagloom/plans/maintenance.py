@@ -16,6 +16,7 @@ from ..operators import mapping as M
 from ..operators import weekly as W
 from ..operators.embedding import Provider, embed
 from ..operators.labels import discover_labels
+from ..sources.keyed import KeyedTable
 
 
 def apply_repairs(plan: DataFrame, state: W.State) -> tuple[DataFrame, W.State]:
@@ -81,6 +82,16 @@ def weekly_run(state: W.State, config: DataFrame, start, end, apply: bool = Fals
     return repairs, plan, state
 
 
+def apply_to_outputs(plan: DataFrame, label_map: DataFrame, outputs: KeyedTable) -> None:
+    """The plan's changes to a table of outputs in buckets by label: only the buckets of planned labels are read and written."""
+    plan = cut(plan)
+
+    def change(rows: DataFrame) -> DataFrame:
+        return W.mark_anomaly_outputs(plan, W.map_to_existing(plan, label_map, rows)[1])
+
+    outputs.update(plan.select(*W.GROUP), change)
+
+
 @dataclass(frozen=True)
 class BackfillRun:
     decisions: DataFrame

@@ -13,6 +13,7 @@ from ..plans.runs import run_recorded
 from ..plans.mapping import run_mapping
 from ..registry import query
 from ..sources import io, schemas
+from ..sources.keyed import KeyedTable
 from ..streaming import mapper
 from .clustering import KNN
 from .reports import reg
@@ -133,7 +134,7 @@ def _(t):
     calls = t.spark.sql(fx.CALLS.replace("(SELECT count(*) FROM {part})", str(keys)), events=event_stream(t), part=part)
     path = target(t, "mapped")
     mapper.map_stream(calls, taxonomy, path, CONFIG, watermark="40 days").awaitTermination()
-    streamed = io.StateTable(t.spark, path).read().drop("mapper_run_id", "created_at")
+    streamed = KeyedTable(t.spark, path).read().drop("mapper_run_id", "created_at")
     batch = run_mapping(t.calls(), taxonomy, "run_1", config=CONFIG).drop("mapper_run_id", "created_at").select(*streamed.columns)
     told = [F.sha2(F.to_json(F.struct(*sorted(streamed.columns))), 256).alias("row")]
     both = streamed.select(*told, F.lit(1).alias("s"), F.lit(0).alias("b")).unionByName(

@@ -15,6 +15,7 @@ from ..plans import clustering, maintenance
 from ..plans.mapping import MapperConfig, Taxonomy, run_mapping
 from ..sources import fixture_sql as fx
 from ..sources import io
+from ..sources.keyed import KeyedTable
 from ..sources.tables import days_after
 from ..streaming import anomaly_state, mapper
 from .reports import reg
@@ -131,7 +132,7 @@ def _(t):
     calls = t.spark.sql(text, events=event_stream(t), part=part)
     path = target(t, "mapped")
     mapper.map_stream(calls, taxonomy, path, CONFIG, watermark="40 days").awaitTermination()
-    return io.StateTable(t.spark, path).read().select(*_COLUMNS)
+    return KeyedTable(t.spark, path).read().select(*_COLUMNS)
 
 
 def output_stream(t):

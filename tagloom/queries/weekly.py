@@ -1,13 +1,18 @@
 """Queries over weekly maintenance."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions.lists import ACRONYMS_WEEKLY
+from ..lineage import checkpoint_dir
 from ..operators import mapping as M
 from ..operators import weekly as W
 from ..oracles import expr as X
 from ..oracles.fixtures import with_tables
+from ..plans import maintenance
 from ..registry import query
+from ..sources.keyed import KeyedTable
 from .mapping import ACTIVE, ANOMALY, NAMED, SHOWN
 from .tables import END, START, in_window
 
@@ -388,6 +393,31 @@ def _(t):
     return out.select("event_id", "mapped_cluster_id", "mapping_status", "mapping_method")
 
 
+@query(
+    "outputs_in_buckets", "G17 G18 A9",
+    with_tables(
+        """SELECT o.event_id, coalesce(s.target_cluster_id, a.target_cluster_id, o.mapped_cluster_id) AS mapped_cluster_id,
+          CASE WHEN s.action IS NOT NULL THEN 'EXISTING_CLUSTER' WHEN a.action IS NOT NULL THEN 'KNOWN_TRUE_ANOMALY' ELSE o.mapping_status END AS mapping_status,
+          CASE WHEN s.action IS NOT NULL THEN 'weekly_safe_map_to_existing' WHEN a.action = 'CREATE_OR_UPDATE_INDIVIDUAL_ANOMALY_CLUSTER'
+            THEN 'weekly_created_anomaly_cluster' WHEN a.action IS NOT NULL THEN 'weekly_updated_anomaly_cluster' ELSE o.mapping_method END AS mapping_method
+        FROM fx_outputs o LEFT JOIN plan s ON s.action = 'MAP_TO_EXISTING_CLUSTER' AND s.field_name = o.field_name
+          AND s.normalized_label = o.normalized_label AND o.mapping_status = 'NEW_CLUSTER_CANDIDATE'
+        LEFT JOIN (SELECT * FROM plan WHERE action <> 'MAP_TO_EXISTING_CLUSTER'
+          QUALIFY row_number() OVER (PARTITION BY field_name, normalized_label
+            ORDER BY original_status = 'KNOWN_TRUE_ANOMALY', target_cluster_id) = 1) a
+          ON a.field_name = o.field_name AND a.normalized_label = o.normalized_label AND s.action IS NULL
+          AND o.mapping_status IN ('TRUE_ANOMALY', 'NEW_CLUSTER_CANDIDATE', 'KNOWN_TRUE_ANOMALY')""",
+        *_PLAN_TABLES, **PLAN_STEPS,
+    ),
+)
+def _(t):
+    """Both changes of the week, in a stored table of which only the planned labels' buckets are rewritten."""
+    table = KeyedTable(t.spark, f"{checkpoint_dir(t.spark)}/outputs-{uuid.uuid4().hex}", ["event_id"], buckets=32, by=W.GROUP)
+    table.create(t.outputs())
+    maintenance.apply_to_outputs(plan_of(t), t.label_map(), table)
+    return table.read().select("event_id", "mapped_cluster_id", "mapping_status", "mapping_method")
+
+
 ANOMALY_STEPS = PLAN_STEPS | {
     "p": """SELECT * FROM plan WHERE action <> 'MAP_TO_EXISTING_CLUSTER'""",
     "tgt": "SELECT DISTINCT field_name, target_cluster_id FROM p",

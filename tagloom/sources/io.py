@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -295,49 +294,6 @@ def run_row(spark: SparkSession, **values) -> DataFrame:
     return spark.range(1).select(*[F.lit(v).alias(k) for k, v in values.items()])
 
 
-class StateTable:
-    """Parquet table that is rewritten as a whole new version.
-
-    A version is a directory that is complete once Spark's committer wrote its marker, so
-    readers see the old or the new state, and a lost driver leaves the old one in place.
-    """
-
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark = spark
-        self.path = path.rstrip("/")
-
-    def _versions(self) -> list[str]:
-        jvm = self.spark._jvm
-        root = jvm.org.apache.hadoop.fs.Path(self.path)
-        fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(root):
-            return []
-        found = [s.getPath() for s in fs.listStatus(root) if s.isDirectory()]
-        done = [
-            p.getName()
-            for p in found
-            if fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))
-        ]
-        return sorted(d for d in done if d.startswith("v"))
-
-    def exists(self) -> bool:
-        return bool(self._versions())
-
-    def read(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/{self._versions()[-1]}")
-
-    def replace(self, df: DataFrame) -> None:
-        number = 1 + max([int(v[1:9]) for v in self._versions()] or [0])
-        df.write.parquet(f"{self.path}/v{number:08d}-{uuid.uuid4().hex[:8]}")
-
-    def upsert(self, source: DataFrame, keys: list[str], rules=None, newest_first=None) -> None:
-        self.replace(
-            upsert(self.read(), source, keys, rules, newest_first) if self.exists() else (
-                latest_per_key(source, keys, newest_first) if newest_first else source
-            )
-        )
-
-
 # -- output -----------------------------------------------------------------------------
 
 

@@ -27,14 +27,6 @@ def test_update_or_insert_updates_all_rows_of_a_key(spark):
     assert sorted(tuple(r) for r in got.fillna("-").collect()) == [("a", 7, "x"), ("a", 7, "x"), ("b", 8, "-")]
 
 
-def test_state_table_versions(spark, tmp_path):
-    table = io.StateTable(spark, str(tmp_path / "t"))
-    assert not table.exists()
-    table.upsert(spark.createDataFrame([("a", 1)], "k string, n int"), ["k"])
-    table.upsert(spark.createDataFrame([("a", 2), ("b", 3)], "k string, n int"), ["k"])
-    assert rows(table.read()) == [("a", 2), ("b", 3)]
-
-
 def test_window_rules():
     start, end = io.compute_window(None, "2024-01-02T00:00:00Z", io.timedelta(hours=1))
     assert (end - start).total_seconds() == 3600
