@@ -1,4 +1,9 @@
-"""MinHash near-duplicates: a multi-index Hamming join of b-bit signatures."""
+"""MinHash near-duplicates: a multi-index Hamming join of b-bit signatures.
+
+Items that share a key stand in a list. Each list's centre is compared with its other members first, which joins the large
+groups; what is still apart then meets only where an exact bound leaves a link possible (``possible_pairs``), so a group of
+thousands of near copies costs about one comparison a member, and no pair is left out that could be linked.
+"""
 
 from __future__ import annotations
 
@@ -9,13 +14,13 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..lineage import cut
+from ..operators.graph import connected_components
 from ..skew import join_one
 from .common import slices, small_side, text_of
-from .groups import linked_groups
 from .jaccard import shingle_sets
 
 WORDS = 2
@@ -125,7 +130,7 @@ def postings(items: DataFrame, scheme: Scheme) -> DataFrame:
 
 
 def shared_lists(items: DataFrame, scheme: Scheme) -> DataFrame:
-    """(key, id, mark, centre, centre_mark) of the lists with two items or more; a written table.
+    """(id, size, n, centre, centre_size) of the lists of n items, two or more; a written table.
 
     The centre of a list is the item with most fellows over all its lists: in a group of copies with small changes, that which
     they were made from. Lists are counted on the way and never gathered, however long one is.
@@ -134,9 +139,10 @@ def shared_lists(items: DataFrame, scheme: Scheme) -> DataFrame:
     shared = cut(rows.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"))
     lists = cut(rows.join(small_side(shared), "key"))
     fellows = cut(lists.groupBy("id").agg(F.sum("n").alias("fellows")))
-    best = F.max(F.struct("fellows", "id", F.struct("size").alias("mark"))).alias("best")
-    centres = cut(lists.join(fellows, "id").groupBy("key").agg(best).select("key", "best.id", "best.mark").toDF("key", "centre", "centre_mark"))
-    return cut(join_one(lists.select("key", "id", F.struct("size").alias("mark")), centres, "key", "inner"))
+    best = F.max(F.struct("fellows", "id", "size")).alias("best")
+    centres = cut(lists.join(fellows, "id").groupBy("key").agg(best).select("key", "best.id", "best.size").toDF("key", "centre", "centre_size"))
+    found = join_one(lists, centres, "key", "inner").filter(F.col("id") != F.col("centre"))
+    return cut(found.groupBy("centre", "id").agg(F.first("size").alias("size"), F.first("centre_size").alias("centre_size"), F.max("n").alias("n")))
 
 
 def near_signatures(pairs: DataFrame, items: DataFrame, scheme: Scheme) -> DataFrame:
@@ -195,12 +201,76 @@ def confirmed(pairs: DataFrame, arrays: DataFrame, percent: int) -> DataFrame:
     return pairs.select("a", "b", "a_shingles", "b_shingles").mapInArrow(run, "a binary, b binary")
 
 
+def new_shingles(members: DataFrame, arrays: DataFrame) -> DataFrame:
+    """Members (centre, id, ...) with ``overlap``, the shingles shared with the centre, and ``novel``, the others; a written table."""
+    kept = members.columns
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            overlap, novel = [], []
+            for own, centre in zip(batch.column(len(kept)), batch.column(len(kept) + 1), strict=True):
+                own, centre = np.frombuffer(own.as_buffer(), np.int64), np.frombuffer(centre.as_buffer(), np.int64)
+                known = centre[np.minimum(np.searchsorted(centre, own), len(centre) - 1)] == own
+                overlap.append(int(known.sum()))
+                novel.append(own[~known])
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:len(kept)], pa.array(overlap, pa.int64()), pa.array(novel, pa.list_(pa.int64()))], [*kept, "overlap", "novel"])
+
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in members.schema) + ", overlap long, novel array<long>"
+    both = members.join(arrays.withColumnRenamed("shingles", "own"), "id").join(
+        arrays.select(F.col("id").alias("centre"), F.col("shingles").alias("its")), "centre")
+    return cut(both.select(*kept, "own", "its").mapInArrow(run, schema))
+
+
+def possible_pairs(told: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) with one centre but different labels that may be linked; ``told``: new_shingles with label, apart.
+
+    ``apart`` says that a member's label is not its centre's, so that it is not linked with the centre. For a link x and y
+    need an overlap of T shingles, and they share at most overlap(x) of the centre's: at least T - overlap(x) more must be
+    new to both. x shares fewer than T with the centre itself, so T - overlap(x) is positive unless y is smaller than it.
+    """
+    x = told.filter("apart").select("centre", F.col("id").alias("x"), F.col("size").alias("x_size"), F.col("label").alias("x_label"), "overlap", "novel")
+    y = told.select("centre", F.col("id").alias("y"), F.col("size").alias("y_size"), F.col("label").alias("y_label"), "apart", "novel")
+    needs = F.ceil((F.col("x_size") + F.col("y_size")) * percent / (100 + percent)) - F.col("overlap")
+    alike = F.least("x_size", "y_size") * 100 >= F.greatest("x_size", "y_size") * percent
+    differ = (F.col("x_label") != F.col("y_label")) & (~F.col("apart") | (F.col("x") < F.col("y"))) & alike
+    met = x.withColumn("s", F.explode("novel")).drop("novel").join(y.withColumn("s", F.explode("novel")).drop("novel"), ["centre", "s"])
+    counted = met.filter(differ).groupBy("centre", "x", "y").agg(F.count("*").alias("n"), F.first(needs).alias("needs")).filter("n >= needs")
+    inside = x.filter(F.col("overlap") * 100 >= F.col("x_size") * percent).drop("novel").join(y.drop("novel"), "centre").filter(differ & (needs <= 0))
+    pairs = counted.select("x", "y").unionByName(inside.select("x", "y"))
+    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
+def linked_items(items: DataFrame, docs: DataFrame, words: int, percent: int, scheme: Scheme) -> DataFrame:
+    """(node, component) of the items that have a link; a component is named by its least item."""
+    lists = shared_lists(items, scheme)
+
+    def arrays_of(ids: DataFrame) -> DataFrame:
+        return set_arrays(docs, cut(items.join(ids.distinct(), "id", "left_semi").select("text_hash")), words)
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        near = near_signatures(pairs, items, scheme)
+        return cut(confirmed(near, arrays_of(near.select(F.col("a").alias("id")).unionByName(near.select(F.col("b").alias("id")))), percent))
+
+    alike = F.least("size", "centre_size") * 100 >= F.greatest("size", "centre_size") * percent
+    links = linked(lists.filter(alike).select(F.col("centre").alias("a"), F.col("id").alias("b")))
+    labels = cut(connected_components(links, "a", "b"))
+    own, its = (labels.select(F.col("node").alias(c), F.col("component").alias(f"{c}_label")) for c in ("id", "centre"))
+    named = lists.filter("n > 2").select("centre", "id", "size").join(own, "id", "left").join(its, "centre", "left")
+    label = F.coalesce("id_label", "id")
+    named = cut(named.select("centre", "id", "size", label.alias("label"), (label != F.coalesce("centre_label", "centre")).alias("apart")))
+    mixed = cut(named.groupBy("centre").agg(F.max("apart").alias("mixed"), F.count("*").alias("n")).filter("mixed and n > 1").select("centre"))
+    members = cut(named.join(mixed, "centre", "left_semi"))
+    arrays = arrays_of(members.select("id").unionByName(mixed.select(F.col("centre").alias("id"))))
+    rest = cut(possible_pairs(new_shingles(members, arrays), percent))
+    return connected_components(links.unionByName(linked(rest)), "a", "b")
+
+
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, scheme: Scheme = Scheme()) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row; a component is named by its smallest doc_id, whose row is kept.
 
     Documents with equal sets are one item. Items whose signatures are within ``scheme.distance`` of each other share a key, and
-    no such pair is lost: those that meet under a key are compared by signature, then on their full sets. ``groups`` says which
-    pairs that takes, so that thousands of near copies are not expanded into pairs.
+    no such pair is lost: those that meet under a key are compared by signature, then on their full sets.
 
     A null or empty text, or one without words, has an empty set and is linked with nothing; its component is itself. Rows that
     repeat a doc_id are documents of their own. A null doc_id is passed over in a component's smallest id unless it has no
@@ -210,16 +280,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     items = cut(sets.filter("set_id is not null").groupBy(F.col("set_id").alias("id")).agg(
         F.first("n_shingles").alias("size"), F.first("signature").alias("signature"), F.min("text_hash").alias("text_hash")))
 
-    def alike(a: Column, b: Column) -> Column:
-        return F.when(F.least(a["size"], b["size"]) * 100 >= F.greatest(a["size"], b["size"]) * percent, 1)
-
-    def verify(pairs: DataFrame) -> DataFrame:
-        near = near_signatures(pairs, items, scheme)
-        ids = near.select(F.col("a").alias("id")).unionByName(near.select(F.col("b").alias("id"))).distinct()
-        wanted = cut(items.join(ids, "id", "left_semi").select("text_hash"))
-        return confirmed(near, set_arrays(docs, wanted, words), percent)
-
-    labels = linked_groups(shared_lists(items, scheme), alike, verify).select(F.col("node").alias("set_id"), "component")
+    labels = linked_items(items, docs, words, percent, scheme).select(F.col("node").alias("set_id"), "component")
     named = join_one(sets.select("doc_id", "n_shingles", "set_id"), cut(labels), "set_id")
     named = cut(named.select("doc_id", "n_shingles", F.coalesce("component", "set_id").alias("component")))
     least = named.filter("component is not null").groupBy("component").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("members"))

@@ -10,6 +10,7 @@ from ..functions import vectors as V
 from ..functions.text import normalize_label, parse_call_label
 from .mapping import is_active, is_anomaly, with_names
 from .reports import named_clusters, of_run
+from .vector_index import VectorIndex
 
 
 def similar_clusters(clusters: DataFrame, names: DataFrame, cluster_pk: int, k: int = 8) -> DataFrame:
@@ -112,24 +113,29 @@ def _cluster_hits(mapped: DataFrame, keys: list[str], best_label_n: int = 8) ->
 
 
 def semantic_search(
-    query: DataFrame, embeddings: DataFrame, label_map: DataFrame, clusters: DataFrame, names: DataFrame,
+    query: DataFrame, embeddings: DataFrame | VectorIndex, label_map: DataFrame, clusters: DataFrame, names: DataFrame,
     field: str | None = None, label_limit: int | None = None, min_score: float = 0.34, limit: int = 60,
 ) -> DataFrame:
     """Clusters of the labels nearest to the query vector (``query`` is one row with ``q``).
 
     Score = 0.78 best + 0.22 mean similarity of the cluster's matched labels: those of at least ``min_score``, or the
-    ``label_limit`` nearest of them.
+    ``label_limit`` nearest of them. ``embeddings`` may be an index of them, of which only the cells in reach are read.
     """
-    e = embeddings.filter(F.col("embedding").isNotNull())
+    columns = ["field_name", "raw_label", "normalized_label", "similarity"]
+    if isinstance(embeddings, VectorIndex):
+        one = query.select(F.lit("q").alias("id"), "q")
+        found = embeddings.search(one, "id", "q", min_sim=min_score)
+        hits = found.select("row.field_name", "row.raw_label", "row.normalized_label", F.col("sim").alias("similarity"))
+    else:
+        sim = V.cosine(V.as_double(F.col("embedding")), V.as_double(F.col("q")))
+        hits = (
+            embeddings.filter(F.col("embedding").isNotNull()).join(F.broadcast(query.select("q")))  # one row
+            .withColumn("similarity", F.round(sim, 9)).filter("similarity IS NOT NULL")
+            .select(*columns).filter(F.col("similarity") >= min_score)
+        )
     if field:
-        e = e.filter(F.col("field_name") == field)
-    sim = V.cosine(V.as_double(F.col("embedding")), V.as_double(F.col("q")))
-    hits = (
-        e.join(F.broadcast(query.select("q")))  # one row
-        .withColumn("similarity", F.round(sim, 9)).filter("similarity IS NOT NULL")
-        .select("field_name", "raw_label", "normalized_label", "similarity").filter(F.col("similarity") >= min_score)
-        .withColumn("hit_id", F.concat_ws("|", "field_name", "raw_label"))
-    )
+        hits = hits.filter(F.col("field_name") == field)
+    hits = hits.withColumn("hit_id", F.concat_ws("|", "field_name", "raw_label"))
     if label_limit is not None:
         hits = hits.orderBy(F.col("similarity").desc(), "field_name", "raw_label").limit(label_limit)
     mapped = label_hits_to_map(hits, label_map).filter("final_cluster_id IS NOT NULL").withColumnRenamed(
@@ -158,7 +164,7 @@ def token_overlap(query: Column, document: Column) -> Column:
 
 
 def reranked_search(
-    query: DataFrame, documents: DataFrame, clusters: DataFrame, field: str | None = None, top_k: int = 200,
+    query: DataFrame, documents: DataFrame | VectorIndex, clusters: DataFrame, field: str | None = None, top_k: int = 200,
     min_score: float = 0.3, limit: int = 60, scorer=token_overlap,
 ) -> DataFrame:
     """Top ``top_k`` documents by inner product, re-scored, grouped by cluster; best score wins.
@@ -166,15 +172,22 @@ def reranked_search(
     ``query`` is one row with ``q`` and ``query_text``. ``documents`` has field_name,
     cluster_id, cluster_version, raw_label, search_text, value_count and embedding. The
     field filter runs before the retrieval, so that the ``top_k`` are all of the field. ``scorer`` maps two text
-    columns to a score, a pandas UDF around a model will do.
+    columns to a score, a pandas UDF around a model will do. ``documents`` may be an index of them, if their vectors and
+    ``q`` are unit vectors and its rows are of the field.
     """
-    score = V.dot(V.as_double(F.col("embedding")), V.as_double(F.col("q")))
-    top = (
-        (documents if field is None else documents.filter(F.col("field_name") == field))
-        .filter(F.col("embedding").isNotNull()).join(F.broadcast(query.select("q", "query_text")))  # one row
-        .withColumn("retrieval", F.round(score, 9))
-        .orderBy(F.col("retrieval").desc(), "field_name", "raw_label").limit(top_k)
-    )
+    if isinstance(documents, VectorIndex):
+        if field is not None:
+            raise ValueError("index the documents of the field: the best of all may hold too few of it")
+        found = documents.search(query.select(F.lit("q").alias("id"), "q"), "id", "q", k=top_k)
+        top = found.select("row.*", F.col("sim").alias("retrieval")).join(F.broadcast(query.select("query_text")))  # one row
+    else:
+        score = V.dot(V.as_double(F.col("embedding")), V.as_double(F.col("q")))
+        top = (
+            (documents if field is None else documents.filter(F.col("field_name") == field))
+            .filter(F.col("embedding").isNotNull()).join(F.broadcast(query.select("q", "query_text")))  # one row
+            .withColumn("retrieval", F.round(score, 9))
+            .orderBy(F.col("retrieval").desc(), "field_name", "raw_label").limit(top_k)
+        )
     keys = ["field_name", "cluster_id", "cluster_version"]
     scored = top.withColumn("similarity", F.round(scorer(F.col("query_text"), F.col("search_text")).cast("double"), 6))
     order = F.struct((-F.col("similarity")).alias("s"), (-F.col("retrieval")).alias("r"), "raw_label")

@@ -3,11 +3,13 @@
 from pyspark.sql import functions as F
 
 from ..functions import vectors as V
+from ..lineage import checkpoint_dir, cut
 from ..operators import layout as L
 from ..operators import search as S
 from ..operators import jobs
 from ..operators.reports import latest_projection
-
+from ..operators.vector_index import temporary_index
+from ..registry import ENTRIES, query
 from .operations import LATEST
 from .reports import SPOTS, STATE, STRICT, reg, ts, ts_sql
 from .vectors import r6
@@ -152,6 +154,39 @@ def _(t):
     )
 
 
+def label_index(t, rows):
+    """An index of two thirds of the rows, to which the others are added."""
+    rows = cut(rows.withColumn("label_id", F.concat_ws("|", "field_name", "raw_label")))
+    late = F.pmod(F.xxhash64("label_id"), F.lit(3)) == 0
+    index = temporary_index(rows.filter(~late), checkpoint_dir(t.spark), "label_id", "embedding")
+    index.insert(rows.filter(late), "label_id", "embedding")
+    return index
+
+
+@query("indexed_search", "H23 E10", ENTRIES["semantic_search"].sql)
+def _(t):
+    """The same search over an index of the vectors."""
+    out = S.semantic_search(query_vector(t), label_index(t, t.label_embeddings()), t.label_map(), t.clusters(), t.names())
+    return out.select(
+        "id", "semantic_score", "matched_label_count", "matched_occurrences", "best_label",
+        F.array_join("matched_labels.raw_label", ",").alias("labels"), "name",
+    )
+
+
+@reg(
+    "indexed_top_k", "H23 H24 E6",
+    """SELECT id, raw_label, rank FROM (SELECT c.id, l.field_name || '|' || l.raw_label AS raw_label, cast(row_number() OVER (PARTITION BY c.id
+        ORDER BY round(list_cosine_similarity(c.centroid_embedding, l.v), 9) DESC, l.field_name || '|' || l.raw_label) AS INT) AS rank
+      FROM fx_clusters c JOIN fx_label_vectors l ON len(l.v) = len(c.centroid_embedding)) WHERE rank <= 5""",
+    "fx_clusters", "fx_label_vectors",
+)
+def _(t):
+    """The five labels nearest to every cluster, over all fields, in one search of the index."""
+    asked = t.clusters().filter("centroid_embedding IS NOT NULL").select(F.col("id").cast("string").alias("q"), F.col("centroid_embedding").alias("x"))
+    found = label_index(t, t.label_embeddings()).search(asked, "q", "x", k=5)
+    return found.select(F.col("q_id").cast("bigint").alias("id"), F.col("row.label_id").alias("raw_label"), "rank")
+
+
 # Layout ------------------------------------------------------------------------------------
 
 
