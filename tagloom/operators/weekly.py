@@ -22,18 +22,24 @@ from ..functions.lists import (
 from ..functions.text import normalize_label, pin, strip
 from ..lineage import cut
 from ..sources.io import latest_per_key, update_or_insert, window_rows
+from .blocks import best_targets
 from .mapping import is_active, is_anomaly, nearest_anomaly
 from .vector_mean import mean_vectors
 
 GROUP = ["field_name", "normalized_label"]
+#: As many targets of a group as there are.
+ALL_PAIRS = 1 << 30
+
+
+EVENT_TIMES = ["classified_at", "created_at"]
 
 
 def event_time() -> Column:
-    return F.coalesce("classified_at", "created_at")
+    return F.coalesce(*EVENT_TIMES)
 
 
 def in_window(outputs: DataFrame, start, end) -> DataFrame:
-    return window_rows(outputs, event_time(), start, end, reject_empty=False)
+    return window_rows(outputs, EVENT_TIMES, start, end, reject_empty=False)
 
 
 def group_rows(outputs: DataFrame, statuses: list[str], start, end) -> DataFrame:
@@ -239,16 +245,22 @@ def safe_map_check(groups: DataFrame, stats: DataFrame) -> DataFrame:
 # -- counters and promotion ---------------------------------------------------------------
 
 
-def cluster_counters(label_map: DataFrame, outputs: DataFrame) -> DataFrame:
-    """Rows, calls, weeks, label counts and times per cluster, by label; not windowed.
-
-    Outputs are reduced to one row per label, call and week before they meet the map.
-    """
-    labels = (
+def cluster_labels(label_map: DataFrame) -> DataFrame:
+    """Labels of each cluster with their summed counts."""
+    return (
         label_map.filter("normalized_label <> '' AND final_cluster_id IS NOT NULL")
         .groupBy(*GROUP, F.col("final_cluster_id").alias("cluster_id"))
         .agg(F.sum(F.coalesce("value_count", F.lit(0))).alias("label_sum"))
     )
+
+
+def cluster_counters(label_map: DataFrame, outputs: DataFrame) -> DataFrame:
+    """Rows, calls, weeks, label counts and times per cluster, by label; not windowed.
+
+    Outputs are reduced to one row per label, call and week before they meet the map. ``CallCounters`` keeps the same
+    numbers up from week to week.
+    """
+    labels = cluster_labels(label_map)
     t = event_time()
     calls = outputs.groupBy(*GROUP, "source_record_id", F.date_trunc("week", t).alias("week")).agg(
         F.count("*").alias("n"), F.min(t).alias("first_seen"), F.max(t).alias("last_seen")
@@ -447,12 +459,56 @@ class State:
     embeddings: DataFrame | None = None
 
 
-def resolve_plan(outputs: DataFrame, targets: DataFrame, clusters: DataFrame, start, end) -> DataFrame:
+def own_cluster() -> Column:
+    """Id of the anomaly cluster that a group gets for itself."""
+    return cluster_id_for("weekly_anom", F.col("field_name"), F.col("normalized_label"))
+
+
+def same_run_targets(groups: DataFrame, near: DataFrame, safe: DataFrame) -> DataFrame:
+    """``near`` with the anomaly clusters that the groups of this run make themselves.
+
+    As if groups came one after the other, the larger first (then by field and label): each is compared with the clusters
+    there were and with those that groups before it have made, whose centre is that of their maker. True anomalies always
+    make one, candidates that reach neither an anomaly cluster nor a safe one. Who makes one is found in rounds: a group
+    with a maker before it among its neighbours does not, one whose neighbours before it all do not, does. ``groups`` has
+    group_id, GROUP, primary_status, row_count, representative, raw_labels and centroid (null without vectors).
+    """
+    text = F.concat_ws(" ", "normalized_label", F.array_join(F.slice("raw_labels", 1, 5), " "))
+    named = groups.withColumns({"_name": N.display_name(F.col("representative")), "_own": own_cluster(),
+                                "_place": F.struct((-F.col("row_count")).alias("n"), "field_name", "normalized_label")})
+    named = pin(named, {"_norm": normalize_label(text, "weekly"), "_shown": normalize_label(F.concat_ws(" ", "_name", "representative"), "weekly")})
+    named = guards.with_masks(guards.with_masks(named, "_norm", "_opp", "_act"), "_shown", "_opp2", "_target_act")
+    named = cut(named.join(near.select("group_id", F.lit(True).alias("_near")), "group_id", "left").join(
+        safe.select("group_id", F.lit(True).alias("_safe")), "group_id", "left"))
+    is_true = F.col("primary_status") == TRUE_ANOMALY
+    may_make = named.filter(is_true | (F.col("_near").isNull() & F.col("_safe").isNull()))
+    found = best_targets(
+        named.filter(~is_true), may_make, ["field_name"], ALL_PAIRS, ("group_id", "centroid", "_act"),
+        ("group_id", "centroid", "_target_act"), min_sim=ANOMALY_THRESHOLD).filter("NOT conflict AND q_id <> t_id")
+    q = named.select(F.col("group_id").alias("q_id"), F.col("_place").alias("_q_place"))
+    t = named.select(F.col("group_id").alias("t_id"), F.col("_place").alias("_t_place"))
+    links = cut(found.select("q_id", "t_id", "sim").join(q, "q_id").join(t, "t_id").filter("_t_place < _q_place").select("q_id", "t_id", "sim"))
+    makes = cut(may_make.select(F.col("group_id").alias("t_id"), F.when(is_true, F.lit(True)).alias("makes")))
+    while not makes.filter("makes IS NULL").isEmpty():
+        before = links.join(makes, "t_id").groupBy(F.col("q_id").alias("t_id")).agg(
+            F.max(F.coalesce("makes", F.lit(False))).alias("_maker"), F.max(F.col("makes").isNull()).alias("_open"))
+        now = F.when(F.col("_maker"), False).when(~F.coalesce("_open", F.lit(False)), True)
+        makes = cut(makes.join(before, "t_id", "left").select("t_id", F.coalesce("makes", now).alias("makes")))
+    made = links.join(makes.filter("makes"), "t_id").join(
+        named.select(F.col("group_id").alias("t_id"), F.col("_own").alias("anomaly_cluster_id"), F.col("_name").alias("anomaly_name")), "t_id")
+    both = near.select("field_name", "group_id", "anomaly_cluster_id", "anomaly_name", "anomaly_similarity").unionByName(
+        made.join(named.select(F.col("group_id").alias("q_id"), "field_name"), "q_id").select(
+            "field_name", F.col("q_id").alias("group_id"), "anomaly_cluster_id", "anomaly_name", F.col("sim").alias("anomaly_similarity")))
+    return latest_per_key(both, ["group_id"], [F.col("anomaly_similarity").desc(), F.col("anomaly_cluster_id")])
+
+
+def resolve_plan(outputs: DataFrame, targets: DataFrame, clusters: DataFrame, start, end, same_run: bool = False) -> DataFrame:
     """One planned action per group of the window.
 
     True anomalies get their own anomaly cluster; candidates attach to the nearest anomaly
     cluster, else map to a safe standard cluster, else get an anomaly cluster; known
-    anomalies refresh theirs. All groups are planned from one snapshot of the state.
+    anomalies refresh theirs. All groups are planned from one snapshot of the state, with
+    ``same_run`` also from the clusters that groups before them make (``same_run_targets``).
     """
     rows = cut(group_rows(outputs, [TRUE_ANOMALY, CANDIDATE], start, end))
     groups = cut(label_groups(rows, GROUP).withColumn(
@@ -470,7 +526,10 @@ def resolve_plan(outputs: DataFrame, targets: DataFrame, clusters: DataFrame, st
         .join(standard, ["field_name", "cluster_id"], "left_semi")
         .select("group_id", F.col("cluster_id").alias("safe_id"), "candidate_name", "score")
     )
-    own = cluster_id_for("weekly_anom", F.col("field_name"), F.col("normalized_label"))
+    own = own_cluster()
+    if same_run:
+        near, safe = cut(near), cut(safe)
+        near = same_run_targets(groups.join(centers, GROUP, "left"), near, safe)
     df = groups.join(near.drop("field_name"), "group_id", "left").join(safe, "group_id", "left")
     attach, mapped = F.col("anomaly_cluster_id").isNotNull(), F.col("safe_id").isNotNull()
 

@@ -62,14 +62,17 @@ def apply_repairs(plan: DataFrame, state: W.State) -> tuple[DataFrame, W.State]:
 
 
 def weekly_run(state: W.State, config: DataFrame, start, end, apply: bool = False) -> tuple[DataFrame, DataFrame, W.State]:
-    """(repairs, resolver plan, state). A dry run computes the plans and changes nothing."""
+    """(repairs, resolver plan, state). A dry run computes the plans and changes nothing.
+
+    Groups may attach to anomaly clusters that larger groups of the same run make.
+    """
     counts = W.cluster_counts(state.clusters)
     repairs = W.repair_plan(W.config_issue_fields(state.outputs, start, end), counts, config)
     repairs = repairs.withColumn("rows_affected", F.lit(0).cast("bigint"))
     if apply:
         repairs, state = apply_repairs(repairs.drop("rows_affected"), state)
     targets = M.cluster_targets(state.clusters, state.names)
-    plan = cut(W.resolve_plan(state.outputs, targets, state.clusters, start, end))
+    plan = cut(W.resolve_plan(state.outputs, targets, state.clusters, start, end, same_run=True))
     if not apply:
         return repairs, plan, state
     label_map, outputs = W.map_to_existing(plan, state.label_map, state.outputs)

@@ -5,13 +5,15 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..functions.lists import ACRONYMS_WEEKLY
-from ..lineage import checkpoint_dir
+from ..lineage import checkpoint_dir, cut
 from ..operators import mapping as M
 from ..operators import weekly as W
+from ..operators.call_counters import CallCounters
 from ..oracles import expr as X
 from ..oracles.fixtures import with_tables
 from ..plans import maintenance
-from ..registry import query
+from ..registry import ENTRIES, query
+from ..sources.days import read_days, write_days
 from ..sources.keyed import KeyedTable
 from .mapping import ACTIVE, ANOMALY, NAMED, SHOWN
 from .tables import END, START, in_window
@@ -157,6 +159,46 @@ def _(t):
     return times(W.cluster_counters(t.label_map(), t.outputs()))
 
 
+@query("cluster_counters_by_week", "G11", ENTRIES["cluster_counters"].sql)
+def _(t):
+    """The same counters from bitmaps that are added week by week."""
+    kept = CallCounters(t.spark, f"{checkpoint_dir(t.spark)}/counters-{uuid.uuid4().hex}", buckets=8)
+    outputs = cut(t.outputs())
+    week = F.date_format(F.date_trunc("week", W.event_time()), "yyyy-MM-dd")
+    for (name,) in outputs.select(week).distinct().orderBy(week).collect():  # as many as there are weeks
+        kept.add(outputs.filter(week.eqNullSafe(F.lit(name))), f"week-{name}")
+    return times(kept.cluster_counters(t.label_map()))
+
+
+@query("unresolved_by_day", "G6 A5", ENTRIES["unresolved_groups"].sql)
+def _(t):
+    """The groups of a window from a table laid out by day."""
+    path = f"{checkpoint_dir(t.spark)}/days-{uuid.uuid4().hex}"
+    write_days(t.outputs(), path, W.EVENT_TIMES)
+    rows = read_days(t.spark, path, W.EVENT_TIMES, START, END)
+    return group_numbers(W.unresolved_groups(rows, START, END))
+
+
+@query(
+    "resolve_chain", "G13 E16",
+    """SELECT cast(c_custkey // 12 AS VARCHAR) AS field_name, 'g' || c_custkey % 12 AS normalized_label,
+      CASE WHEN c_custkey % 12 % 2 = 1 THEN 'weekly_anom_' || left(sha256((c_custkey // 12) || '||g' || (c_custkey % 12 - 1)), 18) END AS attached_to
+    FROM customer""",
+)
+def _(t):
+    """Chains of groups, each similar to the one before it only: every second one makes a cluster, to which the next attaches."""
+    k = F.col("c_custkey") % 12
+    groups = t.given("customer").select(
+        F.floor(F.col("c_custkey") / 12).cast("string").alias("field_name"), F.concat(F.lit("g"), k.cast("string")).alias("normalized_label"),
+        F.lit("NEW_CLUSTER_CANDIDATE").alias("primary_status"), (100 - k).alias("row_count"), F.concat(F.lit("G "), k.cast("string")).alias("representative"),
+        F.array(F.concat(F.lit("G "), k.cast("string"))).alias("raw_labels"), F.array(F.cos(k * 0.4), F.sin(k * 0.4)).alias("centroid"),
+    ).withColumn("group_id", F.concat_ws("|", "field_name", "normalized_label"))
+    none = "field_name string, group_id string, anomaly_cluster_id string, anomaly_name string, anomaly_similarity double"
+    nothing = t.spark.createDataFrame([], none)
+    found = W.same_run_targets(groups, nothing, nothing).select("group_id", F.col("anomaly_cluster_id").alias("attached_to"))
+    return groups.join(found, "group_id", "left").select("field_name", "normalized_label", "attached_to")
+
+
 @query(
     "promotion_met", "G12",
     with_tables(

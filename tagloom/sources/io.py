@@ -103,16 +103,28 @@ def compute_window(
 
 def window_rows(
     df: DataFrame,
-    ts: str | Column,
+    ts: str | Column | list[str],
     start: str | datetime | None = None,
     end: str | datetime | None = None,
     lookback: timedelta = timedelta(hours=1),
     reject_empty: bool = True,
 ) -> DataFrame:
-    """Rows with ``start <= ts < end``; a plain filter, so it reaches the scan."""
+    """Rows with ``start <= ts < end``; a plain filter, so it reaches the scan.
+
+    Of a list of columns the first that is not null counts: an OR of comparisons, which a reader of Parquet can use where
+    it cannot use a coalesce.
+    """
     begin, stop = compute_window(start, end, lookback, reject_empty)
-    col = F.col(ts) if isinstance(ts, str) else ts
-    return df.filter((col >= F.lit(begin)) & (col < F.lit(stop)))
+
+    def inside(col: Column) -> Column:
+        return (col >= F.lit(begin)) & (col < F.lit(stop))
+
+    if not isinstance(ts, list):
+        return df.filter(inside(F.col(ts) if isinstance(ts, str) else ts))
+    hit = F.lit(False)
+    for i in reversed(range(len(ts))):
+        hit = inside(F.col(ts[i])) | (F.col(ts[i]).isNull() & hit) if i < len(ts) - 1 else inside(F.col(ts[i]))
+    return df.filter(hit)
 
 
 def read_call_window(
