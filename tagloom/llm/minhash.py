@@ -14,13 +14,13 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..lineage import cut
 from ..operators.graph import connected_components
 from ..skew import join_one
-from .common import slices, small_side, text_of
+from .common import BROADCAST_ROWS, slices, small_side, text_of
 from .jaccard import shingle_sets
 
 WORDS = 2
@@ -129,6 +129,13 @@ def postings(items: DataFrame, scheme: Scheme) -> DataFrame:
     return items.select("id", "size", "signature").mapInArrow(run, "key long, id binary, size long")
 
 
+def looked_up(rows: DataFrame, side: DataFrame, key: str, most: int = BROADCAST_ROWS) -> DataFrame:
+    """``rows`` with the row of ``side``, a written table, that has their key; broadcast if it was counted and is small."""
+    if side.limit(most + 1).count() <= most:
+        return rows.join(F.broadcast(side), key)
+    return join_one(rows, side, key, "inner")
+
+
 def shared_lists(items: DataFrame, scheme: Scheme) -> DataFrame:
     """(id, size, n, centre, centre_size) of the lists of n items, two or more; a written table.
 
@@ -140,8 +147,8 @@ def shared_lists(items: DataFrame, scheme: Scheme) -> DataFrame:
     lists = cut(rows.join(small_side(shared), "key"))
     fellows = cut(lists.groupBy("id").agg(F.sum("n").alias("fellows")))
     best = F.max(F.struct("fellows", "id", "size")).alias("best")
-    centres = cut(lists.join(fellows, "id").groupBy("key").agg(best).select("key", "best.id", "best.size").toDF("key", "centre", "centre_size"))
-    found = join_one(lists, centres, "key", "inner").filter(F.col("id") != F.col("centre"))
+    centres = cut(looked_up(lists, fellows, "id").groupBy("key").agg(best).select("key", "best.id", "best.size").toDF("key", "centre", "centre_size"))
+    found = looked_up(lists, centres, "key").filter(F.col("id") != F.col("centre"))
     return cut(found.groupBy("centre", "id").agg(F.first("size").alias("size"), F.first("centre_size").alias("centre_size"), F.max("n").alias("n")))
 
 
@@ -156,7 +163,7 @@ def near_signatures(pairs: DataFrame, items: DataFrame, scheme: Scheme) -> DataF
 
     for name in ("a", "b"):
         side = items.select(F.col("id").alias(name), F.col("signature").alias(f"{name}_signature"))
-        pairs = cut(join_one(pairs, side, name, "inner"))
+        pairs = looked_up(pairs, side, name, BROADCAST_ROWS // 8)
     return cut(pairs.select("a", "b", "a_signature", "b_signature").mapInArrow(run, "a binary, b binary"))
 
 
@@ -222,23 +229,60 @@ def new_shingles(members: DataFrame, arrays: DataFrame) -> DataFrame:
     return cut(both.select(*kept, "own", "its").mapInArrow(run, schema))
 
 
-def possible_pairs(told: DataFrame, percent: int) -> DataFrame:
+def sketches(items: DataFrame, scheme: Scheme) -> DataFrame:
+    """(id, word_0, ...): the four lowest bits of each symbol of an item's signature, sixteen symbols to a number."""
+    words = -(-scheme.symbols // 16)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            symbols = np.zeros((b.num_rows, 16 * words), np.uint64)
+            raw = np.frombuffer(b"".join(b.column(1).to_pylist()), np.uint16)
+            symbols[:, :scheme.symbols] = raw.reshape(-1, scheme.symbols) & 15
+            packed = (symbols.reshape(-1, words, 16) << (np.arange(16, dtype=np.uint64) * np.uint64(4))).sum(axis=2, dtype=np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), *(pa.array(np.ascontiguousarray(packed[:, i])) for i in range(words))], ["id", *(f"word_{i}" for i in range(words))])
+
+    return items.select("id", "signature").mapInArrow(run, "id binary, " + ", ".join(f"word_{i} long" for i in range(words)))
+
+
+def _differing(x: Column) -> Column:
+    """How many of the sixteen groups of four bits are not zero."""
+    x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
+    x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
+    return F.bit_count(x.bitwiseAND(F.lit(0x1111111111111111)))
+
+
+def possible_pairs(told: DataFrame, percent: int, distance: int) -> DataFrame:
     """The pairs (a, b) with one centre but different labels that may be linked; ``told``: new_shingles with label, apart.
 
-    ``apart`` says that a member's label is not its centre's, so that it is not linked with the centre. For a link x and y
-    need an overlap of T shingles, and they share at most overlap(x) of the centre's: at least T - overlap(x) more must be
-    new to both. x shares fewer than T with the centre itself, so T - overlap(x) is positive unless y is smaller than it.
+    ``apart`` says that a member's label is not its centre's, so that it is not linked with the centre; one of a pair is. For a
+    link x and y need an overlap of T shingles, at least 0.8 of either, and they share at most overlap(x), or overlap(y), of
+    the centre's: at least T - overlap more must be new to both. In a common order, the rarest under this centre first, the
+    first new shingle that they share has at least T - overlap - 1 behind it on either side; only such meetings count. Where
+    a y is so small that T - overlap(x) is not positive, sizes alone decide. Pairs whose sketches (``word_`` columns) differ in more than ``distance`` symbols are left out as they are met.
     """
-    x = told.filter("apart").select("centre", F.col("id").alias("x"), F.col("size").alias("x_size"), F.col("label").alias("x_label"), "overlap", "novel")
-    y = told.select("centre", F.col("id").alias("y"), F.col("size").alias("y_size"), F.col("label").alias("y_label"), "apart", "novel")
-    needs = F.ceil((F.col("x_size") + F.col("y_size")) * percent / (100 + percent)) - F.col("overlap")
+    own = ["centre", "id", *(c for c in told.columns if c not in ("centre", "id", "novel"))]
+    new = told.select(*own, F.size("novel").alias("new"), F.explode("novel").alias("s"))
+    often = new.groupBy("centre", "s").agg(F.count("*").alias("often"), F.min("label").alias("lo"), F.max("label").alias("hi"))
+    rare = Window.partitionBy("centre", "id").orderBy("often", "s")
+    early = new.join(often, ["centre", "s"]).withColumn("behind", F.col("new") - F.row_number().over(rare))
+    beyond = F.greatest(F.lit(1), F.ceil(F.col("size") * percent / 100) - F.col("overlap"))
+    early = cut(early.filter((F.col("behind") + 1 >= beyond) & (F.col("lo") < F.col("hi"))).drop("new", "often", "lo", "hi"))
+
+    def side(rows: DataFrame, name: str) -> DataFrame:
+        return rows.withColumnsRenamed({"id": name} | {c: f"{name}_{c}" for c in [*own[2:], "behind"] if c in rows.columns})
+
+    x, y = side(early.filter("apart"), "x"), side(early, "y")
+    needs = F.ceil((F.col("x_size") + F.col("y_size")) * percent / (100 + percent)) - F.col("x_overlap")
     alike = F.least("x_size", "y_size") * 100 >= F.greatest("x_size", "y_size") * percent
-    differ = (F.col("x_label") != F.col("y_label")) & (~F.col("apart") | (F.col("x") < F.col("y"))) & alike
-    met = x.withColumn("s", F.explode("novel")).drop("novel").join(y.withColumn("s", F.explode("novel")).drop("novel"), ["centre", "s"])
-    counted = met.filter(differ).groupBy("centre", "x", "y").agg(F.count("*").alias("n"), F.first(needs).alias("needs")).filter("n >= needs")
-    inside = x.filter(F.col("overlap") * 100 >= F.col("x_size") * percent).drop("novel").join(y.drop("novel"), "centre").filter(differ & (needs <= 0))
-    pairs = counted.select("x", "y").unionByName(inside.select("x", "y"))
-    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    differ = (F.col("x_label") != F.col("y_label")) & (~F.col("y_apart") | (F.col("x") < F.col("y"))) & alike
+    words = [c for c in told.columns if c.startswith("word_")]
+    near = sum((_differing(F.col(f"x_{c}").bitwiseXOR(F.col(f"y_{c}"))) for c in words), F.lit(0)) <= distance
+    enough = 1 + F.least("x_behind", "y_behind") >= F.ceil((F.col("x_size") + F.col("y_size")) * percent / (100 + percent)) - F.least("x_overlap", "y_overlap")
+    met = x.join(y, ["centre", "s"]).filter(differ & enough & near).select("x", "y")
+    inside = side(told.filter("apart").filter(F.col("overlap") * 100 >= F.col("size") * percent).select(*own), "x")
+    inside = inside.join(side(told.select(*own), "y"), "centre").filter(differ & near & (needs <= 0)).select("x", "y")
+    return met.unionByName(inside).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
 def linked_items(items: DataFrame, docs: DataFrame, words: int, percent: int, scheme: Scheme) -> DataFrame:
@@ -260,10 +304,10 @@ def linked_items(items: DataFrame, docs: DataFrame, words: int, percent: int, sc
     label = F.coalesce("id_label", "id")
     named = cut(named.select("centre", "id", "size", label.alias("label"), (label != F.coalesce("centre_label", "centre")).alias("apart")))
     mixed = cut(named.groupBy("centre").agg(F.max("apart").alias("mixed"), F.count("*").alias("n")).filter("mixed and n > 1").select("centre"))
-    members = cut(named.join(mixed, "centre", "left_semi"))
+    members = cut(named.join(mixed, "centre", "left_semi").join(sketches(items, scheme), "id"))
     arrays = arrays_of(members.select("id").unionByName(mixed.select(F.col("centre").alias("id"))))
-    rest = cut(possible_pairs(new_shingles(members, arrays), percent))
-    return connected_components(links.unionByName(linked(rest)), "a", "b")
+    rest = cut(possible_pairs(new_shingles(members, arrays), percent, scheme.distance))
+    return cut(connected_components(links.unionByName(linked(rest)), "a", "b"))
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, scheme: Scheme = Scheme()) -> DataFrame:
@@ -280,8 +324,8 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     items = cut(sets.filter("set_id is not null").groupBy(F.col("set_id").alias("id")).agg(
         F.first("n_shingles").alias("size"), F.first("signature").alias("signature"), F.min("text_hash").alias("text_hash")))
 
-    labels = linked_items(items, docs, words, percent, scheme).select(F.col("node").alias("set_id"), "component")
-    named = join_one(sets.select("doc_id", "n_shingles", "set_id"), cut(labels), "set_id")
+    labels = linked_items(items, docs, words, percent, scheme).withColumnRenamed("node", "set_id")
+    named = join_one(sets.select("doc_id", "n_shingles", "set_id"), labels, "set_id")
     named = cut(named.select("doc_id", "n_shingles", F.coalesce("component", "set_id").alias("component")))
     least = named.filter("component is not null").groupBy("component").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("members"))
     many = cut(least.filter("members > 1").select("component", "component_id"))
