@@ -48,7 +48,7 @@ def byte_vocabulary(path: str) -> Vocabulary:
     by_id = {i: t for t, i in Tokenizer.from_file(path).get_vocab().items()}
     spelled = [by_id.get(i, "") for i in range(max(by_id) + 1)]
     tokens = [bytes(byte_of[c] for c in t) if all(c in byte_of for c in t) else t.encode() for t in spelled]
-    return Vocabulary(encoder(path), tokens)
+    return Vocabulary(encoder(path, added_as_text=True), tokens)
 
 
 def piece_vocabulary(path: str) -> Vocabulary:

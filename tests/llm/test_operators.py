@@ -62,13 +62,17 @@ def test_write_shards(docs, tmp_path):
 
 # packing
 
-def test_ids_are_those_of_tokenizers():
+@pytest.mark.parametrize("added_as_text", [False, True])
+def test_ids_are_those_of_tokenizers(added_as_text):
     exact = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    exact.encode_special_tokens = True
-    encode = packing.encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    if added_as_text:
+        exact.encode_special_tokens = True
+    encode = packing.encoder(public_tokenizers.path("byte_bpe_50k.json"), added_as_text)
+    assert encode("a<|endoftext|> b") == ([64, 27, 91, 437, 1659, 5239, 91, 29, 275] if added_as_text else [64, 50256, 275])
     rng = random.Random(1)
     alphabet = "ab'sS tT\n\t\r  \x0b\x1c\x85\xa0éßñ²½ªʰͅωАӿԁ 　漢\U0001f600#$%12"
     odd = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 40))) for _ in range(3000)]
+    odd += ["<|endoftext|>", " <|endoftext|>\n<|endoftext|>", "é<|endoftext|>漢", "<|endoftext|", "<|endoftext|>" * 9]
     odd += [f"a{chr(c)}b {chr(c)}{chr(c)} 1{chr(c)}" for c in range(1, 0x520)] + [t for _, t, *_ in texts() if t]
     assert [encode(t) for t in odd] == [exact.encode(t, add_special_tokens=False).ids for t in odd]
 
