@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions import names as N
@@ -328,6 +328,27 @@ def update_counts(stage: DataFrame, updates: DataFrame, row_id: str = "id") -> D
     )
 
 
+def write_updates(stage: DataFrame, updates: DataFrame, fields: list[str], path: str, row_id: str = "id") -> DataFrame:
+    """Write the changed rows (as ``apply_to_rows``) and return ``update_counts`` of them, both from one pass over the rows."""
+    changed = updates.filter("changed")
+    present = [f for f in fields if f in stage.columns]
+    arrays = {f for f in present if stage.schema[f].dataType.typeName() == "array"}
+    wide = changed.groupBy(row_id).agg(F.count("*").alias("_cells"), *[
+        F.max(F.when(F.col("field_name") == f, F.col("new_array") if f in arrays else F.col("new_value"))).alias(f"_{f}") for f in present
+    ])
+    seen = Observation()
+    hit = F.col("_cells").isNotNull()
+    rows = stage.join(wide, row_id, "left").observe(
+        seen, F.count(F.lit(1)).alias("rows_scanned"), F.count_if(hit).alias("rows_changed"),
+        F.coalesce(F.sum("_cells"), F.lit(0)).cast("bigint").alias("cells_changed"))
+    rows.filter(hit).select(
+        *[F.coalesce(f"_{c}", c).alias(c) if c in present else F.col(c) for c in stage.columns],
+        F.current_timestamp().alias("better_tags_updated_at")).write.parquet(path)
+    n = seen.get
+    counts = (n["rows_scanned"], n["rows_changed"], n["cells_changed"], n["rows_scanned"] - n["rows_changed"])
+    return stage.sparkSession.createDataFrame([counts], "rows_scanned long, rows_changed long, cells_changed long, rows_unchanged long")
+
+
 def field_audit(decisions: DataFrame, run_id: str) -> DataFrame:
     return decisions.select(
         F.lit(run_id).alias("backfill_run_id"), "field_name", F.lit(FIELD_STATUS).alias("field_status"),

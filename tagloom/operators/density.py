@@ -4,8 +4,8 @@
 2. Minimum spanning trees: the tree of a complete graph lies in the union of the trees of
    all pairs of blocks, so each task solves one pair of blocks in memory and a few rounds of
    Boruvka joins finish the union.
-3. The condensed tree merges edges in order of weight. Edges are taken in slices of bounded
-   size per field; a slice needs only the state of the components it touches.
+3. The condensed tree merges edges in order of weight, level by level: the components of a
+   level's edges are merged side by side, and the next level sees each as one node.
 4. Selection by excess of mass resolves ancestors by pointer doubling.
 """
 
@@ -22,6 +22,7 @@ from ..functions import vectors as V
 from ..lineage import cut
 from ..sources.io import dense_index, latest_per_key
 from .blocks import _side, block_pairs, knn, pack, small_batches
+from .graph import connected_components
 
 FLOOR = 1e-9  # least distance, so that equal vectors do not give infinite density
 SLICE_EDGES = 200_000
@@ -224,51 +225,83 @@ def _merge_slice(key: list[str]):
     return run
 
 
+def _levels(edges: DataFrame, key: list[str], slice_edges: int) -> DataFrame:
+    """Edges with ``level``: the lighter half of a tree's edges, then half of what is left, until a slice holds the rest."""
+    numbered = dense_index(edges, [*key, "w", "src", "dst"], "_no")
+    counts = numbered.groupBy(*key).agg(F.min("_no").alias("_first"), F.count("*").alias("_n"))
+    left = F.col("_n") - (F.col("_no") - F.col("_first"))
+    last = F.greatest(F.lit(0.0), F.ceil(F.log2(F.col("_n") / F.lit(slice_edges))))
+    level = F.least(F.floor(F.log2(F.col("_n") / left)), last).cast("int")
+    return cut(numbered.join(counts, key).withColumn("level", level).drop("_no", "_first", "_n"))
+
+
+def _units(edges: DataFrame, key: list[str], slice_edges: int) -> DataFrame:
+    """Edges of one level with ``unit``, the component they belong to, and ``sub``, their slice within it.
+
+    Components of a level do not touch each other, so each is a task of its own; one with more edges than a slice is taken
+    slice after slice.
+    """
+    name = [F.concat_ws("\x1f", *key, c) for c in ("cs", "cd")]
+    units = connected_components(edges.select(name[0].alias("src"), name[1].alias("dst")))
+    placed = edges.withColumn("node", name[0]).join(units, "node").withColumnRenamed("component", "unit").drop("node", "cs", "cd")
+    numbered = dense_index(placed, [*key, "unit", "w", "src", "dst"], "_no")
+    first = numbered.groupBy(*key, "unit").agg(F.min("_no").alias("_first"))
+    sub = F.floor((F.col("_no") - F.col("_first")) / F.lit(slice_edges)).cast("int")
+    return cut(numbered.join(first, [*key, "unit"]).withColumn("sub", sub).drop("_no", "_first"))
+
+
 def condense(points: DataFrame, edges: DataFrame, key: list[str], slice_edges: int = SLICE_EDGES) -> DataFrame:
     """Clusters of spanning trees: (key, rid, cluster_id, probability); -1 is noise.
 
-    ``points`` (key, rid), ``edges`` (key, src, dst, w, mcs). A component that is smaller
-    than ``mcs`` keeps its points as separate members until it joins or forms a cluster.
+    ``points`` (key, rid), ``edges`` (key, src, dst, w, mcs). Edges are merged level by level: a level's lighter edges fall
+    into components that are merged side by side, so a tree is as many tasks as it has components there, and the next level
+    sees each as one node. A component that is smaller than ``mcs`` keeps its points as separate members until it joins or
+    forms a cluster. The result does not depend on ``slice_edges``.
     """
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in points.select(*key).schema.fields)
-    numbered = dense_index(edges, [*key, "w", "src", "dst"], "_no")
-    first = numbered.groupBy(*key).agg(F.min("_no").alias("_first"))
-    ranked = cut(numbered.join(first, key).withColumn(
-        "slice", F.floor((F.col("_no") - F.col("_first")) / F.lit(slice_edges)).cast("int")).drop("_no", "_first"))
-    n_slices = (ranked.agg(F.max("slice")).first()[0] or 0) + 1 if not ranked.isEmpty() else 0
+    ranked = _levels(edges, key, slice_edges)
+    n_levels = (ranked.agg(F.max("level")).first()[0] or 0) + 1 if not ranked.isEmpty() else 0
     where = points.select(*key, "rid", F.col("rid").alias("comp"))
     state = points.select(
         *key, F.col("rid").alias("comp"), F.lit(1).cast("bigint").alias("size"), F.lit(None).cast("string").alias("cluster"),
         F.lit(0.0).alias("mass"), F.lit(0.0).alias("below"),
     )
     log = None
-    for i in range(n_slices):
-        part = ranked.filter(F.col("slice") == i)
+
+    def placed(part: DataFrame) -> DataFrame:
         a = where.select(*key, F.col("rid").alias("src"), F.col("comp").alias("cs"))
         b = where.select(*key, F.col("rid").alias("dst"), F.col("comp").alias("cd"))
-        e = part.join(a, [*key, "src"]).join(b, [*key, "dst"]).select(
-            *key, F.lit("edge").alias("kind"), F.col("cs").alias("src"), F.col("cd").alias("dst"), "w", "mcs",
-            *[F.lit(None).cast(t).alias(c) for c, t in (("comp", "string"), ("size", "bigint"), ("cluster", "string"), ("mass", "double"), ("below", "double"))],
-        )
-        touched = e.select(*key, F.col("src").alias("comp"), "mcs").union(e.select(*key, "dst", "mcs")).distinct()
-        s = state.join(touched, [*key, "comp"]).select(
-            *key, F.lit("state").alias("kind"), F.lit(None).cast("string").alias("src"),
-            F.lit(None).cast("string").alias("dst"), F.lit(None).cast("double").alias("w"), "mcs",
-            "comp", "size", "cluster", "mass", "below",
-        )
-        out = cut(e.unionByName(s).groupBy(*key).applyInPandas(_merge_slice(key), _CLUSTER.format(key=kinds)))
-        events = out.filter("kind <> 'comp'").select(*key, "kind", "item", "cluster", "lam", "size")
-        # A component below mcs stands for all its points; events name components.
-        names = where.select(*key, F.col("comp").alias("item"), "rid")
-        points_out = events.filter("kind = 'point'").join(names, [*key, "item"]).select(
-            *key, "kind", F.col("rid").alias("item"), "cluster", "lam", "size")
-        part_log = points_out.unionByName(events.filter("kind <> 'point'"))
-        log = cut(part_log if log is None else log.unionByName(part_log))
-        moved = out.filter("kind = 'comp'").select(*key, F.col("item").alias("comp"), F.col("comp").alias("_to"))
-        merged = out.filter("kind = 'comp'").select(*key, "comp", "size", "cluster", "mass", "below").distinct()
-        if i + 1 < n_slices:
-            state = cut(state.join(moved, [*key, "comp"], "left_anti").unionByName(merged))
-            where = cut(where.join(moved, [*key, "comp"], "left").select(*key, "rid", F.coalesce("_to", "comp").alias("comp")))
+        return part.join(a, [*key, "src"]).join(b, [*key, "dst"])
+
+    for level in range(n_levels):
+        part = ranked.filter(F.col("level") == level).drop("level")
+        last = level + 1 == n_levels
+        part = part.withColumns({"unit": F.lit(""), "sub": F.lit(0)}) if last else _units(cut(placed(part)), key, slice_edges)
+        n_sub = 1 if last else (part.agg(F.max("sub")).first()[0] or 0) + 1
+        for i in range(n_sub):
+            e = placed(part.filter(F.col("sub") == i)).select(
+                *key, "unit", F.lit("edge").alias("kind"), F.col("cs").alias("src"), F.col("cd").alias("dst"), "w", "mcs",
+                *[F.lit(None).cast(t).alias(c) for c, t in (("comp", "string"), ("size", "bigint"), ("cluster", "string"), ("mass", "double"), ("below", "double"))],
+            )
+            touched = e.select(*key, "unit", F.col("src").alias("comp"), "mcs").union(e.select(*key, "unit", "dst", "mcs")).distinct()
+            s = state.join(touched, [*key, "comp"]).select(
+                *key, "unit", F.lit("state").alias("kind"), F.lit(None).cast("string").alias("src"),
+                F.lit(None).cast("string").alias("dst"), F.lit(None).cast("double").alias("w"), "mcs",
+                "comp", "size", "cluster", "mass", "below",
+            )
+            out = cut(e.unionByName(s).groupBy(*key, "unit").applyInPandas(_merge_slice(key), _CLUSTER.format(key=kinds)))
+            events = out.filter("kind <> 'comp'").select(*key, "kind", "item", "cluster", "lam", "size")
+            # A component below mcs stands for all its points; events name components.
+            names = where.select(*key, F.col("comp").alias("item"), "rid")
+            points_out = events.filter("kind = 'point'").join(names, [*key, "item"]).select(
+                *key, "kind", F.col("rid").alias("item"), "cluster", "lam", "size")
+            part_log = points_out.unionByName(events.filter("kind <> 'point'"))
+            log = cut(part_log if log is None else log.unionByName(part_log))
+            moved = out.filter("kind = 'comp'").select(*key, F.col("item").alias("comp"), F.col("comp").alias("_to"))
+            merged = out.filter("kind = 'comp'").select(*key, "comp", "size", "cluster", "mass", "below").distinct()
+            if not last:
+                state = cut(state.join(moved, [*key, "comp"], "left_anti").unionByName(merged))
+                where = cut(where.join(moved, [*key, "comp"], "left").select(*key, "rid", F.coalesce("_to", "comp").alias("comp")))
     if log is None:
         return points.select(*key, "rid", F.lit(-1).alias("cluster_id"), F.lit(0.0).alias("probability"))
     return _select(points, log, key)

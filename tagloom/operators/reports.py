@@ -16,6 +16,7 @@ from ..functions import vectors as V
 from ..functions.lists import GENERIC_NAMES
 from ..functions.names import generic_name, weak_medoid
 from ..sources.io import feed_views, latest_per_key
+from ..sources.pages import page
 from .mapping import is_anomaly, with_names
 
 MAP_KEY = ["field_name", "run_id", "cluster_id"]
@@ -825,17 +826,19 @@ def backfill_fields(audit: DataFrame, runs: DataFrame, run: str | None = None) -
 
 
 def row_audit(rows: DataFrame, audit: DataFrame, runs: DataFrame, run: str | None = None,
-              status: str | None = None, field: str | None = None, limit: int = 50, offset: int = 0) -> DataFrame:
-    """Audited rows of a run, newest first, with their field audits nested."""
+              status: str | None = None, field: str | None = None, limit: int = 50, offset: int = 0, after: int | None = None) -> DataFrame:
+    """Audited rows of a run, newest first, with their field audits nested; ``after`` is the last id of the page before."""
     r = of_backfill_run(rows, runs, run)
     keys = ["backfill_run_id", "stage_row_id"]
     if status:
         r = r.filter(F.col("row_status") == status)
     if field:
         r = r.join(audit.filter(F.col("field_name") == field).select(*keys), keys, "left_semi")
-    page = r.orderBy(F.col("id").desc()).offset(offset).limit(limit)
+    order = [("id", True)]
+    rows = page(r, order, limit + offset, None if after is None else {"id": after})
+    top = rows.orderBy(F.col("id").desc()).offset(offset).limit(limit) if offset else rows
     entry = F.struct("field_name", "old_value", "new_value", "field_status")
-    nested = audit.join(page.select(*keys), keys, "left_semi").groupBy(*keys).agg(
+    nested = audit.join(top.select(*keys), keys, "left_semi").groupBy(*keys).agg(
         F.array_sort(F.collect_list(entry)).alias("field_audit")
     )
-    return page.join(nested, keys, "left")
+    return top.join(nested, keys, "left")

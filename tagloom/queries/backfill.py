@@ -1,13 +1,16 @@
 """Queries over the backfill of label columns."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions.lists import ACRONYMS_BACKFILL
+from ..lineage import checkpoint_dir, cut
 from ..operators import backfill as B
 from ..operators import labels as L
 from ..oracles import expr as X
 from ..oracles.fixtures import with_tables
-from ..registry import query
+from ..registry import ENTRIES, query
 from ..sources import io
 from .mapping import ACTIVE
 from .tables import HISTORY_STEPS
@@ -269,3 +272,11 @@ def _(t):
     return B.update_counts(stage, B.cell_updates(stage, stage_decisions(t), STAGE_FIELDS))
 
 
+
+
+@query("update_counts_in_passing", "G30 A13", ENTRIES["update_counts"].sql)
+def _(t):
+    """The same counts, observed while the changed rows are written."""
+    stage = t.stage()
+    updates = cut(B.cell_updates(stage, stage_decisions(t), STAGE_FIELDS))
+    return B.write_updates(stage, updates, STAGE_FIELDS, f"{checkpoint_dir(t.spark)}/rows-{uuid.uuid4().hex}")

@@ -2,10 +2,12 @@
 
 from pyspark.sql import functions as F
 
+from ..lineage import cut
 from ..operators import centroids as C
 from ..operators import density as D
 from ..operators import graph as G
 from ..operators.blocks import knn
+from ..operators.near_knn import approximate_knn
 from ..oracles import expr as X
 from ..oracles.fixtures import unit
 from .reports import reg
@@ -112,6 +114,17 @@ def noise_labels(t):
     return t.label_vectors().select("field_name", F.col("raw_label").alias("node"), "value_count", F.col("v").alias("embedding"))
 
 
+@reg("approximate_knn", "E7", "SELECT field_name, count(*) AS n_labels, true AS recalled FROM fx_label_vectors GROUP BY field_name", "fx_label_vectors")
+def _(t):
+    """Approximate neighbours beside the exact ones: at least nine of ten are the same, in every field."""
+    rows = cut(t.label_vectors().select("field_name", "raw_label", "v"))
+    near = approximate_knn(rows, ["field_name"], "raw_label", "v", 5, bucket_rows=64)
+    want = knn(rows, ["field_name"], "raw_label", "v", 5).select("field_name", "q_id", "t_id")
+    both = want.join(near.select("field_name", "q_id", "t_id", F.lit(1).alias("hit")), ["field_name", "q_id", "t_id"], "left")
+    share = both.groupBy("field_name").agg((F.count("hit") >= 0.9 * F.count("*")).alias("recalled"))
+    return rows.groupBy("field_name").agg(F.count("*").alias("n_labels")).join(share, "field_name")
+
+
 @reg("communities", "F4", "", "fx_label_vectors")
 def _(t):
     e = edges(t)

@@ -2,7 +2,10 @@
 
 from pyspark.sql import functions as F
 
+from ..lineage import cut
 from ..operators import reports as R
+from ..operators.sketches import approximate_counts, hourly_sketches
+from ..sources.pages import cursor
 from .reports import reg, ts, ts_sql
 
 LATEST = """SELECT * FROM fx_outputs WHERE mapper_run_id = (SELECT mapper_run_id FROM fx_outputs GROUP BY mapper_run_id
@@ -168,3 +171,33 @@ def _(t):
     out = R.row_audit(t.row_audit(), t.field_audit(), t.backfill_runs(), status="UPDATED", field="field_1", offset=1)
     text = F.transform("field_audit", lambda a: F.concat(a["field_name"], F.lit("="), a["new_value"], F.lit("/"), a["field_status"]))
     return out.select("id", "call_id", "row_status", F.array_join(text, ",").alias("field_audit"))
+
+
+@reg(
+    "row_audit_next_page", "E13 H26 A7 B2",
+    """SELECT id, call_id, row_status FROM fx_row_audit WHERE row_status = 'UPDATED'
+      AND backfill_run_id = (SELECT backfill_run_id FROM fx_backfill_runs ORDER BY started_at DESC LIMIT 1) ORDER BY id DESC LIMIT 50 OFFSET 2""",
+    "fx_row_audit", "fx_backfill_runs",
+)
+def _(t):
+    """The page after a first one of two rows, by the key of the last row seen."""
+    tables = t.row_audit(), t.field_audit(), t.backfill_runs()
+    first = R.row_audit(*tables, status="UPDATED", limit=2).select("id").orderBy(F.col("id").desc()).collect()
+    last = cursor(first, [("id", True)])
+    return R.row_audit(*tables, status="UPDATED", after=last["id"]).select("id", "call_id", "row_status")
+
+
+@reg(
+    "approximate_calls", "H19 H22 T2",
+    """SELECT field_name, mapping_status, count(*) AS n_rows, count(DISTINCT source_record_id) AS calls, true AS within_bound
+    FROM fx_outputs WHERE classified_at IS NOT NULL GROUP BY ALL""",
+    "fx_outputs",
+)
+def _(t):
+    """Distinct calls from hourly sketches beside the exact ones: within five of the sketch's standard errors, or one."""
+    by = ["field_name", "mapping_status"]
+    rows = t.outputs().filter("classified_at IS NOT NULL")
+    kept = cut(hourly_sketches(rows, by))
+    exact = rows.groupBy(*by).agg(F.countDistinct("source_record_id").alias("calls"))
+    near = F.abs(F.col("distinct_calls") - F.col("calls")) <= F.greatest(F.lit(1.0), F.col("calls") * 5 * 1.04 / 64)
+    return approximate_counts(kept, by).join(exact, by).select(*by, "n_rows", "calls", near.alias("within_bound"))

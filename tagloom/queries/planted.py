@@ -3,12 +3,16 @@
 from pyspark.sql import functions as F
 
 from ..functions.text import normalize_label
+from ..lineage import cut
 from ..operators import backfill as B
 from ..operators import density as D
 from ..operators import graph as G
+from ..operators import layout as L
+from ..operators import weekly as W
 from ..operators.blocks import knn, nearest_points
 from ..operators.labels import explode_calls
 from ..oracles import expr as X
+from ..plans import clustering, maintenance
 from ..plans.runs import run_recorded
 from ..plans.mapping import run_mapping
 from ..registry import query
@@ -18,8 +22,10 @@ from ..streaming import mapper
 from .clustering import KNN
 from .reports import reg
 from .runs import CONFIG, MAPPED, call_taxonomy, target
+from .tables import END, START
 from .text_jobs import CALL_FIELDS
 from .vectors import r6
+from .weekly import field_config
 
 # Six customers in a row are a clique, fifty cliques a graph; the last of a clique has a weak edge to the next one.
 CLIQUE, GRAPH = 6, 300
@@ -67,6 +73,97 @@ def _(t):
     return found.select("field_name", "label_id", F.col("base_cluster_id").cast("bigint").alias("base_cluster_id"))
 
 
+@query("tune_density_planted", "F2", GROUPS)
+def _(t):
+    """Whatever the grid, the planted groups come back."""
+    found, _ = D.tune_density(planted_points(t), [5, 8], [1, 2])
+    return found.select("field_name", "label_id", F.col("base_cluster_id").cast("bigint").alias("base_cluster_id"))
+
+
+@query("condense_levels_planted", "F1", GROUPS)
+def _(t):
+    """The same groups from trees that are merged in many levels and slices."""
+    points = planted_points(t)
+    edges = D.spanning_forest(points, 2).withColumn("mcs", F.lit(5))
+    found = D.condense(points.select("field_name", F.col("label_id").alias("rid")), edges, ["field_name"], slice_edges=200)
+    return found.select("field_name", F.col("rid").alias("label_id"), F.col("cluster_id").cast("bigint").alias("base_cluster_id"))
+
+
+def planted_noise(t):
+    """Parts by four: the three last of each four point one way of their own, the first points nowhere near them."""
+    k = F.col("p_partkey")
+    return t.given("part").select(
+        F.concat(F.lit("f"), F.expr("p_partkey div 400").cast("string")).alias("field_name"), k.cast("string").alias("node"), F.lit(1).alias("value_count"),
+        F.transform(F.sequence(F.lit(0), F.lit(199)), lambda i: F.when(
+            i == F.expr("(p_partkey div 4) % 100") + F.when(k % 4 == 0, 100).otherwise(0), 1.0).otherwise(0.0)).alias("embedding"))
+
+
+@query("graph_sweep_planted", "F7 E8 F6", """SELECT field_name, node, CASE WHEN n >= 3 THEN dense_rank() OVER (PARTITION BY field_name ORDER BY n >= 3 DESC, least_node) - 1
+      ELSE -1 END AS community, CASE WHEN found > 0 THEN 3 END AS best_k, CASE WHEN found > 0 THEN 0.9 END::DOUBLE AS best_threshold FROM (
+    SELECT *, count(*) FILTER (n >= 3) OVER (PARTITION BY field_name) AS found FROM (
+    SELECT 'f' || (p_partkey // 400) AS field_name, p_partkey::VARCHAR AS node, count(*) OVER w AS n, min(p_partkey::VARCHAR) OVER w AS least_node
+    FROM part WINDOW w AS (PARTITION BY p_partkey // 4, p_partkey % 4 = 0)))""")
+def _(t):
+    """Threes that belong together among labels that are alone, in every graph of the sweep; ties go to its first."""
+    values, _, _ = G.graph_sweep(planted_noise(t), [3, 5], [0.90, 0.94])
+    found = values.select("field_name", "node", F.col("community").cast("bigint").alias("community"))
+    best = values.groupBy("field_name").agg(F.max("best_k").alias("best_k"), F.max("best_threshold").alias("best_threshold"))
+    return found.join(best, "field_name")
+
+
+@query("cluster_labels_planted", "F13 F9", f"""SELECT field_name, count(*) AS total_labels, count(*) FILTER (base_cluster_id <> -1) AS base_hdbscan_labels,
+    count(DISTINCT base_cluster_id) FILTER (base_cluster_id <> -1) AS final_cluster_count FROM ({GROUPS}) GROUP BY field_name""")
+def _(t):
+    """The whole run over the planted groups."""
+    labels = planted_points(t).withColumns({"raw_label": F.col("label_id"), "value_count": F.lit(1)})
+    return clustering.cluster_labels(labels).report.select("field_name", "total_labels", "base_hdbscan_labels", "final_cluster_count")
+
+
+@reg("pca3_moments", "V2", """SELECT count(*) AS n_rows, 0.0::DOUBLE AS mean, 0.0::DOUBLE AS covariance, true AS falling, true AS within_total FROM fx_label_vectors""",
+     "fx_label_vectors")
+def _(t):
+    """What must hold of principal components: no mean, no covariance, variances that fall and sum to at most the total."""
+    rows = t.label_vectors().select("vec_id", "v")
+    out = L.pca3(rows)
+    pairs = [("x", "y"), ("x", "z"), ("y", "z")]
+    total = rows.select(F.posexplode("v").alias("i", "c")).groupBy("i").agg(F.var_samp("c").alias("s")).agg(F.sum("s").alias("total"))
+    worst = F.round(F.greatest(*[F.abs(F.avg(c)) for c in "xyz"]), 5), F.round(F.greatest(*[F.abs(F.covar_samp(*p)) for p in pairs]), 5)
+    var = [F.var_samp(c) for c in "xyz"]
+    one = out.agg(F.count("*").alias("n_rows"), worst[0].alias("mean"), worst[1].alias("covariance"),
+                  ((var[0] >= var[1]) & (var[1] >= var[2])).alias("falling"), (var[0] + var[1] + var[2]).alias("_sum"))
+    return one.join(F.broadcast(total)).select("n_rows", "mean", "covariance", "falling", (F.col("_sum") <= F.col("total") + 1e-9).alias("within_total"))  # one row
+
+
+@reg("weekly_run_rows", "G13 G14 G17 G18", """SELECT count(*) AS n_rows, count(*) FILTER (mapping_status IN ('EXISTING_CLUSTER', 'NO_CLUSTER_REFERENCE')) AS settled_before,
+    0::BIGINT AS lost, 0::BIGINT AS settled_changed FROM fx_outputs""", "fx_outputs")
+def _(t):
+    """A whole week keeps every output once, and leaves those that were settled as they were."""
+    before = cut(t.outputs_with_candidates())
+    clusters = t.clusters().withColumn("representative_labels", F.lit(None).cast("array<string>"))
+    state = W.State(clusters, t.names(), t.label_map(), before, t.label_embeddings())
+    _, _, new = maintenance.weekly_run(state, field_config(t), START, END, apply=True)
+    old = before.select("event_id", F.col("mapping_status").alias("was"), F.col("mapped_cluster_id").alias("was_id"))
+    now = new.outputs.groupBy("event_id").agg(F.count("*").alias("n"), F.first("mapping_status").alias("is"), F.first("mapped_cluster_id").alias("is_id"))
+    settled = F.col("was").isin("EXISTING_CLUSTER", "NO_CLUSTER_REFERENCE")
+    return old.join(now, "event_id", "full").agg(
+        F.sum("n").alias("n_rows"), F.count_if(settled).alias("settled_before"), F.count_if(F.col("n").isNull() | F.col("was").isNull()).alias("lost"),
+        F.count_if(settled & ~(F.col("was").eqNullSafe(F.col("is")) & F.col("was_id").eqNullSafe(F.col("is_id")))).alias("settled_changed"))
+
+
+@reg("backfill_run_rows", "G24 G25 G26 G28 G29", "SELECT 0::BIGINT AS differing, true AS some FROM fx_stage LIMIT 1", "fx_stage")
+def _(t):
+    """The rows that a whole backfill rewrites are those that its own decisions change, cell by cell."""
+    state = B.TaxonomyState(t.clusters(), t.names(), t.label_map(), t.label_embeddings())
+    fields = ["outcome", "outcome_sub", "additional_tags"]
+    run = maintenance.backfill_run(t.stage(), fields, state, io.read_history_counts(t.history()), "clean_auto", dim=64)
+    want = cut(B.apply_to_rows(t.stage(), run.decisions, fields).drop("better_tags_updated_at"))
+    rows = cut(run.rows.drop("better_tags_updated_at"))
+    n = run.counts.select("rows_changed")
+    differing = rows.exceptAll(want).unionByName(want.exceptAll(rows)).agg(F.count("*").alias("differing"))
+    return differing.join(F.broadcast(n)).join(F.broadcast(rows.agg(F.count("*").alias("written")))).select(  # one row each
+        "differing", ((F.col("written") == F.col("rows_changed")) & (F.col("written") > 0)).alias("some"))
+
+
 @reg("knn_many_blocks", "E7", "SELECT field_name, q_id, t_id, round(sim, 6) AS sim, cast(rank AS INT) AS rank FROM nn WHERE rank <= 5",
      "fx_label_vectors", nn=KNN)
 def _(t):

@@ -1,9 +1,13 @@
 """Queries over vectors, embeddings and centroids."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions import vectors as V
+from ..lineage import checkpoint_dir, cut
 from ..operators import centroids as C
+from ..operators.centroid_sums import CentroidSums
 from ..operators import embedding as E
 from ..oracles import expr as X
 from ..oracles.fixtures import unit, with_tables
@@ -206,6 +210,26 @@ for _mode, _by, _w, _s, _n in (
         ),
     )(_build)
 
+@query(
+    "centroids_by_differences", "G1 G23 G28",
+    with_tables(
+        "SELECT field_name, run_id, cluster_version, cluster_id, total, medoid_label FROM centroid_rows", "fx_clusters", "fx_label_map",
+        **centroid_steps(MEMBERS_NORM, False, False, 10),
+    ),
+)
+def _(t):
+    """Centroids after two changes: half of the members, with some that do not belong; then the others come and those go."""
+    members = cut(C.centroid_members(t.clusters(), t.label_map(), t.label_embeddings(), "normalized"))
+    first = F.pmod(F.xxhash64("raw_label"), F.lit(2)) == 0
+    strangers = members.filter(~first).withColumn("embedding", F.reverse("embedding"))
+    sums = CentroidSums(t.spark, f"{checkpoint_dir(t.spark)}/sums-{uuid.uuid4().hex}", weighted=False, buckets=8)
+    sums.change(members.filter(first).unionByName(strangers))
+    sums.change(members.filter(~first), strangers)
+    sums.choose(members)
+    out = sums.centroids().join(sums.medoids.read(), C.KEY)
+    return out.select(*C.KEY, r6(total(F.col("centroid"))).alias("total"), "medoid_label")
+
+
 _STANDARD = "coalesce(active, true) AND NOT coalesce(is_true_anomaly_cluster, false)"
 
 

@@ -8,7 +8,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructType
+from pyspark.sql.types import DataType, IntegerType, StructType
 
 from ..lineage import cut
 from .io import latest_per_key, update_or_insert, upsert
@@ -16,6 +16,12 @@ from .io import latest_per_key, update_or_insert, upsert
 BUCKET = "_bucket"
 
 
+def _nullable(kind: DataType) -> DataType:
+    """The type with nulls allowed everywhere, as a reader of Parquet has it."""
+    return StructType.fromJson(json.loads(kind.json().replace('"nullable":false', '"nullable":true').replace(
+        '"containsNull":false', '"containsNull":true').replace('"valueContainsNull":false', '"valueContainsNull":true')))
+
+
 class KeyedTable:
     """Rows in folders by bucket, the hash of ``by`` (the keys unless given), replaced by dynamic partition overwrite.
 
@@ -97,7 +103,9 @@ class KeyedTable:
     def _as_stored(self, df: DataFrame) -> DataFrame:
         """Columns cast to the table's types, as equal values of other types have other hashes."""
         kinds = {f.name: f.dataType for f in self.schema.fields}
-        return df.select(*[F.col(c).cast(kinds[c]).alias(c) if c in kinds else F.col(c) for c in df.columns])
+        now = {f.name: f.dataType for f in df.schema.fields}
+        other = {c for c in df.columns if c in kinds and kinds[c].simpleString() != now[c].simpleString()}
+        return df.select(*[F.col(c).cast(kinds[c]).alias(c) if c in other else F.col(c) for c in df.columns])
 
     def touched(self, changes: DataFrame) -> DataFrame:
         """Rows of the buckets that the rows of ``changes`` fall into, no others being read."""
@@ -112,7 +120,7 @@ class KeyedTable:
         """The table's columns and first rows; keys are not checked."""
         if self.exists():
             raise ValueError(f"there is a table in {self.path}")
-        self.schema = df.schema
+        self.schema = _nullable(df.schema)
         layout = [(self.keys, self.by, self.buckets, df.schema.json())]
         kinds = "keys array<string>, by array<string>, buckets int, table string"
         self.spark.createDataFrame(layout, kinds).coalesce(1).write.mode("overwrite").json(self._layout_path)
