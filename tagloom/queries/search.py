@@ -94,13 +94,13 @@ def _(t):
     "call_evidence_tags", "E12",
     """SELECT call_id, agent_name FROM (SELECT id, call_id, call_date_time, agent_name, list_transform(string_split(
         replace(replace(additional_tags, ';', '|'), ',', '|'), '|'), lambda x: trim(x)) AS tags FROM fx_calls WHERE sequence = 1)
-    WHERE list_contains(tags, 'click') AND list_contains(tags, 'red widget') ORDER BY call_date_time DESC, call_id LIMIT 25""",
+    WHERE list_contains(tags, 'click') AND list_contains(tags, 'small ring') ORDER BY call_date_time DESC, call_id LIMIT 25""",
     "fx_calls",
 )
 def _(t):
     tags = F.transform(F.split("additional_tags", "[|;,]"), lambda x: F.trim(x))
     calls = t.calls().withColumn("additional_tags", tags)
-    return S.call_evidence(calls, t.transcripts(), "additional_tags", '{click,"red widget"}').select("call_id", "agent_name")
+    return S.call_evidence(calls, t.transcripts(), "additional_tags", '{click,"small ring"}').select("call_id", "agent_name")
 
 
 HIT_STEPS = {
