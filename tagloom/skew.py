@@ -13,15 +13,18 @@ from .lineage import cut
 HOT_KEYS, LEAST_HOT = 10_000, 1_000
 
 
-def join_one(rows: DataFrame, side: DataFrame, keys: str | Sequence[str], how: str = "left") -> DataFrame:
+def join_one(rows: DataFrame, side: DataFrame, keys: str | Sequence[str], how: str = "left",
+             counts: DataFrame | None = None) -> DataFrame:
     """``rows`` joined with ``side``, which has one row of few narrow columns for each key; how is left or inner.
 
     Hot keys, at most HOT_KEYS, are joined by a broadcast, so their rows stay where they are; what remains is shuffled by
     the keys, of which no task then gets more than a small share. Both are read more than once, so they are tables or
-    cheap to make. Null keys match nothing.
+    cheap to make. Null keys match nothing. ``counts``: a table of the keys and their rows ``_n``, if known.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    counts = cut(rows.dropna(subset=keys).groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > LEAST_HOT))
+    if counts is None:
+        counts = cut(rows.dropna(subset=keys).groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > LEAST_HOT))
+    counts = counts.filter(F.col("_n") > LEAST_HOT)
     if counts.isEmpty():
         return rows.join(side, keys, how)
     limit = max(LEAST_HOT, rows.count() // HOT_KEYS)
