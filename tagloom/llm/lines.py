@@ -9,13 +9,16 @@ from pyspark.sql import functions as F
 
 from ..functions.text import pin
 from ..lineage import cut
+from ..skew import join_one
 from .common import small_side, text_of
 from .groups import linked_groups
 
 #: Lines at most so many edits apart are copies.
 EDITS = 2
-#: Shorter lines are never copies; from NEAR code points on, lines need not be equal.
-SHORTEST, NEAR = 10, 20
+#: From so many code points on, lines need not be equal.
+NEAR = 20
+#: A line of these characters alone is blank.
+BLANKS = " \t\x0b\x0c\r"
 #: Classes of characters that a line's profile counts.
 CLASSES = 16
 
@@ -90,12 +93,17 @@ def within_edits(a: Column, b: Column, edits: int) -> Column:
     return last.between(0, band - 1) & (F.call_function("shiftright", word, last).bitwiseAND(F.lit(1)) == 1)
 
 
-def line_rows(docs: DataFrame, shortest: int = SHORTEST) -> DataFrame:
-    """doc_id, text_hash, line_no, line, id, length of the lines of at least ``shortest`` code points."""
+def second_hash(line: str) -> Column:
+    """A hash independent of a line's id, as the first column seeds it; both together are 128 bits."""
+    return F.xxhash64(F.lit("line"), F.col(line))
+
+
+def line_rows(docs: DataFrame) -> DataFrame:
+    """doc_id, text_hash, line_no, line, id, length of the lines that are not blank."""
     rows = docs.select(docs["doc_id"].alias("doc_id"), text_of(docs).alias("text"))
     rows = rows.select("doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
     rows = rows.withColumn("line", F.trim("line")).withColumn("length", F.char_length("line"))
-    return rows.filter(F.col("length") >= shortest).withColumn("id", F.xxhash64("line"))
+    return rows.filter(F.btrim("line", F.lit(BLANKS)) != "").withColumn("id", F.xxhash64("line"))
 
 
 def shared_segments(lines: DataFrame, edits: int, near: int) -> DataFrame:
@@ -124,7 +132,7 @@ def profile(line: Column, length: Column) -> Column:
 
 
 def line_groups(lines: DataFrame, edits: int = EDITS, near: int = NEAR) -> DataFrame:
-    """(node, component): the lines within ``edits`` of another line, directly or over others.
+    """(id, check, component): the lines within ``edits`` of another line, directly or over others.
 
     Lines that share a substring are compared by their profiles where they meet, and by their characters only if these
     allow a link.
@@ -132,7 +140,7 @@ def line_groups(lines: DataFrame, edits: int = EDITS, near: int = NEAR) -> DataF
     lists = shared_segments(lines, edits, near)
     wanted = small_side(cut(lists.select("id").distinct()))
     texts = lines.select("id", "line", "length").join(wanted, "id", "left_semi").groupBy("id").agg(F.min("line").alias("line"))
-    texts = cut(texts.withColumn("profile", profile(F.col("line"), F.char_length("line"))))
+    texts = cut(texts.withColumns({"profile": profile(F.col("line"), F.char_length("line")), "check": second_hash("line")}))
     own = texts.select("id", F.col("profile").alias("mark"))
     centre = texts.select(F.col("id").alias("centre"), F.col("profile").alias("centre_mark"))
     lists = cut(lists.select("key", "id", "centre").join(own, "id").join(centre, "centre"))
@@ -147,28 +155,35 @@ def line_groups(lines: DataFrame, edits: int = EDITS, near: int = NEAR) -> DataF
         right = texts.select(F.col("id").alias("b"), F.col("line").alias("y"))
         return pairs.join(left, "a").join(right, "b").filter(within_edits(F.col("x"), F.col("y"), edits)).select("a", "b")
 
-    return linked_groups(lists, needs, verify)
+    groups = linked_groups(lists, needs, verify).select(F.col("node").alias("id"), "component")
+    return groups.join(texts.select("id", "check"), "id")
 
 
-def dedup_lines(docs: DataFrame, edits: int = EDITS, shortest: int = SHORTEST, near: int = NEAR) -> DataFrame:
+def dedup_lines(docs: DataFrame, edits: int = EDITS, near: int = NEAR) -> DataFrame:
     """(doc, n_lines, n_dropped) of every row: ``doc`` holds all columns of the row, repeated lines taken out of ``text``.
 
     Lines are the parts between line feeds, without spaces at their ends. Lines of ``near`` code points or more are linked
     when an edit distance of ``edits`` or less lies between them, shorter ones when equal; the links' connected components are groups.
     Of a group the first line stays, by doc_id, hash of the text and line number; the others go, in the same
-    document too. Lines under ``shortest`` code points always stay, as they say nothing about copying.
+    document too. Blank lines always stay.
 
     A null text stays null and has no lines; an empty text has one line, which stays. Documents whose lines all go have an
     empty text. Rows that are repeated as a whole count as one and share its fate; a null doc_id comes last in order. Ties
-    cannot occur otherwise. Lines are told apart by 64-bit hashes. An empty table gives no rows.
+    cannot occur otherwise. Lines are equal when two independent 64-bit hashes are; of lines that share the first one alone
+    the least stands for it in the search for near lines, the others are copies of their equals only. A long text is split
+    within its row, so it takes memory in proportion to its length. An empty table gives no rows.
     """
-    lines = line_rows(docs, shortest)
-    labels = line_groups(lines, edits, near).select(F.col("node").alias("id"), "component")
-    at = lines.select("doc_id", "text_hash", "line_no", "id").join(small_side(cut(labels)), "id", "left")
-    at = cut(at.select("doc_id", "text_hash", "line_no", F.coalesce("component", "id").alias("group")))
+    lines = line_rows(docs)
+    labels = small_side(cut(line_groups(lines, edits, near)))
+    at = lines.select("doc_id", "text_hash", "line_no", "id", second_hash("line").alias("check")).join(labels, ["id", "check"], "left")
+    at = cut(at.select(
+        "doc_id", "text_hash", "line_no", F.coalesce("component", "id").alias("group"),
+        F.when(F.col("component").isNull(), F.col("check")).otherwise(0).alias("check")))
     place = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "text_hash", "line_no")
-    first = at.groupBy("group").agg(F.min(place).alias("first"), F.max(place).alias("last")).filter("first <> last")
-    again = at.join(cut(first.select("group", "first")), "group").filter(place != F.col("first"))
+    first = at.groupBy("group", "check").agg(F.min(place).alias("first"), F.max(place).alias("last"), F.count("*").alias("_n"))
+    first = cut(first.filter("first <> last").select("group", "check", "first", "_n"))
+    sizes = first.select("group", "check", "_n")
+    again = join_one(at, first.drop("_n"), ["group", "check"], "inner", sizes).filter(place != F.col("first"))
     drops = cut(again.groupBy("doc_id", "text_hash").agg(F.collect_set("line_no").alias("drops")))
     rows = docs.select(
         F.struct(*(docs[c] for c in docs.columns)).alias("doc"), docs["doc_id"].alias("id"), F.xxhash64(text_of(docs)).alias("hash"))

@@ -129,7 +129,8 @@ SQL: dict[str, str] = {
         placed AS MATERIALIZED (SELECT doc_id, pos AS line_no, parts[pos] AS raw, trim(parts[pos], ' ') AS line
             FROM (SELECT doc_id, parts, unnest(range(1, len(parts) + 1)) AS pos
                 FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents))),
-        kinds AS MATERIALIZED (SELECT DISTINCT line, length(line) AS n, translate(line, a, b) AS m FROM placed, maps WHERE length(line) >= 10),
+        kinds AS MATERIALIZED (SELECT DISTINCT line, length(line) AS n, translate(line, a, b) AS m
+            FROM placed, maps WHERE trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) <> ''),
         links AS MATERIALIZED (SELECT x.line AS x, y.line AS y FROM kinds x JOIN (SELECT *, unnest([-2, -1, 0, 1, 2]) AS d FROM kinds) y
             ON x.n = y.n + y.d WHERE x.n >= 20 AND y.n >= 20 AND x.line <> y.line AND levenshtein(x.m, y.m) <= 2),
         reach AS (SELECT line AS x, line AS y FROM kinds UNION SELECT r.x, l.y FROM reach r JOIN links l ON l.x = r.y),
