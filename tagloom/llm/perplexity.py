@@ -1,90 +1,126 @@
-"""Quality rules with a modified Kneser-Ney model of character n-grams, counted over all documents of a language."""
+"""Quality rules with a modified Kneser-Ney model of byte n-grams, counted over all documents of a language.
+
+Nothing of the model is on the driver or in a broadcast. Blocks of neighbouring rows name their different n-grams once; the
+model's log probabilities stand in sorted arrays, dealt by language and hash, which the requests are shuffled to; a block's
+answers are written to the shared folder, and its rows are scored where they are read again.
+"""
 
 from __future__ import annotations
 
+import math
+import re
+import uuid
 from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+import pyarrow.parquet as pq
+from pyarrow import fs
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..lineage import cut
+from ..lineage import checkpoint_dir, cut
 from .common import slices
 
-#: Longest n-gram; characters told apart in each language, all others count as one.
-ORDER, SYMBOLS = 5, 62
-BITS = 6
-START = (1 << BITS) - 1
-#: Bits of a stored key: an array has 2 ** KEY_BITS entries at most, whatever the corpus.
-KEY_BITS = 24
+#: Bytes of the longest n-gram, all 256 told apart; START, which no UTF-8 text has, stands before the text.
+ORDER, BITS, START = 5, 8, 0xFF
+#: Neighbouring rows of a file that ask for their n-grams together.
+BLOCK_ROWS = 1 << 14
+#: Arrays (a prime number) that the n-grams of a language are dealt to; blocks that one copy of an array answers.
+RANGES, ASKING = 1021, 1 << 16
+#: Blocks whose answers share a folder; n-grams that a task works on at a time.
+TOGETHER, CHUNK = 16, 1 << 20
 #: A language's bands lie so many distances from median to quartile beyond each quartile of its log perplexities (Kimber's
 #: fences: Tukey's 1.5 interquartile ranges, taken for each side by its own half, as the sides are not alike).
 SPREAD = 3.0
 MIN_WORDS, MAX_REPEATS = 50, 50
 MARKS = b"#*$%&|<>"
+WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
-def _units(text: str) -> np.ndarray:
-    return np.frombuffer(text.encode("utf-16-le", "surrogatepass"), dtype="<u2")
-
-
-def _codes(symbols: np.ndarray, order: int = ORDER) -> np.ndarray:
-    """The n-gram that ends at each symbol, BITS a symbol; START stands before the text."""
-    s = np.concatenate([np.full(order - 1, START), symbols]).astype(np.int64)
+def _windows(symbols: np.ndarray, order: int) -> np.ndarray:
+    """The n-gram that starts at each symbol, BITS a symbol."""
+    s = symbols.astype(np.int64)
     code = np.zeros(len(s), dtype=np.int64)
     for k in range(order):
         code = (code[: len(s) - k] << BITS) | s[k:]
     return code
 
 
+def _codes(symbols: np.ndarray, order: int = ORDER) -> np.ndarray:
+    """The n-gram that ends at each symbol."""
+    return _windows(np.concatenate([np.full(order - 1, START), symbols]), order)
+
+
+def _pieces(text: str) -> Iterator[np.ndarray]:
+    """The n-grams that end at each byte of a text, at most CHUNK at a time."""
+    s = np.concatenate([np.full(ORDER - 1, START, np.uint8), np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)])
+    for at in range(0, len(s) - ORDER + 1, CHUNK):
+        yield _windows(s[at: at + CHUNK + ORDER - 1], ORDER)
+
+
 def _rows(docs: DataFrame) -> DataFrame:
-    return docs.select(
+    """doc_id, text, lang and block of every row: the same block for neighbouring rows of a file, on every scan.
+
+    Rows that do not come from files are written to some first.
+    """
+    rows = docs.select(
         docs["doc_id"].cast("long").alias("doc_id"), F.coalesce(docs["text"].cast("string"), F.lit("")).alias("text"),
         F.coalesce(docs["lang"].cast("string"), F.lit("")).alias("lang"))
 
+    def in_blocks(df: DataFrame) -> DataFrame:
+        return df.withColumn("block", F.xxhash64("_metadata.file_path", F.expr(f"_metadata.row_index div {BLOCK_ROWS}")))
 
-def _merged(parts: dict, schema: str) -> Iterator[pa.RecordBatch]:
-    for lang, (keys, n) in parts.items():
-        if len(keys):
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(keys)), pa.array(keys, pa.int64()), pa.array(n, pa.int64())], schema)
+    try:
+        return in_blocks(rows)
+    except AnalysisException:
+        return in_blocks(cut(rows))
 
 
-def _count(rows: DataFrame, keys_of, limit: int = 1 << 21) -> DataFrame:
-    """(lang, key, n): a task counts its texts' keys in sorted arrays and gives them up to be summed when they grow large."""
+def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Different keys, rising, with the sums of their counts."""
+    keys, at = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
+    return keys, np.bincount(at, weights=np.concatenate([n for _, n in parts])).astype(np.int64)
+
+
+def _lists(values: np.ndarray, sizes: np.ndarray, kind: pa.DataType) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(values, kind))
+
+
+def block_counts(rows: DataFrame, limit: int = 1 << 22) -> DataFrame:
+    """(block, lang, range, keys, n) of the n-grams of each block, keys rising; a task gives up what it holds when that grows large."""
+
+    def out(held: dict[tuple[int, str], list]) -> Iterator[pa.RecordBatch]:
+        for (block, lang), parts in held.items():
+            keys, n = _summed(parts)
+            ranges = keys % RANGES
+            order = np.argsort(ranges, kind="stable")
+            found, sizes = np.unique(ranges, return_counts=True)
+            yield pa.RecordBatch.from_arrays([
+                pa.array([block] * len(found), pa.int64()), pa.array([lang] * len(found)), pa.array(found, pa.int32()),
+                _lists(keys[order], sizes, pa.int64()), _lists(n[order], sizes, pa.int64())], ["block", "lang", "range", "keys", "n"])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+        held: dict[tuple[int, str], list] = {}
         for b in slices(batches, "text"):
-            fresh: dict[str, list[np.ndarray]] = {}
-            for text, lang in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                if text:
-                    fresh.setdefault(lang, []).append(keys_of(text, lang))
-            for lang, found in fresh.items():
-                keys, n = np.unique(np.concatenate(found), return_counts=True)
-                if lang in held:
-                    both, at = np.unique(np.concatenate([held[lang][0], keys]), return_inverse=True)
-                    n = np.bincount(at, weights=np.concatenate([held[lang][1], n])).astype(np.int64)
-                    keys = both
-                held[lang] = keys, n
-            if sum(len(k) for k, _ in held.values()) > limit:
-                yield from _merged(held, ["lang", "key", "n"])
-                held = {}
-        yield from _merged(held, ["lang", "key", "n"])
-
-    part = rows.select("text", "lang").mapInArrow(run, "lang string, key long, n long")
-    return part.groupBy("lang", "key").agg(F.sum("n").alias("n"))
-
-
-def alphabets(rows: DataFrame) -> dict[str, np.ndarray]:
-    """For each language the symbol of each UTF-16 unit: 1 to SYMBOLS by frequency, 0 for all others."""
-    units = _count(rows, lambda text, lang: _units(text).astype(np.int64))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "key"))
-    out: dict[str, np.ndarray] = {}
-    for r in units.withColumn("rank", rank).filter(F.col("rank") <= SYMBOLS).collect():
-        out.setdefault(r["lang"], np.zeros(1 << 16, dtype=np.uint8))[r["key"]] = r["rank"]
-    return out
+            fresh: dict[tuple[int, str], list[np.ndarray]] = {}
+            blocks = b.column(2).to_pylist()
+            for text, lang, block in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), blocks, strict=True):
+                for piece in _pieces(text):
+                    fresh.setdefault((block, lang), []).append(piece)
+            for at, found in fresh.items():
+                held.setdefault(at, []).append(np.unique(np.concatenate(found), return_counts=True))
+            if sum(len(k) for parts in held.values() for k, _ in parts) > limit:
+                held = {at: [_summed(parts)] for at, parts in held.items()}
+            full = sum(len(k) for parts in held.values() for k, _ in parts) > limit // 2
+            done = {at: parts for at, parts in held.items() if full or at[0] != blocks[-1]}
+            yield from out(done)
+            held = {at: parts for at, parts in held.items() if at not in done}
+        yield from out(held)
+
+    return rows.select("text", "lang", "block").mapInArrow(run, "block long, lang string, range int, keys array<bigint>, n array<bigint>")
 
 
 def estimate(counts: DataFrame, order: int = ORDER) -> DataFrame:
@@ -136,129 +172,164 @@ def estimate(counts: DataFrame, order: int = ORDER) -> DataFrame:
     return cut(out)
 
 
-def stored_key(keys: np.ndarray, size: int) -> np.ndarray:
-    """n-grams as keys of KEY_BITS bits: themselves while they fit, a multiplicative hash of longer ones."""
-    if BITS * size <= KEY_BITS:
-        return keys.astype(np.uint32)
-    mixed = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    return (mixed >> np.uint64(64 - KEY_BITS)).astype(np.uint32)
-
-
-class Scorer:
-    """Sorted key arrays of a language with the values beside them; where two n-grams share a hash, the likelier stays."""
-
-    def __init__(self, sizes: np.ndarray, keys: np.ndarray, **values: np.ndarray):
-        self.tables: dict[tuple[int, str], tuple[np.ndarray, np.ndarray]] = {}
-        for size in np.unique(sizes):
-            for column, value in values.items():
-                some = (sizes == size) & ~np.isnan(value)
-                key, v = stored_key(keys[some], int(size)), value[some]
-                order = np.lexsort((-v, key))
-                key, v = key[order], v[order]
-                first = np.concatenate([[True], key[1:] != key[:-1]]) if len(key) else np.zeros(0, bool)
-                self.tables[int(size), column] = key[first], v[first]
-
-    def _find(self, codes: np.ndarray, size: int, column: str) -> np.ndarray:
-        """Values by binary search, nan where there is none; sorted, equal codes are looked up once."""
-        keys, values = self.tables.get((size, column), (np.zeros(0, np.uint32), np.zeros(0, np.float32)))
-        if not len(keys):
-            return np.full(len(codes), np.nan)
-        wanted = stored_key(codes, size)
-        at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-        return np.where(keys[at] == wanted, values[at], np.nan).astype(np.float64)
-
-    def log_p(self, codes: np.ndarray, order: int = ORDER) -> np.ndarray:
-        """Log probability of each n-gram's last symbol after the others; unseen ones back off to shorter contexts."""
-        out, left, spent = np.zeros(len(codes)), np.arange(len(codes)), np.zeros(len(codes))
-        for size in range(order, 0, -1):
-            tail = codes[left] & ((1 << BITS * size) - 1)
-            found = self._find(tail, size, "log_p")
-            hit = ~np.isnan(found)
-            out[left[hit]] = found[hit] + spent[left[hit]]
-            left = left[~hit]
-            if not len(left):
-                return out
-            more = self._find(tail[~hit] >> BITS, size - 1, "log_backoff")
-            spent[left] += np.where(np.isnan(more), 0, more)
-        out[left] = spent[left] - BITS * np.log(2)
-        return out
+def answers(model: DataFrame, blocks: DataFrame, asking: int) -> DataFrame:
+    """(block, lang, keys, logs): the log probabilities of each block's n-grams.
+
+    ``model``: (lang, key, log_p) of the longest n-grams. It becomes sorted arrays; an array goes before the requests for it
+    through one task, which finds them by binary search. ``asking`` blocks share out over copies of the arrays, so that a
+    language of any share of the rows is many tasks.
+    """
+    copies = max(1, math.ceil(asking / ASKING))
+    place = ["lang", "range", "copy"]
+    sorted_rows = F.array_sort(F.collect_list(F.struct("key", F.col("log_p").cast("float").alias("log_p"))))
+    arrays = model.groupBy("lang", F.pmod("key", F.lit(RANGES)).cast("int").alias("range")).agg(sorted_rows.alias("a"))
+    arrays = arrays.select(
+        "lang", "range", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias("copy"), F.lit(None).cast("long").alias("block"),
+        F.col("a.key").alias("keys"), F.col("a.log_p").alias("logs"))
+    asked = blocks.select(
+        "lang", "range", F.pmod("block", F.lit(copies)).cast("int").alias("copy"), "block", "keys", F.lit(None).cast("array<float>").alias("logs"))
+    both = arrays.unionByName(asked).repartition(*place).sortWithinPartitions(*place, F.col("block").asc_nulls_first())
+
+    def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, keys, logs = None, np.zeros(0, np.int64), np.zeros(0, np.float32)
+        for b in batches:
+            langs, ranges, copy, block, lists, values = b.columns
+            found, rows = [], []
+            for i, where in enumerate(zip(langs.to_pylist(), ranges.to_pylist(), copy.to_pylist(), strict=True)):
+                own = lists[i].values.to_numpy()
+                if not block[i].is_valid:
+                    at, keys, logs = where, own, values[i].values.to_numpy()
+                    continue
+                if at != where or not np.array_equal(keys[(spot := np.minimum(np.searchsorted(keys, own), len(keys) - 1))], own):
+                    raise ValueError(f"n-grams of {where} that were not counted")
+                rows.append(i)
+                found.append(logs[spot])
+            if rows:
+                sizes, kept = [len(f) for f in found], pa.array(rows)
+                yield pa.RecordBatch.from_arrays(
+                    [block.take(kept), langs.take(kept), lists.take(kept), _lists(np.concatenate(found), sizes, pa.float32())],
+                    ["block", "lang", "keys", "logs"])
+
+    return both.mapInArrow(search, "block long, lang string, keys array<bigint>, logs array<float>")
 
 
 def base_counts(text: str) -> tuple[int, int, int, int, int]:
-    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words of a text; words are runs without ASCII white space."""
+    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words of a text; words are runs without ASCII white space.
+
+    Words and then windows of two and three of them become numbers, so that a long text needs no object for each.
+    """
     raw = text.encode()
-    words = raw.split()
-    inside = b"".join(words)
+    inside = raw.translate(None, b" \t\n\x0b\x0c\r")
     chars = len(inside) if inside.isascii() else len(inside.decode())
     marks = len(inside) - len(inside.translate(None, MARKS))
     lines = Counter(raw.split(b"\n"))
     again = sum(n - 1 for line, n in lines.items() if n > 1 and line.split())
-    windows = list(zip(words, words[1:], words[2:], strict=False))
-    often = Counter(windows)
+    seen: dict[bytes, int] = {}
+    words = np.fromiter((seen.setdefault(m.group(), len(seen)) for m in WORD.finditer(raw)), np.int64)
     repeated = 0
-    if len(often) < len(windows):
-        end = 0
-        for i, w in enumerate(windows):
-            if often[w] > 1:
-                repeated += i + 3 - max(i, end)
-                end = i + 3
+    if len(words) > 3:
+        twos = np.unique(words[:-1] * len(seen) + words[1:], return_inverse=True)[1]
+        _, threes, n = np.unique(twos[:-1] * len(seen) + words[2:], return_inverse=True, return_counts=True)
+        starts = np.flatnonzero(n[threes] > 1)
+        if len(starts):
+            repeated = int(np.minimum(np.diff(starts), 3).sum()) + 3
     return len(words), chars, marks, again, repeated
 
 
-def scorers(model: DataFrame) -> dict[str, Scorer]:
-    """A scorer for each language of ``estimate``, brought to the driver as narrow Arrow columns."""
-    logs = [F.col(c).cast("float").alias(c) for c in ("log_p", "log_backoff")]
-    table = model.select("lang", F.col("size").cast("byte").alias("size"), F.col("key").cast("int").alias("key"), *logs).toArrow()
-    langs = table.column("lang").combine_chunks().dictionary_encode()
-    of = langs.indices.to_numpy()
-    size, key, log_p, log_backoff = (table.column(c).to_numpy() for c in ("size", "key", "log_p", "log_backoff"))
-    out = {}
-    for i, lang in enumerate(langs.dictionary.to_pylist()):
-        own = of == i
-        out[lang] = Scorer(size[own], key[own], log_p=log_p[own], log_backoff=log_backoff[own])
+def log_sums(texts: list[tuple[int, str]], keys: np.ndarray, logs: np.ndarray) -> Counter:
+    """The sum of the log probabilities of each numbered text, CHUNK n-grams at a time."""
+    out: Counter = Counter()
+    held, owners, size = [], [], 0
+
+    def settle() -> None:
+        sums = np.bincount(np.repeat(np.arange(len(held)), [len(h) for h in held]), weights=logs[np.searchsorted(keys, np.concatenate(held))])
+        for i, total in zip(owners, sums, strict=True):
+            out[i] += float(total)
+
+    for i, text in texts:
+        for piece in _pieces(text):
+            held.append(piece)
+            owners.append(i)
+            size += len(piece)
+            if size >= CHUNK:
+                settle()
+                held, owners, size = [], [], 0
+    if held:
+        settle()
     return out
 
 
 SCORED = "doc_id long, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, log_perplexity double"
 
 
+def score(rows: DataFrame, folder: str, parts: int) -> DataFrame:
+    """SCORED of every row of ``_rows``; ``folder`` holds the answers by ``part``, a block's number modulo ``parts``."""
+
+    def load(block: int) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+        store, name = fs.FileSystem.from_uri(folder)
+        found = pq.read_table(
+            f"{name}/part={block % parts}", columns=["lang", "keys", "logs"], filters=[("block", "=", block)],
+            filesystem=store, partitioning=None).combine_chunks()
+        out = {}
+        for lang in set(found.column("lang").to_pylist()):
+            own = found.filter(pa.compute.equal(found.column("lang"), lang))
+            keys, logs = (own.column(c).combine_chunks().flatten().to_numpy() for c in ("keys", "logs"))
+            order = np.argsort(keys)
+            out[lang] = keys[order], logs[order].astype(np.float64)
+        return out
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [c.split()[0] for c in SCORED.split(", ")]
+        loaded, model = None, {}
+        for b in slices(batches, "text"):
+            ids, texts, langs, blocks = (c.to_pylist() for c in b.columns)
+            base = [base_counts(t) for t in texts]
+            logs: list[float | None] = [None] * len(texts)
+            groups: dict[int, dict[str, list]] = {}
+            for i, (t, lang, block) in enumerate(zip(texts, langs, blocks, strict=True)):
+                if t:
+                    groups.setdefault(block, {}).setdefault(lang, []).append((i, t))
+            for block, by_lang in groups.items():
+                if block != loaded:
+                    loaded, model = block, load(block)
+                for lang, some in by_lang.items():
+                    for i, total in log_sums(some, *model[lang]).items():
+                        logs[i] = -total / len(texts[i])
+            cols = [pa.array(ids, pa.int64()), pa.array(langs), *(pa.array(c, pa.int64()) for c in zip(*base, strict=True)), pa.array(logs, pa.float64())]
+            yield pa.RecordBatch.from_arrays(cols, names)
+
+    return rows.select("doc_id", "text", "lang", "block").mapInArrow(run, SCORED)
+
+
 def quality_rules(docs: DataFrame, spread: float = SPREAD) -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, perplexity, kept of every row.
 
-    The model of a language is counted over all texts of documents of that lang. ``perplexity`` is that of a text's
-    characters; a text is kept if it passes the base rules and lies within its language's bands, which come from the median
+    The model of a language is counted over all texts of documents of that lang, by bytes, so that all characters of all
+    scripts are told apart. ``perplexity`` is that of a text's characters; a text is kept if it passes the base rules and lies within its language's bands, which come from the median
     and the quartiles over all its different perplexities of texts that pass them, so that copies do not narrow them.
 
     A null text has no words and fails; a null lang is a language of its own with those named by the empty text. A language with
     one text keeps it, as its quartiles are its value. Rows are independent but for the counts: repeated rows count as often as
-    they stand and get equal results. An empty table gives no rows; further columns are ignored.
+    they stand and get equal results. A long text's n-grams are worked on CHUNK at a time; a task holds the text itself a few times and the
+    different n-grams of a block. An empty table gives no rows; further columns are ignored.
+
+    The shared folder is opened by executors as any file system that pyarrow knows.
     """
     rows = _rows(docs)
-    spark = docs.sparkSession
-    letters = spark.sparkContext.broadcast(alphabets(rows))
-    grams = _count(rows, lambda text, lang: _codes(letters.value[lang][_units(text)]))
-    models = spark.sparkContext.broadcast(scorers(estimate(grams)))
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [c.split()[0] for c in SCORED.split(", ")]
-        for b in slices(batches, "text", 1 << 20):
-            ids, texts, langs = (c.to_pylist() for c in b.columns)
-            base = [base_counts(t) for t in texts]
-            logs: list[float | None] = [None] * len(texts)
-            for lang in set(langs):
-                at = [i for i, (t, x) in enumerate(zip(texts, langs, strict=True)) if t and x == lang]
-                if at:
-                    codes = [_codes(letters.value[lang][_units(texts[i])]) for i in at]
-                    seen, where = np.unique(np.concatenate(codes), return_inverse=True)
-                    p = models.value[lang].log_p(seen)[where]
-                    starts = np.cumsum([0, *(len(c) for c in codes[:-1])])
-                    for i, total, c in zip(at, np.add.reduceat(p, starts), codes, strict=True):
-                        logs[i] = -total / len(c)
-            cols = [pa.array(ids, pa.int64()), pa.array(langs), *(pa.array(c, pa.int64()) for c in zip(*base, strict=True)), pa.array(logs, pa.float64())]
-            yield pa.RecordBatch.from_arrays(cols, names)
+    blocks = cut(block_counts(rows))
+    grams = blocks.select("lang", F.explode(F.arrays_zip("keys", "n")).alias("g"))
+    grams = grams.groupBy("lang", F.col("g.keys").alias("key")).agg(F.sum("g.n").alias("n"))
+    model = estimate(grams).filter(F.col("size") == ORDER).select("lang", "key", "log_p")
+    asking = blocks.select("block").distinct().count()
+    parts = max(1, math.ceil(asking / TOGETHER))
+    folder = f"{checkpoint_dir(docs.sparkSession)}/ngrams-{uuid.uuid4().hex}"
+    folder = folder if "://" in folder or folder.startswith("file:") else f"file://{folder}"
+    told = answers(model, blocks, asking).withColumn("part", F.pmod("block", F.lit(parts)))
+    told = told.repartition("part").sortWithinPartitions("part", "block", "lang")
+    told.write.partitionBy("part").option("parquet.block.size", str(8 << 20)).parquet(folder)
 
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATS * F.col("n_words"))
-    scored = cut(rows.select("doc_id", "text", "lang").mapInArrow(run, SCORED).withColumn("base_failed", failed))
+    scored = cut(score(rows, folder, parts).withColumn("base_failed", failed))
     passed = scored.filter("not base_failed").select("lang", "log_perplexity").distinct()
     quarters = passed.groupBy("lang").agg(F.percentile_approx("log_perplexity", [0.25, 0.5, 0.75], 100_000).alias("q"))
     low, middle, high = (F.col("q")[i] for i in range(3))

@@ -1,8 +1,10 @@
 """Each operator against a plain version on the small table, on an empty one, and its own promises."""
 
 import base64
+import functools
 import hashlib
 import itertools
+import math
 import random
 import re
 import zlib
@@ -15,6 +17,7 @@ from fixtures import documents, edit_distance, shingle_set, texts, union_find
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from tagloom import skew
 from tagloom.llm import jaccard, language, lines, mixing, packing, perplexity, quality, radix, sharding, warc
 
 
@@ -207,7 +210,7 @@ def test_within_edits(spark):
 
 def plain_line_dedup(rows):
     at = [(k, i, n, line.strip(" ")) for k, (i, t) in enumerate(rows) if t is not None for n, line in enumerate(t.split("\n"))]
-    at = [x for x in at if len(x[3]) >= lines.SHORTEST]
+    at = [x for x in at if x[3].strip(" \t\x0b\x0c\r")]
     kinds = sorted({x[3] for x in at})
     find, union = union_find(len(kinds))
     for a, b in itertools.combinations(range(len(kinds)), 2):
@@ -234,6 +237,25 @@ def test_line_dedup(spark, docs, empty):
     assert lines.dedup_lines(docs).count() == len(texts())
 
 
+def test_short_lines_and_blanks(spark):
+    """Equal lines of any length go, blank ones stay."""
+    rows = [(0, "More\n\nx\n\t"), (1, "More\n \ny\n\t\nx"), (2, "Mora\n\r\n} "), (3, "}\n\r"), (4, "More"), (5, "")]
+    got = lines.dedup_lines(documents(spark, [(i, t, "en", "s") for i, t in rows])).select("doc.doc_id", "doc.text", "n_dropped")
+    got = {r[0]: (r[1], r[2]) for r in got.collect()}
+    assert got == {0: (rows[0][1], 0), 1: (" \ny\n\t", 2), 2: (rows[2][1], 0), 3: ("\r", 1), 4: ("", 1), 5: ("", 0)}
+    assert Counter((i, *x) for i, x in got.items()) == Counter(plain_line_dedup(rows))
+
+
+def test_line_in_a_third_of_the_rows(spark, monkeypatch):
+    """Hot lines, equal and near ones, take the other way of the join."""
+    monkeypatch.setattr(skew, "HOT_KEYS", 5)
+    monkeypatch.setattr(skew, "LEAST_HOT", 5)
+    hot, near = "read more", "a footer that stands below every page "
+    rows = [(i, f"line {i} alone\n{hot if i % 3 else near + str(i % 7)}\ntwice {i // 2}") for i in range(90)]
+    got = lines.dedup_lines(documents(spark, [(i, t, "en", "s") for i, t in rows])).select("doc.doc_id", "doc.text", "n_dropped")
+    assert Counter(map(tuple, got.collect())) == Counter(plain_line_dedup(rows))
+
+
 def test_many_near_lines(spark):
     """Chains and stars of near lines, many to a segment."""
     rng = random.Random(6)
@@ -418,13 +440,64 @@ def test_kneser_ney(spark):
     strings = [[rng.randint(1, 5) for _ in range(rng.randint(5, 30))] for _ in range(12)]
     grams = Counter(int(c) for s in strings for c in perplexity._codes(np.array(s), 3))
     counts = spark.createDataFrame([("en", k, n) for k, n in grams.items()], "lang string, key long, n long")
-    scorer = perplexity.scorers(perplexity.estimate(counts, 3))["en"]
+    model = {(r["size"], r["key"]): r for r in perplexity.estimate(counts, 3).collect()}
     p = plain_kneser_ney(strings, 3)
+
+    def told(g):
+        """The model's probability, unseen n-grams by backing off."""
+        key = sum(x << perplexity.BITS * k for k, x in enumerate(reversed(g)))
+        found = model.get((len(g), key))
+        if found and found["log_p"] is not None:
+            return np.exp(found["log_p"])
+        before = model.get((len(g) - 1, key >> perplexity.BITS)) if g else None
+        spent = np.exp(before["log_backoff"]) if before and before["log_backoff"] is not None else 1
+        return spent * told(g[1:]) if g else 1 / 256
+
     for g in itertools.product(range(1, 7), repeat=3):
-        code = np.array([(g[0] << 12) | (g[1] << 6) | g[2]])
-        assert abs(np.exp(scorer.log_p(code, 3)[0]) - p(g)) < 1e-5
+        assert abs(told(g) - p(g)) < 1e-9
     for context in ((1, 2), (5, 5), (6, 6)):
-        assert abs(sum(p((*context, w)) for w in range(64)) - 1) < 1e-9
+        assert abs(sum(p((*context, w)) for w in range(256)) - 1) < 1e-9
+
+
+def test_long_text_in_pieces(monkeypatch):
+    text = "añb c日" * 40
+    whole = np.concatenate(list(perplexity._pieces(text)))
+    assert whole.tolist() == perplexity._codes(np.frombuffer(text.encode(), np.uint8)).tolist()
+    keys, logs = np.unique(whole), np.linspace(-9, -1, len(np.unique(whole)))
+    total = perplexity.log_sums([(0, text), (1, "añb")], keys, logs)
+    monkeypatch.setattr(perplexity, "CHUNK", 50)
+    assert [len(x) for x in perplexity._pieces(text)][:2] == [50, 50]
+    assert np.concatenate(list(perplexity._pieces(text))).tolist() == whole.tolist()
+    again = perplexity.log_sums([(0, text), (1, "añb")], keys, logs)
+    assert all(abs(total[i] - again[i]) < 1e-6 for i in (0, 1))
+
+
+def test_perplexity_and_bands_by_brute_force(spark, monkeypatch):
+    """Two scripts, files of many blocks and copies of arrays: each perplexity and verdict from the definitions."""
+    for name, value in {"BLOCK_ROWS": 3, "ASKING": 2, "TOGETHER": 2}.items():
+        monkeypatch.setattr(perplexity, name, value)
+    rng = random.Random(31)
+    parts = {"ru": ["да", "не", "то", "ма", "ре"], "ja": ["日本", "の", "語で", "す", "山"]}
+    rows = [(i, " ".join("".join(rng.choice(parts[lang]) for _ in range(rng.randint(1, 2))) for _ in range(55)), lang, "s")
+            for i, lang in enumerate(["ru", "ja"] * 6)]
+    rows += [(50, rows[0][1], "ru", "s"), (51, "", "ru", "s"), (52, "ж" * 40 + " x" * 30 + " y z" * 20, "ru", "s"), (53, None, "ja", "s")]
+    got = {r["doc_id"]: r for r in perplexity.quality_rules(documents(spark, rows)).collect()}
+    logs = {}
+    for lang in parts:
+        own = [(i, t) for i, t, x, _ in rows if x == lang and t]
+        p = functools.lru_cache(None)(plain_kneser_ney([list(t.encode()) for _, t in own], 5))
+        for i, t in own:
+            s = [perplexity.START] * 4 + list(t.encode())
+            logs[i] = -sum(np.log(p(tuple(s[k: k + 5]))) for k in range(len(s) - 4)) / len(t)
+    assert got[51]["perplexity"] is None and got[53]["perplexity"] is None
+    assert all(abs(np.log(got[i]["perplexity"]) - x) < 1e-5 for i, x in logs.items())
+    for lang in parts:
+        own = [r for r in got.values() if r["doc_id"] in logs and dict((i, x) for i, _, x, _ in rows)[r["doc_id"]] == lang]
+        values = sorted({np.log(r["perplexity"]) for r in own if not r["base_failed"]})
+        low, middle, high = (values[max(0, math.ceil(len(values) * q) - 1)] for q in (0.25, 0.5, 0.75))
+        for r in own:
+            inside = low - 3 * (middle - low) - 1e-12 <= np.log(r["perplexity"]) <= high + 3 * (high - middle) + 1e-12
+            assert r["kept"] == (inside and not r["base_failed"])
 
 
 def test_quality_rules(docs, empty):
