@@ -103,7 +103,9 @@ def line_rows(docs: DataFrame) -> DataFrame:
     rows = docs.select(docs["doc_id"].alias("doc_id"), text_of(docs).alias("text"))
     rows = rows.select("doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
     rows = rows.withColumn("line", F.trim("line")).withColumn("length", F.char_length("line"))
-    return rows.filter(F.btrim("line", F.lit(BLANKS)) != "").withColumn("id", F.xxhash64("line"))
+    # Most lines show by their first character that they are not blank.
+    filled = (F.ascii("line") > 32) | (F.btrim("line", F.lit(BLANKS)) != "")
+    return rows.filter(filled).withColumn("id", F.xxhash64("line"))
 
 
 def shared_segments(lines: DataFrame, edits: int, near: int) -> DataFrame:
