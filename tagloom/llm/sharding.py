@@ -93,7 +93,17 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) ->
 
 
 def write_shards(docs: DataFrame, placed: DataFrame, path: str, shards: int = SHARDS) -> None:
-    """The documents in a folder per shard, each file ordered by slot; doc_id must be unique."""
-    at = placed.select("doc_id", "shard", "slot")
-    whole = docs.drop("shard", "slot").join(at, "doc_id").repartitionByRange(shards * 4, "shard", "slot")
+    """The documents in a folder per shard, each file ordered by slot; ``placed`` as ``shard_documents`` gives it for them.
+
+    Rows meet their places by their global number, which is found again, so rows without a doc_id and rows that repeat one
+    each take their own slot. Columns named shard and slot are replaced.
+    """
+    rows = docs.select(
+        F.struct(*(docs[c] for c in docs.columns)).alias("doc"), docs["doc_id"].alias("doc_id"),
+        (F.octet_length(text_of(docs)) + PER_DOCUMENT).cast("long").alias("size"),
+        F.crc32(F.encode(text_of(docs), "UTF-8")).alias("text_crc32"))
+    at = placed.select("row_no", "shard", "slot")
+    whole = number_rows(rows, ["doc_id", "size", "text_crc32"]).select("row_no", "doc").join(at, "row_no")
+    kept = [F.col("doc")[c].alias(c) for c in docs.columns if c not in ("shard", "slot")]
+    whole = whole.select(*kept, "shard", "slot").repartitionByRange(shards * 4, "shard", "slot")
     whole.sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)

@@ -61,6 +61,13 @@ def test_write_shards(docs, tmp_path):
     sharding.write_shards(some, sharding.shard_documents(some, 5), str(tmp_path / "out"), 5)
     back = some.sparkSession.read.parquet(str(tmp_path / "out"))
     assert back.count() == 60 and back.select("shard").distinct().count() == 5
+    sharding.write_shards(docs, sharding.shard_documents(docs, 5), str(tmp_path / "all"), 5)
+    back = docs.sparkSession.read.parquet(str(tmp_path / "all"))
+    assert Counter(map(str, back.select(docs.columns).collect())) == Counter(map(str, docs.collect()))
+    slots = defaultdict(list)
+    for r in back.collect():
+        slots[r["shard"]].append(r["slot"])
+    assert all(sorted(x) == list(range(len(x))) for x in slots.values())
 
 
 # packing
