@@ -451,12 +451,100 @@ def _knn_columns(ranked: DataFrame, on: list[str], k: int) -> DataFrame:
     return ranked.filter(F.col("rank") <= k).select(*on, "q_id", "t_id", "sim", "rank")
 
 
+def _own_points(on: list[str], k: int):
+    """Blocks of points with their box, their longest vector and the k-th best score of each row inside the block."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for blocks in batches:
+            rows = []
+            for b in blocks.itertuples(index=False):
+                v, m = stacked([b.vecs], b.dim), np.asarray(b.masks)
+                s = _scores(v, v, m, m, "euclid")
+                np.fill_diagonal(s, np.where(m != 0, -np.inf, 0.0))
+                n = len(v)
+                kth = np.partition(s, n - k, axis=1)[:, n - k] if n >= k else np.full(n, -np.inf)
+                rows.append((kth, v.min(0), v.max(0), float((v * v).sum(1).max()), float(-kth.min())))
+            more = pd.DataFrame(rows, columns=["kth", "lo", "hi", "longest", "worst"])
+            yield pd.concat([blocks.reset_index(drop=True), more], axis=1)
+
+    return run
+
+
+def _slack(longest):
+    """What the squared distance of vectors of that squared length may be off by."""
+    return 2 * NOISE + 2e-14 * longest
+
+
+def _near_points(on: list[str], k: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pairs in batches:
+            for p in pairs.itertuples(index=False):
+                q, t = stacked([p.q_vecs], p.dim), stacked([p.t_vecs], p.dim)
+                q_keys, t_keys = np.asarray(p.q_ids), np.asarray(p.t_ids)
+                qm, tm = np.asarray(p.q_masks), np.asarray(p.t_masks)
+                s = _scores(q, t, qm, tm, "euclid")
+                if p.q_block == p.t_block:
+                    np.fill_diagonal(s, np.where(qm != 0, -np.inf, 0.0))
+                kth = np.asarray(p.q_kth) - _slack(max(p.q_longest, p.t_longest))
+                out = _lists(q_keys, t_keys, _best(s, kth, _ranks(t_keys), k, -np.inf))
+                if len(out):
+                    yield out.assign(**{c: getattr(p, c) for c in on})[[*on, "key", "far", "t"]]
+
+    return run
+
+
+def _places(points: DataFrame, group: list[str], axis, name: str, size) -> DataFrame:
+    """Points with ``name``, the number of their stretch of ``size`` points along an axis, within ``group``."""
+    numbered = dense_index(points.withColumn("_at", axis), [*group, "_at", "key"], "_no")
+    first = numbered.groupBy(*group).agg(F.min("_no").alias("_first"))
+    place = F.floor((F.col("_no") - F.col("_first")) / size).cast("int")
+    return numbered.join(first, group).withColumn(name, place).drop("_at", "_no", "_first")
+
+
 def nearest_points(df: DataFrame, row_id: str, vec: str, k: int, on: list[str] = []) -> DataFrame:
-    """Exact ``k`` nearest rows by Euclidean distance, for short vectors such as positions."""
-    rows = df.select(*on, F.col(row_id).cast("string").alias("rid"), V.as_double(F.col(vec)).alias("v"))
-    blocks = cut(pack(rows, on, "rid", "v"))
-    joined = block_pairs(blocks, on).select("q_block", "t_block").join(_side(blocks, "q"), "q_block").join(_side(blocks, "t").drop("dim", *on), "t_block")
-    found = pair_products(joined, on, k, -float("inf"), True, metric="euclid")
-    return merge_topk(found, [*on, "q_id"], k).filter(F.col("rank") <= k).select(
-        *on, "q_id", "t_id", (-F.col("sim")).alias("squared_distance"), "rank"
-    )
+    """Exact ``k`` nearest rows by Euclidean distance, for short vectors such as positions.
+
+    Equal points are searched once. Points are cut into strips of equal counts along the first axis and these into blocks
+    along the second, so that blocks are compact. A pair of blocks is compared only if their boxes are no further apart than
+    the k-th nearest point that a point of the query block has inside its block: no neighbour is lost.
+    """
+    if not on:
+        return nearest_points(df.withColumn("whole_table", F.lit(0)), row_id, vec, k, ["whole_table"]).drop("whole_table")
+    named = df.select(*on, F.col(row_id).cast("string").alias("rid"), V.as_double(F.col(vec)).alias("v"))
+    vectors, by_vector, wide, again = _distinct(named.filter(F.size(vec) > 0), on, k)
+    group, block_rows = [*on, "dim"], max(POINT_ROWS, 4 * wide)
+    sizes = vectors.groupBy(*group).agg(F.ceil(F.sqrt(F.count("*") / block_rows) * block_rows).alias("_size"))
+    in_strip = [*group, "strip"]
+    strips = _places(vectors.join(sizes, group), group, F.get("v", F.lit(0)), "strip", F.col("_size"))
+    second = F.get("v", F.when(F.col("dim") > 1, F.lit(1)).otherwise(F.lit(0)))
+    placed = _places(strips, in_strip, second, "part", F.lit(block_rows))
+    blocks = placed.groupBy(*in_strip, "part").agg(F.array_sort(F.collect_list(F.struct("key", "v", "m"))).alias("r")).select(
+        *on, "dim", "strip", F.concat_ws("/", *[F.col(c).cast("string") for c in in_strip], "part").alias("block"),
+        F.col("r.key").alias("ids"), F.flatten("r.v").alias("vecs"), F.col("r.m").alias("masks"))
+    kinds = _kinds(blocks, on)
+    with small_batches(df.sparkSession):
+        known = cut(blocks.mapInPandas(
+            _own_points(on, wide),
+            f"{kinds}dim int, strip int, block string, ids array<string>, vecs array<double>, masks array<int>, "
+            "kth array<double>, lo array<double>, hi array<double>, longest double, worst double"))
+        far = F.col("worst") + 2e-14 * F.col("longest") + 4 * NOISE
+        box = known.select(*group, "strip", "block", "lo", "hi", "longest", "worst")
+        # Strips in reach of a block, then their blocks.
+        along = box.groupBy(*group, "strip").agg(
+            F.min(F.col("lo")[0]).alias("_lo"), F.max(F.col("hi")[0]).alias("_hi"), F.max("longest").alias("_longest"))
+        reach = F.sqrt(far + 2e-14 * F.col("_longest")) * (1 + 1e-9)
+        asked = box.select(*group, F.col("block").alias("q_block"), F.col("lo").alias("q_lo"), F.col("hi").alias("q_hi"), "longest", "worst")
+        asked = asked.join(along, group).filter(
+            (F.col("_lo") <= F.col("q_hi")[0] + reach) & (F.col("_hi") >= F.col("q_lo")[0] - reach))
+        met = asked.join(box.select(*group, "strip", F.col("block").alias("t_block"), "lo", "hi"), [*group, "strip"])
+        gap = F.transform(
+            F.arrays_zip("q_lo", "q_hi", "lo", "hi"),
+            lambda x: F.greatest(F.lit(0.0), x["lo"] - x["q_hi"], x["q_lo"] - x["hi"]))
+        apart = F.aggregate(gap, F.lit(0.0), lambda a, x: a + x * x)
+        wanted = met.filter(apart <= (far + 2e-14 * F.col("_longest")) * (1 + 1e-9)).select("q_block", "t_block")
+        q = _side(known.select(*on, "dim", "block", "ids", "vecs", "masks", F.col("kth").alias("q_kth"), F.col("longest").alias("q_longest")), "q")
+        t = _side(known.select("block", "ids", "vecs", "masks", F.col("longest").alias("t_longest")), "t")
+        columns = [*on, "dim", *[f"{x}_{c}" for x in "qt" for c in ("block", "ids", "vecs", "masks", "longest")], "q_kth"]
+        near = wanted.join(q, "q_block").join(t, "t_block").select(*columns).mapInPandas(_near_points(on, wide), f"{kinds}{_NEAR}")
+        out = cut(_expanded(near, by_vector, on, k, wide, again))
+    return out.select(*on, "q_id", "t_id", F.col("far").alias("squared_distance"), "rank")

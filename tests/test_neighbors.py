@@ -42,3 +42,21 @@ def test_knn_of_copies_takes_the_smallest_ids(spark):
     assert rows_written(spark) - before < 8 * len(rows)
     assert got["c000"] == ["c001", "c002", "c003"] and got["c002"] == ["c000", "c001", "c003"] and got["c030"] == ["c000", "c001", "c002"]
     assert got["b"] == ["a", "c000", "c001"] and got["a"] == ["b", "c000", "c001"] and None not in got
+
+
+def test_points_meet_only_blocks_in_reach(spark, monkeypatch):
+    monkeypatch.setattr(blocks, "POINT_ROWS", 16)
+    rng = np.random.default_rng(3)
+    p = np.round(rng.normal(size=(500, 2)) * 10, 1)
+    p[:50] = p[100]
+    df = spark.createDataFrame([(i, [float(x) for x in r]) for i, r in enumerate(p)] + [(None, [0.0, 0.0]), (900, None)], "id int, v array<double>")
+    met = []
+    whole = blocks._near_points
+    monkeypatch.setattr(blocks, "_near_points", lambda on, k: met.append(k) or whole(on, k))
+    got = found(blocks.nearest_points(df, "id", "v", 2))
+    assert met and "900" not in got
+    d = np.round(np.maximum((p * p).sum(1)[:, None] + (p * p).sum(1)[None, :] - 2 * (p @ p.T), 0.0), 9)
+    origin = np.round((p * p).sum(1), 9)
+    for i in range(len(p)):
+        near = [(d[i, j] if (p[i] != p[j]).any() else 0.0, 1, str(j)) for j in range(len(p)) if j != i] + [(origin[i], 0, None)]
+        assert got[str(i)] == [x[2] for x in sorted(near, key=lambda x: x[:2] if x[2] is None else x)[:2]], i
