@@ -306,7 +306,12 @@ def cell_updates(stage: DataFrame, decisions: DataFrame, fields: list[str], row_
 
 def apply_to_rows(stage: DataFrame, decisions: DataFrame, fields: list[str], row_id: str = "id") -> DataFrame:
     """Changed rows only, with their new cells and the time of the change; array cells stay arrays."""
-    updates = cell_updates(stage, decisions, fields, row_id).filter("changed")
+    return updated_rows(stage, cell_updates(stage, decisions, fields, row_id), fields, row_id)
+
+
+def updated_rows(stage: DataFrame, updates: DataFrame, fields: list[str], row_id: str = "id") -> DataFrame:
+    """The rows of ``apply_to_rows`` from ``cell_updates`` that are known."""
+    updates = updates.filter("changed")
     present = [f for f in fields if f in stage.columns]
     arrays = {f for f in present if stage.schema[f].dataType.typeName() == "array"}
     wide = updates.groupBy(row_id).agg(*[

@@ -123,6 +123,6 @@ def backfill_run(stage: DataFrame, fields: list[str], state: B.TaxonomyState, hi
     after = B.materialize(decisions, state)
     updates = cut(B.cell_updates(stage, decisions, fields))
     return BackfillRun(
-        decisions, B.apply_to_rows(stage, decisions, fields), B.update_counts(stage, updates),
+        decisions, B.updated_rows(stage, updates, fields), B.update_counts(stage, updates),
         B.field_audit(decisions, run_id), B.queue_rows(decisions, True), after,
     )

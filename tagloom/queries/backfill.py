@@ -98,7 +98,7 @@ DECIDE_TABLES = TABLES + ("fx_outputs", "fx_calls", "fx_history")
 
 def decisions_of(t):
     refs, index = index_of(t)
-    out = t.outputs().groupBy("field_name", "raw_label", "k").agg(F.count("*").alias("label_count"))
+    out = cut(t.outputs().groupBy("field_name", "raw_label", "k").agg(F.count("*").alias("label_count")))  # read twice
     reasons = t.calls().groupBy(F.col("main_reason").alias("raw_label")).agg(F.count("*").alias("label_count"))
     found = (
         out.select("field_name", "raw_label", "label_count")
@@ -111,7 +111,7 @@ def decisions_of(t):
     )
     from ..functions.text import normalize_label
 
-    found = (
+    found = cut(  # read for the groups and for the fields
         found.withColumn("normalized_label", normalize_label(F.col("raw_label"), "loose"))
         .filter("normalized_label IS NOT NULL")
         .groupBy("field_name", "raw_label", "normalized_label").agg(F.sum("label_count").alias("label_count"))
