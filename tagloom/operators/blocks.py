@@ -209,36 +209,44 @@ def block_pairs(blocks: DataFrame, on: list[str]) -> DataFrame:
 
 #: Rows and numbers of a tile at most, beside what one block more has; a task holds two tiles.
 TILE_ROWS, TILE_VALUES = 16_384, 1 << 20
+#: The same for neighbours, whose tasks hold few products beside the tiles, and the tiles of a group that is not larger than they allow.
+NEAR_ROWS, NEAR_VALUES, NEAR_TILES = 32_768, 1 << 21, 5
 #: Products that a task holds at a time.
 SLAB = 1 << 22
 #: Products of the same vectors may differ by so much from task to task.
 NOISE = 2e-9
 
 
-def tiles(blocks: DataFrame, on: list[str], least: int = 2 * BLOCK_ROWS, most: int = TILE_ROWS) -> DataFrame:
+def tiles(blocks: DataFrame, on: list[str], least: int = 2 * BLOCK_ROWS, most: int = TILE_ROWS, values: int = TILE_VALUES,
+          spread: int = 8) -> DataFrame:
     """Blocks with ``tile``, a number below ``tiles``: many blocks of a group and length, which a task takes at once.
 
-    A row is then copied once for each tile of its group, not for each block. Large groups have tiles of ``most`` rows,
-    small ones up to eight of ``least`` rows at least.
+    A row is then copied once for each tile of its group, not for each block. Large groups have tiles of ``most`` rows or
+    ``values`` numbers, small ones up to ``spread`` of ``least`` rows at least.
     """
     n = F.sum(F.size("ids"))
-    few = F.greatest(F.ceil(n / most), F.ceil(n * F.col("dim") / TILE_VALUES), F.least(F.lit(8), F.ceil(n / least)))
+    few = F.greatest(F.ceil(n / most), F.ceil(n * F.col("dim") / values), F.least(F.lit(spread), F.ceil(n / least)))
     counts = blocks.groupBy(*on, "dim").agg(F.greatest(F.lit(1), few).cast("int").alias("tiles"))
     return blocks.hint("merge").join(counts, [*on, "dim"]).withColumn("tile", F.pmod(F.xxhash64("block"), F.col("tiles")).cast("int"))
 
 
-def tile_pairs(tiled: DataFrame, on: list[str], q: list[str], t: list[str], work, schema: str, half: bool = False) -> DataFrame:
-    """``work(key, q rows, t rows)`` for each pair of tiles of a group and length, ``half``: for one of its two orders.
-
-    ``q`` and ``t`` are the columns that ``work`` reads of either side.
-    """
+def tile_sides(tiled: DataFrame, on: list[str], q: list[str], t: list[str], half: bool) -> tuple[DataFrame, DataFrame]:
+    """The blocks of either side, once for each pair of tiles that they are in."""
     other = F.sequence(F.lit(0), F.col("tiles") - 1)
     qs = tiled.select(*on, "dim", *q, F.col("tile").alias("q_tile"), F.explode(other).alias("t_tile"))
     ts = tiled.select(*on, "dim", *t, F.explode(other).alias("q_tile"), F.col("tile").alias("t_tile"))
     if half:
         qs, ts = qs.filter("q_tile <= t_tile"), ts.filter("q_tile <= t_tile")
+    return qs, ts.select(*[F.col(c).alias(c) for c in ts.columns])  # columns of its own, as both sides are one table
+
+
+def tile_pairs(tiled: DataFrame, on: list[str], q: list[str], t: list[str], work, schema: str, half: bool = False) -> DataFrame:
+    """``work(key, q rows, t rows)`` for each pair of tiles of a group and length, ``half``: for one of its two orders.
+
+    ``q`` and ``t`` are the columns that ``work`` reads of either side.
+    """
+    qs, ts = tile_sides(tiled, on, q, t, half)
     key = [*on, "dim", "q_tile", "t_tile"]
-    ts = ts.select(*[F.col(c).alias(c) for c in ts.columns])  # columns of its own, as both sides are one table
     return qs.groupBy(*key).cogroup(ts.groupBy(*key)).applyInPandas(work, schema)
 
 
@@ -370,12 +378,9 @@ def _own_neighbors(on: list[str], k: int, min_sim: float):
 
 
 def _tile_neighbors(on: list[str], k: int, min_sim: float):
-    def run(key: tuple, qs: pd.DataFrame, ts: pd.DataFrame) -> pd.DataFrame:
-        head, dim = dict(zip(on, key)), key[len(on)]
-        none = pd.DataFrame({c: [] for c in [*on, "key", "far", "t"]}, dtype=object)
-        if not len(qs) or not len(ts):
-            return none
-        qs, ts = qs.sort_values("block"), ts.sort_values("block")
+    """Neighbours of the rows of two tiles in each other, or of one in itself."""
+
+    def best(qs: pd.DataFrame, ts: pd.DataFrame, dim: int) -> list[pd.DataFrame]:
         t, t_keys = stacked(ts["vecs"], dim), stacked(ts["ids"])
         rank, sizes = _ranks(t_keys), ts["ids"].map(len).to_numpy()
         qc, tc = stacked(qs["center"], dim), stacked(ts["center"], dim)
@@ -398,6 +403,15 @@ def _tile_neighbors(on: list[str], k: int, min_sim: float):
             for a in range(0, len(q), slab):
                 s = q[a:a + slab] @ tv.T
                 found.append(_lists(q_keys[a:a + slab], tk, _best(s, kth[a:a + slab], tr, k, min_sim)))
+        return found
+
+    def run(key: tuple, qs: pd.DataFrame, ts: pd.DataFrame) -> pd.DataFrame:
+        head, (dim, q_tile, t_tile) = dict(zip(on, key)), key[len(on):]
+        none = pd.DataFrame({c: [] for c in [*on, "key", "far", "t"]}, dtype=object)
+        if not len(qs) or not len(ts):
+            return none
+        qs, ts = qs.sort_values("block"), ts.sort_values("block")
+        found = best(qs, ts, dim) + (best(ts, qs, dim) if q_tile != t_tile else [])
         out = pd.concat(found, ignore_index=True) if found else none
         return out.assign(**head)[[*on, "key", "far", "t"]]
 
@@ -418,7 +432,9 @@ def knn(
     Equal vectors are searched once. Rows are first gathered in cells around pivot rows, so that blocks are compact; a group
     has about eight times the root of its blocks as cells. Tasks take pairs of tiles of many blocks; a pair of blocks in them
     is multiplied only if the angle between their centers, less their radii, can still beat the worst k-th similarity that
-    the query block found inside itself (or ``min_sim``). The bound is exact: no neighbour is lost.
+    the query block found inside itself (or ``min_sim``). The bound is exact: no neighbour is lost. A pair of tiles is taken
+    once for both of its orders, and a group has NEAR_TILES tiles or fewer until they are full, so rows are copied up to
+    NEAR_TILES + 1 times; in a larger group, once more for each tile more.
     """
     if not on:
         out = knn(df.withColumn("whole_table", F.lit(0)), ["whole_table"], row_id, vec, k, min_sim, block_rows)
@@ -443,8 +459,9 @@ def knn(
         known = cut(blocks.select(*on, "dim", "block", "ids", "vecs").mapInPandas(
             _own_neighbors(on, wide, min_sim),
             f"{kinds}dim int, block string, ids array<string>, vecs array<double>, kth array<double>, center array<double>, radius double, needed double"))
-        q, t = ["block", "ids", "vecs", "kth", "center", "radius", "needed"], ["block", "ids", "vecs", "center", "radius"]
-        near = tile_pairs(tiles(known, on), on, q, t, _tile_neighbors(on, wide, min_sim), f"{kinds}{_NEAR}")
+        columns = ["block", "ids", "vecs", "kth", "center", "radius", "needed"]
+        tiled = tiles(known, on, most=NEAR_ROWS, values=NEAR_VALUES, spread=NEAR_TILES)
+        near = tile_pairs(tiled, on, columns, columns, _tile_neighbors(on, wide, min_sim), f"{kinds}{_NEAR}", half=True)
         out = _expanded(near, by_vector, on, k, wide, again)
         return cut(out.select(*on, "q_id", "t_id", (F.lit(0.0) - F.col("far")).alias("sim"), "rank"))
 

@@ -15,8 +15,8 @@ from .text_jobs import facts
 from .vectors import r6, total
 
 
-def neighbors(t, k):
-    return knn(t.label_vectors(), ["field_name"], "raw_label", "v", k)
+def neighbors(t, k, min_sim=-1.0):
+    return knn(t.label_vectors(), ["field_name"], "raw_label", "v", k, min_sim)
 
 
 KNN = """SELECT a.field_name, a.raw_label AS q_id, b.raw_label AS t_id, round(list_inner_product(a.v, b.v), 9) AS sim,
@@ -35,7 +35,8 @@ EDGES = """SELECT field_name, src, dst, max(sim) AS weight FROM (SELECT field_na
 
 
 def edges(t):
-    return G.mutual_knn_edges(neighbors(t, 8), 8, 0.72)
+    # Neighbours come best first, so those below the threshold rank behind all others and need not be found.
+    return G.mutual_knn_edges(neighbors(t, 8, 0.72), 8, 0.72)
 
 
 @reg("mutual_knn_edges", "E8", "SELECT field_name, src, dst, round(weight, 6) AS weight FROM edges",

@@ -60,3 +60,21 @@ def test_points_meet_only_blocks_in_reach(spark, monkeypatch):
     for i in range(len(p)):
         near = [(d[i, j] if (p[i] != p[j]).any() else 0.0, 1, str(j)) for j in range(len(p)) if j != i] + [(origin[i], 0, None)]
         assert got[str(i)] == [x[2] for x in sorted(near, key=lambda x: x[:2] if x[2] is None else x)[:2]], i
+
+
+def test_knn_hands_a_row_to_few_pairs_of_tiles(spark, monkeypatch):
+    p = np.random.default_rng(8).normal(size=(21_000, 4))
+    p /= np.linalg.norm(p, axis=1, keepdims=True)
+    df = spark.createDataFrame([("f", f"p{i}", [float(x) for x in r]) for i, r in enumerate(p)], "f string, id string, v array<double>")
+    sides = []
+    whole = blocks.tile_sides
+    monkeypatch.setattr(blocks, "tile_sides", lambda *a: sides.append(whole(*a)) or sides[-1])
+    got = found(blocks.knn(df, ["f"], "id", "v", 3))
+    handed = sum(side.agg(F.sum(F.size("ids"))).first()[0] for side in sides[0])
+    assert len(p) < handed <= 6 * len(p)
+    for i in (0, 7, 10_500, 20_999):
+        sims = np.round(p @ p[i], 9)
+        order = sorted((j for j in np.argsort(-sims)[:40] if j != i), key=lambda j: (-sims[j], f"p{j}"))
+        assert got[f"p{i}"] == [f"p{j}" for j in order[:3]]
+    for t in range(0, len(p), 1000):
+        assert len(got[f"p{t}"]) == 3
