@@ -72,32 +72,32 @@ def _local_moving(edges: DataFrame, degree: DataFrame, resolution: float, two_m:
     from round to round, so that neighbours that would swap for ever come to move one by one.
     """
     # Rounds are many, so what a round sends through the driver counts: no table of a round is broadcast.
+    # Options carry their community's total and their node's own columns, so a round shuffles by node once and joins twice.
     state = cut(degree.join(two_m.hint("merge"), "graph").select(*degree.columns, "two_m", F.col("node").alias("comm")))
+    own_node = Window.partitionBy("graph", "node")
+    links = edges.filter("src <> dst")
     for r in range(MAX_ROUNDS):
         totals = state.groupBy("graph", "comm").agg(F.sum("deg").alias("tot"))
-        other = state.select("graph", F.col("node").alias("dst"), "comm")
-        links = (
-            edges.filter("src <> dst").join(other.hint("merge"), ["graph", "dst"])
-            .groupBy("graph", F.col("src").alias("node"), "comm").agg(F.sum("w").alias("into"))
-        )
-        own = state.select("graph", "node", "comm", F.lit(0.0).alias("into"))
-        options = links.unionByName(own).groupBy("graph", "node", "comm").agg(F.sum("into").alias("into"))
-        me = state.select("graph", "node", "deg", "two_m", F.col("comm").alias("old"))
+        known = state.join(totals.hint("merge"), ["graph", "comm"], "left")
+        other = known.select("graph", F.col("node").alias("dst"), "comm", "tot")
+        into = links.join(other.hint("merge"), ["graph", "dst"]).select("graph", F.col("src").alias("node"), "comm", "tot", F.col("w").alias("into"))
+        own = known.select("graph", "node", "comm", "tot", F.lit(0.0).alias("into"), "deg", "two_m", F.col("comm").alias("old"))
+        options = into.unionByName(own, allowMissingColumns=True).repartition("graph", "node").groupBy("graph", "node", "comm").agg(
+            F.sum("into").alias("into"), *[F.max(c).alias(c) for c in ("tot", "deg", "two_m", "old")])
         scored = (
-            options.join(me.hint("merge"), ["graph", "node"]).join(totals.hint("merge"), ["graph", "comm"])
+            options.withColumns({c: F.max(c).over(own_node) for c in ("deg", "two_m", "old")})
             .withColumn("rest", F.col("tot") - F.when(F.col("comm") == F.col("old"), F.col("deg")).otherwise(0.0))
             .withColumn("gain", F.round(F.col("into") - resolution * F.col("deg") * F.col("rest") / F.col("two_m"), 9))
         )
         best = scored.groupBy("graph", "node").agg(
             F.min(F.struct((-F.col("gain")).alias("g"), "comm")).alias("b"),
             F.max(F.when(F.col("comm") == F.col("old"), F.col("gain"))).alias("stay"),
+            *[F.max(c).alias(c) for c in ("deg", "two_m", "old")],
         )
         turn = F.pmod(F.xxhash64("node", F.lit(seed * 1000 + r)), F.lit(2 + r // 8)) == 0
-        moved = state.join(best.hint("merge"), ["graph", "node"], "left").withColumn(
-            "_wants", F.coalesce(-F.col("b.g") > F.col("stay") + 1e-9, F.lit(False))
-        )
+        moved = best.withColumn("_wants", F.col("node").isNotNull() & F.coalesce(-F.col("b.g") > F.col("stay") + 1e-9, F.lit(False)))
         state = cut(moved.select(
-            "graph", "node", "deg", "two_m", F.when(F.col("_wants") & turn, F.col("b.comm")).otherwise(F.col("comm")).alias("comm"), "_wants"
+            "graph", "node", "deg", "two_m", F.when(F.col("_wants") & turn, F.col("b.comm")).otherwise(F.col("old")).alias("comm"), "_wants"
         ))
         settled = state.filter("_wants").isEmpty()
         state = state.drop("_wants")
