@@ -117,3 +117,36 @@ def test_update_of_one_label(spark, path):
     table.update(spark.createDataFrame([("7",)], "label string"), lambda r: r.withColumn("n", F.when(F.col("label") == "7", 1).otherwise(F.col("n"))))
     assert table.read().filter("n = 1").count() == 50 and table.read().count() == 1000
     assert len({os.path.dirname(f) for f in before ^ files(table)}) == 1
+
+
+def test_a_change_is_moved_in_as_it_was_written(spark, path, monkeypatch):
+    written, move = {}, KeyedTable._move_in
+
+    def watched(self, change):
+        written[change] = {f for _, _, names in os.walk(change) for f in names if f.endswith(".parquet")}
+        move(self, change)
+
+    monkeypatch.setattr(KeyedTable, "_move_in", watched)
+    table = KeyedTable(spark, path, ["k"], buckets=5)
+    table.upsert(numbers(spark, 100))
+    old = {os.path.basename(f) for f in files(table)}
+    table.upsert(numbers(spark, 1, "new"))
+    first, second = written.values()
+    assert old == first and {os.path.basename(f) for f in files(table)} > second  # the same files: no row is written again
+    assert rows(table.read()) == [(k, "new" if k < 1 else "old") for k in range(100)] and not table._changes()
+
+
+def test_a_driver_lost_while_buckets_are_moved_in(spark, path, monkeypatch):
+    table = KeyedTable(spark, path, ["k"], buckets=5)
+    table.upsert(numbers(spark, 100))
+    listed = KeyedTable._buckets_in
+    monkeypatch.setattr(KeyedTable, "_delete", lambda self, p: (_ for _ in ()).throw(RuntimeError("driver lost")))
+    monkeypatch.setattr(KeyedTable, "_buckets_in", lambda self, p: listed(self, p)[:2] if "change-" in p else listed(self, p))
+    with pytest.raises(RuntimeError):
+        table.upsert(numbers(spark, 100, "new"))
+    monkeypatch.undo()
+    again = KeyedTable(spark, path)
+    assert len(again._buckets_in(again._pending())) == 3
+    assert rows(again.read()) == [(k, "new") for k in range(100)]
+    again.recover()
+    assert rows(again.read()) == [(k, "new") for k in range(100)] and not again._changes()
