@@ -4,6 +4,8 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
+from tagloom import skew
+from tagloom.functions.keys import row_hashes
 from tagloom.operators.labels import explode_calls
 from tagloom.plans.mapping import MapperConfig
 from tagloom.sources.keyed import KeyedTable
@@ -57,3 +59,44 @@ def test_stream_maps_no_empty_batch(spark, tmp_path, monkeypatch):
     assert mapped == [3]
     assert KeyedTable(spark, f"{tmp_path}/out").read().select("source_record_id", "field_name", "raw_label").distinct().count() == 60
     assert KeyedTable(spark, f"{tmp_path}/out").read().count() == 60
+
+
+def test_rows_of_the_stream_get_their_vectors_where_their_bucket_lies(spark, tmp_path, monkeypatch):
+    rows = [(f"c{i % 150}", datetime(2024, 1, 1, i % 20), f"a|b{i % 150}", "x") for i in range(300)]
+    spark.createDataFrame(rows, CALLS).coalesce(1).write.parquet(f"{tmp_path}/in")
+    got = {}
+
+    def map_labels(labels, taxonomy, provider, config):
+        wide = F.array(*[F.xxhash64("normalized_label", F.lit(i)).cast("double") for i in range(8)])
+        return labels.withColumns({"cluster_version": F.lit("v1"), "label_embedding": wide})
+
+    def upsert(self, source, dealt=False):
+        lies = source.select(self.bucket().alias("b"), F.spark_partition_id().alias("p")).distinct().groupBy("b").count()
+        got.update(dealt=dealt, parts=lies.agg(F.max("count")).first()[0], plan=source._jdf.queryExecution().executedPlan().toString())
+        whole(self, source, dealt=dealt)
+
+    whole = KeyedTable.upsert
+    monkeypatch.setattr(KeyedTable, "upsert", upsert)
+    monkeypatch.setattr(mapper, "map_labels", map_labels)
+    monkeypatch.setattr(skew, "LEAST_HOT", 100)  # a and x are common, the others are not
+    calls = spark.readStream.schema(CALLS).parquet(f"{tmp_path}/in")
+    config = MapperConfig(fields=["tags", "outcome"], created="created_at", unique_ids=True)
+    mapper.map_stream(calls, None, f"{tmp_path}/out", config, watermark="1 hour").awaitTermination()
+    assert got["dealt"] and got["parts"] <= 2  # common labels where they lie, others as they are dealt out again
+    out = KeyedTable(spark, f"{tmp_path}/out").read()
+    assert out.count() == out.select("dedupe_key").distinct().count() == 450
+    assert out.filter("label_embedding IS NULL").isEmpty() and out.select("normalized_label").distinct().count() == 152
+
+
+def test_row_hashes_see_nulls_and_lengths(spark):
+    kinds = "a string, b string, v array<double>, w array<double>, c array<struct<x: string, y: string>>"
+    data = [
+        ("p", None, [1.0], [2.0], [("q", None)]), (None, "p", [1.0], [2.0], [("q", None)]), ("p", None, [1.0], [2.0], [(None, "q")]),
+        ("p", None, [1.0, 2.0], [], [("q", None)]), ("p", None, [1.0], None, [("q", None)]), ("p", None, [1.0], [2.0], [None, ("q", None)]),
+        ("p", None, [1.0, None], [2.0], [("q", None)]), ("p", None, [None, 1.0], [2.0], [("q", None)]), ("p", None, [1.0], [2.0], [("q", None)]),
+    ]
+    df = spark.createDataFrame(data, kinds)
+    found = [tuple(r) for r in row_hashes(df, "a").collect()]
+    assert found[0] == found[-1] and len(set(found)) == len(data) - 1
+    assert all(h1 != h2 for h1, h2 in found)
+    assert [tuple(r) for r in row_hashes(df.select(*reversed(df.columns)), "a").collect()] == found
